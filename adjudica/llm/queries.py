@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adjudica.llm import substring_dedup
+from adjudica.llm import license_scan, mixing, substring_dedup
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -19,8 +19,29 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"), "longest")
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.plan(_read(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(_read(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min("places").alias("first_word"),
+        F.array_max("places").alias("last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_license_scan": op3_license_scan,
     "op1_substring_dedup": op1_substring_dedup,
+    "op5_mixing": op5_mixing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
