@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adjudica.llm import license_scan, mixing, packing, quality_rules, substring_dedup
+from adjudica.llm import license_scan, minhash_dedup, mixing, packing, quality_rules, substring_dedup
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -49,7 +49,12 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_removed_lines", "n_left_words")
 
 
+def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(_read(spark, sf_dir, "documents"), shingle=3, percent=85).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op9_minhash_dedup": op9_minhash_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op2_packing": op2_packing,
     "op3_license_scan": op3_license_scan,
