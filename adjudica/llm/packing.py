@@ -14,13 +14,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adjudica.llm import _common as C
-from adjudica.llm.tokens import WordTokenizer
+from adjudica.llm.tokens import tokenizer as load_tokenizer
 
 PIECE = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary, open boolean"
 PIECE_ARROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary()), ("open", pa.bool_())])
@@ -84,9 +83,9 @@ class _Packer:
 
 def _pack(tokenizer: str, size: int, windows: int, end_id: int, with_ids: bool):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = WordTokenizer(tokenizer).encode
+        encode = load_tokenizer(tokenizer).encode
         packer = _Packer(size, windows, TaskContext.get().partitionId() << 32, with_ids)
-        for chunk in C.doc_chunks(batches, 6 << 20):
+        for chunk in C.doc_chunks(batches, 2 << 20):
             ids, ends = encode(chunk.column("text"), end_id)
             start = 0
             for doc, end in zip(chunk.column("doc_id").to_pylist(), ends.tolist(), strict=True):

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import functools
+import os
 import re
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
+
 from tokenizers import Tokenizer, pre_tokenizers
 
 from adjudica.llm import _common as C
@@ -29,19 +34,24 @@ class WordTokenizer:
     """ids() of a tokenizer whose model never looks across white space and drops it."""
 
     def __init__(self, path: str) -> None:
-        self.whole = Tokenizer.from_file(path)
+        self.path = path
         self.plain = Tokenizer.from_file(path)
         self.plain.normalizer = None
         self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        vocab = self.whole.get_vocab(with_added_tokens=True)
+        vocab = self.plain.get_vocab(with_added_tokens=True)
         self.last = np.zeros(max(vocab.values()) + 1, bool)
         for piece, i in vocab.items():
             self.last[i] = piece.endswith("</w>")
 
+    @functools.cached_property
+    def whole(self) -> Tokenizer:
+        """The tokenizer as it is in the file."""
+        return Tokenizer.from_file(self.path)
+
     def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of split pieces, joined, and where each ends."""
         lines = [" ".join(pieces[i : i + LINE]) for i in range(0, len(pieces), LINE)]
-        got = [np.array(e.ids, np.uint32) for e in self.plain.encode_batch_fast(lines, add_special_tokens=False)]
+        got = [np.array(self.plain.encode_batch_fast([line], add_special_tokens=False)[0].ids, np.uint32) for line in lines]
         ids = np.concatenate(got) if got else np.empty(0, np.uint32)
         ends = np.flatnonzero(self.last[ids]) + 1
         if len(ends) != len(pieces):
@@ -61,7 +71,8 @@ class WordTokenizer:
         a = _ragged(ids, begin[which], size) if len(which) else np.empty(0, np.uint32)
         owner = np.cumsum(is_end)[~is_end]
         n[simple] = np.bincount(owner, weights=size, minlength=int(simple.sum())).astype(np.int64)
-        other = [np.array(e.ids, np.uint32) for e in self.whole.encode_batch_fast(words.filter(pa.array(~simple)).to_pylist(), add_special_tokens=False)]
+        rest = words.filter(pa.array(~simple)).to_pylist()
+        other = [np.array(e.ids, np.uint32) for e in self.whole.encode_batch_fast(rest, add_special_tokens=False)] if rest else []
         n[~simple] = [len(x) for x in other]
         begins = np.empty(len(words), np.int64)
         begins[simple] = np.cumsum(n[simple]) - n[simple]
@@ -84,3 +95,9 @@ class WordTokenizer:
         if len(which):
             out[is_id] = _ragged(self.flat, begins[which], n[which])
         return out, ends
+
+
+@functools.lru_cache(maxsize=1)
+def tokenizer(path: str) -> WordTokenizer:
+    """The tokenizer of a file, read once per Python worker."""
+    return WordTokenizer(path)
