@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adjudica.llm import license_scan, minhash_dedup, mixing, packing, quality_rules, substring_dedup
+from adjudica.llm import hmm_lm, license_scan, minhash_dedup, mixing, packing, quality_rules, substring_dedup
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -53,7 +53,12 @@ def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(_read(spark, sf_dir, "documents"), shingle=3, percent=85).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op10_hmm_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm_lm.score(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op10_hmm_lm": op10_hmm_lm,
     "op9_minhash_dedup": op9_minhash_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op2_packing": op2_packing,
