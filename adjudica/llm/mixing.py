@@ -121,3 +121,27 @@ def chosen_before(x: Column) -> Column:
     """Words of a shard before word x that lie in chosen blocks."""
     j = F.floor(x / F.col("block")).cast("long")
     return (_rank(j) - _rank(F.lit(0))) * F.col("block") + F.when(is_chosen(j), x - j * F.col("block")).otherwise(0)
+
+
+def materialised(taken: DataFrame, text: str) -> DataFrame:
+    """The rows of a mix with texts: plan() rows that kept ``text``, once per whole taking and once for a part.
+
+    The part is the words of the document in taken blocks, joined by one space. Documents of which nothing is taken are
+    gone; one without words is no part of a mix.
+    """
+    block, at = F.col("block"), F.col("begin")
+    words = F.filter(F.split(F.col(text), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    first, last = F.floor(at / block).cast("long"), F.floor((at + F.col("size") - 1) / block).cast("long")
+    in_turn = F.filter(F.sequence(first, last), lambda j: is_chosen(j))
+
+    def stretch(j: Column) -> Column:
+        a = F.greatest(j * block - at, F.lit(0))
+        z = F.least((j + 1) * block - at, F.col("size"))
+        return F.slice(words, (a + 1).cast("int"), (z - a).cast("int"))
+
+    part = F.array_join(F.flatten(F.transform(in_turn, stretch)), " ")
+    rest = F.col("taken") - F.col("full") * F.col("size")
+    whole = F.array_repeat(F.col(text), F.when(F.col("size") > 0, F.col("full")).otherwise(0).cast("int"))
+    texts = F.when((F.col("size") > 0) & (rest == F.col("size")), F.concat(whole, F.array(F.col(text)))).when((F.col("size") > 0) & (rest > 0), F.concat(whole, F.array(part))).otherwise(whole)
+    others = [c for c in taken.columns if c != text]
+    return taken.withColumn("_texts", texts).select(*others, F.explode("_texts").alias(text))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adjudica.llm import hmm_lm, license_scan, minhash_dedup, mixing, packing, quality_rules, substring_dedup
+from adjudica.llm import hmm_lm, license_scan, minhash_dedup, mixing, packing, pii, quality_rules, substring_dedup
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -57,7 +57,14 @@ def op10_hmm_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm_lm.score(_read(spark, sf_dir, "documents"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(_read(spark, sf_dir, "documents"))
+    counts = [F.size(f"{k}_spans").cast("long").alias(f"n_{k}") for k in pii.BASE_KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"), pii.written(F.col("spans")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op8_pii": op8_pii,
     "op10_hmm_lm": op10_hmm_lm,
     "op9_minhash_dedup": op9_minhash_dedup,
     "op4_quality_rules": op4_quality_rules,
