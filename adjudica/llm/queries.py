@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adjudica.llm import hmm_lm, license_scan, minhash_dedup, mixing, packing, pii, quality_rules, substring_dedup
+from adjudica.llm import embedding_dedup, hmm_lm, license_scan, minhash_dedup, mixing, packing, pii, quality_rules, substring_dedup
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -63,7 +63,12 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"), pii.written(F.col("spans")).alias("spans"))
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_read(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op8_pii": op8_pii,
     "op10_hmm_lm": op10_hmm_lm,
     "op9_minhash_dedup": op9_minhash_dedup,
