@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adjudica.llm import embedding_dedup, hmm_lm, license_scan, minhash_dedup, mixing, packing, pii, quality_rules, substring_dedup
+from adjudica.llm import embedding_dedup, hmm_lm, html_extraction, license_scan, minhash_dedup, mixing, packing, pii, quality_rules, substring_dedup
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -67,7 +67,12 @@ def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(_read(spark, sf_dir, "embeddings"), threshold=0.98)
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(_read(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_html_extraction": op7_html_extraction,
     "op6_embedding_dedup": op6_embedding_dedup,
     "op8_pii": op8_pii,
     "op10_hmm_lm": op10_hmm_lm,
