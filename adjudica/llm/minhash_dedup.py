@@ -272,7 +272,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, keep:
     sizes = families.groupBy("label").agg(F.count("*").alias("members")).withColumnRenamed("label", "family")
     blocks = families.join(sizes, F.col("label") == F.col("family")).select("family", "node", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
     blocks = work.write(blocks.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).join(nodes.select("node", "first"), "node"), "blocks")
-    wanted = docs.select("doc_id", "text").join(blocks.select("node", "first"), F.col("doc_id") == F.col("first")).select("node", "text")
+    # always a merge join: how many texts are wanted grows with the corpus, so the plan is the same at every size
+    wanted = docs.select("doc_id", "text").join(blocks.select("node", "first").hint("merge"), F.col("doc_id") == F.col("first")).select("node", "text")
     sets = wanted.mapInArrow(_wanted_sets(shingle), "node bigint, shingles binary")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     spread = blocks.select("family", "node", "block", other).select("family", "node", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
