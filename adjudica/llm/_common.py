@@ -22,8 +22,7 @@ from pyspark.sql import functions as F
 CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 PACKED = "bucket int, payload binary"
 PACKED_ARROW = pa.schema([("bucket", pa.int32()), ("payload", pa.binary())])
-#: words handled at once inside a Python task; bounds its memory whatever the partition holds
-FLUSH_WORDS = 1_500_000
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _own_dir: list[str] = []
 
 
@@ -42,6 +41,9 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark, self.base, self.n = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}", 0
+        # texts are long rows: Spark's 10,000 a batch would hold tens of MB twice in every task; a setting of one's own stays
+        if spark.conf.get(ARROW_ROWS, "10000") == "10000":
+            spark.conf.set(ARROW_ROWS, "2000")
 
     def write(self, df: DataFrame, tag: str, by: list[str] | None = None) -> DataFrame:
         """Write df and read it back; shuffle files of the step go as soon as the table stands."""
@@ -227,7 +229,7 @@ def gather(batches: Iterator[pa.RecordBatch], raw: list, n_steps: int) -> list[n
     return [np.concatenate(c) for c in zip(*got, strict=True)] if got else None
 
 
-def doc_chunks(batches: Iterator[pa.RecordBatch], most: int = 12 << 20) -> Iterator[pa.RecordBatch]:
+def doc_chunks(batches: Iterator[pa.RecordBatch], most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Batches of a table with a column text, cut or joined so that each holds about ``most`` bytes of it."""
     held, size = [], 0
     for batch in batches:

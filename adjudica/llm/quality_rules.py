@@ -25,6 +25,8 @@ from adjudica.llm import _common as C
 LEAST_DOCS, LEAST_SHARE = 50, 0.01
 #: a document is depleted with fewer words left than this, or a smaller share of its words
 LEFT_WORDS, LEFT_SHARE = 10, 0.2
+#: bytes of text handled at once; windows and lines of a chunk take about a hundred times as much
+CHUNK = 2 << 20
 #: frequent lines up to this number are broadcast (16 bytes each)
 BROADCAST_LINES = 200_000
 
@@ -56,7 +58,7 @@ def _sketch(h: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def _send_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for chunk in C.doc_chunks(batches):
+    for chunk in C.doc_chunks(batches, CHUNK):
         flat, counts = C.words_of(chunk.column("text"))
         sketch = _sketch(C.hash_words(flat), counts)
         _, hashes, index, row = _lines(chunk.column("text"))
@@ -105,7 +107,7 @@ def _judge(frequent: dict | None, keep: list[str], types: list):
     schema = pa.schema([("doc_id", pa.int64()), *types, *[(s, pa.int64()) for s in STATS], ("base_failed", pa.bool_()), ("kept", pa.bool_()), ("text", pa.string())])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in C.doc_chunks(batches):
+        for chunk in C.doc_chunks(batches, CHUNK):
             n, texts = chunk.num_rows, pc.fill_null(chunk.column("text"), "")
             flat, counts = C.words_of(texts)
             row, _ = C.places(counts)
@@ -183,7 +185,7 @@ def judge(docs: DataFrame, keep: tuple[str, ...] = (), least_docs: int = LEAST_D
 
 
 def _held_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for chunk in C.doc_chunks(batches):
+    for chunk in C.doc_chunks(batches, CHUNK):
         _, hashes, index, row = _lines(chunk.column("text"))
         line = hashes[index]
         some = np.flatnonzero(line != 0)
