@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from adjudica.functions.text import SPACE
 from adjudica.plans.policy import LEGAL, Kinds
 
+# What reports call the kinds.
+KIND_LABELS = {"judgment": "sentença", "appellate_ruling": "acórdão", "settlement": "acordo/homologação", "order": "despacho", "certificate": "certidão", "writ": "mandado", "opinion": "voto", "generic": "peça", "not_pdf": "não-PDF"}
 NONE, WEAK, GENERIC, NAMED = "none", "weak", "generic", "named_decisions"
 
 
@@ -20,6 +22,12 @@ def document_kind(name: Column, kinds: Kinds = LEGAL.kinds) -> Column:
     return out.otherwise("generic")
 
 
+def kind_label(kind: Column) -> Column:
+    """What reports call a kind; an unknown kind is its own label."""
+    pairs = [F.lit(x) for pair in KIND_LABELS.items() for x in pair]
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), kind), kind)
+
+
 def reading_plan(docs: DataFrame, cases: DataFrame, kinds: Kinds = LEGAL.kinds, tie: str = "id") -> DataFrame:
     """One row per case and chosen document: case_number, strategy, pos (order of reading), id, kind, bytes.
 

@@ -84,6 +84,20 @@ class Runner:
         got = self.provider.audit(rows_.select("case_number", "summary")).where("answer is not null")
         return self._append(got.select("case_number", F.col("answer.severity").alias("severity"), F.col("answer.unsupported").alias("unsupported")), "audits")
 
+    def generate(self, gold: DataFrame, docs: DataFrame, texts: DataFrame) -> DataFrame:
+        """Summaries of approved cases for comparison, in a state folder of their own: case_number, summary, error.
+
+        gold(row, case_number). Nothing here is ever delivered; a case without text or answer keeps a row with an error.
+        """
+        apart = Runner(self.spark, f"{self.folder}/generated", self.provider, self.policy)
+        apart.extract(gold, docs, texts)
+        apart.map()
+        apart.structure()
+        have = gold.select("case_number").distinct().join(apart.table("texts").select("case_number", F.lit(True).alias("_t")), "case_number", "left")
+        out = have.join(apart.table("cases").select("case_number", "summary"), "case_number", "left")
+        error = F.when(F.col("_t").isNull(), "no source text").when(F.col("summary").isNull(), "no valid answer")
+        return out.select("case_number", F.coalesce("summary", F.lit("")).alias("summary"), error.alias("error"))
+
     def records(self) -> DataFrame:
         return gate.audited(self.table("cases"), self.table("audits"))
 

@@ -46,6 +46,30 @@ class Recorded:
         return self._answer(pairs, "parity", "parity")
 
 
+def find_recording(asked: DataFrame, recordings: DataFrame) -> DataFrame:
+    """asked(id, text) with the case_number of its recording: by a key in the text, else by the very text of a map, else
+    by that of a summary; null where none fits. recordings(case_number, map, summary).
+
+    Texts are compared by hash first, so three equi-joins on short keys do; of several recordings the smallest key wins.
+    """
+    from adjudica.functions import keys
+
+    def by(column: str, name: str) -> DataFrame:
+        r = recordings.where(F.col(column).isNotNull())
+        return r.groupBy(F.sha2(column, 256).alias(f"_{name}")).agg(F.min("case_number").alias(name))
+
+    known = recordings.select(F.col("case_number").alias("by_key")).distinct()
+    own = asked.withColumn("_key", keys.first_key(F.col("text"))).withColumn("_text", F.sha2("text", 256))
+    out = own.join(known, F.col("_key") == F.col("by_key"), "left").join(by("map", "by_map"), F.col("_text") == F.col("_by_map"), "left")
+    out = out.join(by("summary", "by_summary"), F.col("_text") == F.col("_by_summary"), "left")
+    return out.select(*asked.columns, F.coalesce("by_key", "by_map", "by_summary").alias("case_number"))
+
+
+def batch_counts(requests: DataFrame) -> DataFrame:
+    """batch, processing, succeeded, errored, canceled, expired from requests(batch, state)."""
+    return requests.groupBy("batch").agg(*[F.count_if(F.col("state") == k).alias(k) for k in ("processing", "succeeded", "errored", "canceled", "expired")])
+
+
 def with_retry(call: Callable, label: str, attempts: int = 20, step_s: float = 15, most_s: float = 60, sleep: Callable[[float], None] = time.sleep):
     """The call's result, tried again after waits that grow by a step up to a most; the last error is named."""
     for n in range(1, attempts + 1):
