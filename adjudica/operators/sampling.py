@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANKED_ROWS = 100_000
-
 
 def ranked(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
-    """df with a rank from 0 over the order: range partitions are numbered apart and shifted by what stands before."""
+    """df with a rank from 0 over the order: range partitions are numbered apart and shifted by what stands before.
+
+    The ranged rows are kept on disk, because both the sizes and the rows must see the same partition bounds, which
+    Spark draws from a sample: two runs of the same plan could draw different ones.
+    """
     n = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     parts = df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id())
     inside = Window.partitionBy("_part").orderBy(*order)
-    parts = parts.withColumn("_rn", F.row_number().over(inside) - 1)
+    parts = parts.withColumn("_rn", F.row_number().over(inside) - 1).persist(StorageLevel.DISK_ONLY)
     sizes = parts.groupBy("_part").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     shift = sizes.select(F.col("_part").alias("_p"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
