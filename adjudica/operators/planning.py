@@ -31,17 +31,18 @@ def kind_label(kind: Column) -> Column:
 def reading_plan(docs: DataFrame, cases: DataFrame, kinds: Kinds = LEGAL.kinds, tie: str = "id") -> DataFrame:
     """One row per case and chosen document: case_number, strategy, pos (order of reading), id, kind, bytes.
 
-    docs(case_number, id, kind, bytes). Cases without usable documents keep one row with strategy none. Two windows,
-    both by case, share one shuffle.
+    docs(case_number, id, kind, bytes). Cases without usable documents keep one row with strategy none.
     """
     rank = F.coalesce(*[F.when(F.col("kind") == k, F.lit(i)) for i, k in enumerate(kinds.decisive)], F.lit(len(kinds.decisive)))
     usable = docs.where("kind <> 'not_pdf'").withColumn("kind_rank", rank)
     usable = usable.withColumn("tier", F.when(F.col("kind_rank") < len(kinds.decisive), 1).when(F.col("kind") == "generic", 2).otherwise(3))
+    # top files per kind first: Spark limits each group before the shuffle, so a case with very many files is no one task
+    group = F.when(F.col("tier") == 1, F.col("kind_rank")).otherwise(-F.col("tier"))
+    usable = usable.withColumn("group", group)
+    top = Window.partitionBy("case_number", "group").orderBy(F.col("bytes").desc(), tie)
+    usable = usable.withColumn("rn", F.row_number().over(top)).where(F.col("rn") <= max(1, kinds.per_kind))
     by_case = Window.partitionBy("case_number")
-    usable = usable.withColumn("best", F.min("tier").over(by_case)).where("tier = best")
-    group = F.when(F.col("tier") == 1, F.col("kind_rank")).otherwise(-1)
-    usable = usable.withColumn("rn", F.row_number().over(Window.partitionBy("case_number", group).orderBy(F.col("bytes").desc(), tie)))
-    usable = usable.where((F.col("rn") == 1) | ((F.col("tier") == 1) & (F.col("rn") <= kinds.per_kind)))
+    usable = usable.withColumn("best", F.min("tier").over(by_case)).where("tier = best and (rn = 1 or tier = 1)")
     usable = usable.withColumn("pos", F.row_number().over(by_case.orderBy("kind_rank", "rn")))
     strategy = F.when(F.col("tier") == 1, NAMED).when(F.col("tier") == 2, GENERIC).when(F.col("tier") == 3, WEAK).otherwise(NONE)
     picked = usable.select("case_number", "tier", "pos", "id", "kind", "bytes")

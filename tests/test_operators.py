@@ -140,3 +140,9 @@ def test_structured(spark):
     rows = structured.validated(spark.createDataFrame(list(enumerate(texts)), "i int, text string")).orderBy("i").collect()
     assert [r.valid for r in rows] == [True, False, False, False, True, False, False]
     assert rows[0].result.judge == "Não identificado" and rows[0].result.claims[0].confidence == "medium" and rows[1].result is None
+
+
+def test_reading_plan_limits_groups_before_the_shuffle(spark):
+    docs = spark.createDataFrame([("a", 1, "judgment", 5)], "case_number string, id int, kind string, bytes long")
+    plan = planning.reading_plan(docs, docs.select("case_number"))._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
