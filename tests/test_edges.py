@@ -115,3 +115,29 @@ def test_nothing_imports_the_llm_subpackage():
     code = "import sys; sys.modules['adjudica.llm'] = None; import __spark_entry__"
     out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True)
     assert out.returncode in (0, 1)
+
+
+def test_cli(spark, workbook, tmp_path, capsys):
+    from adjudica import cli
+
+    assert cli.main(["nonsense"]) == 1 and cli.main(["stage", "nonsense"]) == 1 and cli.main(["run", "--limit", "0"]) == 1
+    assert cli.main(["--workbook", workbook, "inspect"]) == 0
+    assert "- targets: 3" in capsys.readouterr().out
+    (tmp_path / "files").mkdir()
+    (tmp_path / "files" / f"{KEYS[0]} - sentenca.pdf").write_text("x")
+    assert cli.main(["--workbook", workbook, "--sources", str(tmp_path / "files"), "coverage"]) == 0
+    assert "33.3" in capsys.readouterr().out
+
+
+def test_generated_summaries_stay_apart(spark, tmp_path):
+    claim = {"rawClaim": "r", "canonicalClaim": "c", "outcome": "upheld"}
+    usage = {"input_tokens": 1, "output_tokens": 0, "cache_creation_input_tokens": 0, "cache_read_input_tokens": 0}
+    path = tmp_path / "r.json"
+    path.write_text(json.dumps({"model": "standard", "recordings": [{"caseNumber": KEYS[0], "map": "m", "result": json.dumps({"outcome": "upheld", "summary": "JULGADO EXTINTO", "claims": [claim]}), "usage": {"map": usage, "structure": usage}}]}))
+    gold = spark.createDataFrame([(2, KEYS[0]), (3, KEYS[1]), (4, KEYS[2])], "row int, case_number string")
+    docs = spark.createDataFrame([(k, k, "sentenca.pdf", 10, "judgment", k) for k in KEYS[:2]], "id string, path string, name string, bytes long, kind string, case_number string")
+    texts = spark.createDataFrame([(k, "palavra " * 50, 1) for k in KEYS[:2]], "id string, text string, pages int")
+    runner = Runner(spark, str(tmp_path / "state"), providers.Recorded(spark, str(path)))
+    got = {r.case_number: (r.summary, r.error) for r in runner.generate(gold, docs, texts).collect()}
+    assert got == {KEYS[0]: ("JULGADO EXTINTO", None), KEYS[1]: ("", "no valid answer"), KEYS[2]: ("", "no source text")}
+    assert runner.records().count() == 0
