@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: white space a script language would trim; Spark's own trim() knows the space only
-SPACE = r"[\s ﻿  -     　]"
+SPACE = r"[\s\u00A0\uFEFF\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
 ACCENTED = "áàâãäåçéèêëíìîïñóòôõöúùûüýÿ"
 PLAIN = "aaaaaaceeeeiiiinooooouuuuyy"
 

@@ -96,3 +96,7 @@ def test_stride(spark, n, size):
 def test_chunks(spark):
     got = sampling.chunked(spark.range(250), [F.col("id")], 100).groupBy("chunk").count().orderBy("chunk").collect()
     assert [tuple(r) for r in got] == [(0, 100), (1, 100), (2, 50)]
+
+
+def test_trim_knows_every_white_space(spark):
+    assert column(spark, ["\u00a0\ufeff\n a b\u2003\u3000", "\u2028", ""], text.trim_all) == ["a b", "", ""]
