@@ -36,7 +36,7 @@ NEAR, LEAST_COVER = 2, 0.75
 def words_text(text: Column) -> Column:
     """The words of a text, A-Z lower-cased, joined by single spaces. Letters that lower() would turn into ASCII are
     put out of its way first; they are letters of a word either way."""
-    t = F.replace(F.replace(F.coalesce(text, F.lit("")), F.lit("K"), F.lit("ĸ")), F.lit("İ"), F.lit("ĸ"))
+    t = F.replace(F.replace(F.coalesce(text, F.lit("")), F.lit("\u212a"), F.lit("\u0138")), F.lit("\u0130"), F.lit("\u0138"))
     return F.trim(F.regexp_replace(F.lower(t), NOT_WORD, " "))
 
 
