@@ -1,8 +1,9 @@
 """Quality rules: statistics of each text, and lines that too many documents of a host share.
 
 Normalised lines are hashed; per host, the documents a line stands in are counted, copies of a document once: documents
-are told apart by the smallest hash of their three-word shingles, so a family of copies is no boilerplate. Lines above
-the limit are removed and a document that has little left is rejected.
+are told apart by a hash of their whole word sequence, so a family of copies is no boilerplate and different documents
+are never one, however much they share. Lines above the limit are removed and a document that has little left is
+rejected.
 
 Counting is two combining aggregations, (host, line, document) and then (host, line), so a line that a third of all
 documents share is counted in parts. Frequent lines go to the tasks by broadcast only while they are few; beyond that
@@ -16,6 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,38 +46,36 @@ def _lines(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarra
     return d.dictionary, np.where(worded, hashes | np.uint64(1), np.uint64(0)), np.asarray(d.indices), rows
 
 
-def _sketch(h: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The smallest hash of each text's three-word shingles; of its words, where it has fewer than three."""
-    row, at = C.places(counts)
-    three = C.mixed(C.rolling(h, 3))
-    value = C.mixed(h)
-    inside = np.flatnonzero((at + 3 <= counts[row])[: len(three)])
-    value[inside] = three[inside]
-    use = (at + 3 <= counts[row]) | (counts[row] < 3)
-    out = np.full(len(counts), np.iinfo(np.uint64).max, np.uint64)
-    np.minimum.at(out, row[use], value[use])
-    return out
+def _identity(flat: pa.Array, counts: np.ndarray) -> np.ndarray:
+    """Hash of each text's whole word sequence."""
+    texts = C.text_of_words(flat, np.ones(len(flat), bool), counts).cast(pa.binary())
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, texts.to_pylist()), np.uint64, len(counts))
 
 
 def _send_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each line of each document once, and line 0 for the document itself."""
     for chunk in C.doc_chunks(batches, CHUNK):
-        flat, counts = C.words_of(chunk.column("text"))
-        sketch = _sketch(C.hash_words(flat), counts)
+        doc = _identity(*C.words_of(chunk.column("text")))
         _, hashes, index, row = _lines(chunk.column("text"))
-        line = hashes[index]
-        some = line != 0
-        pair = np.unique(np.stack([line[some], row[some].astype(np.uint64)]), axis=1)
+        own = np.arange(chunk.num_rows)
+        line, row = np.concatenate([hashes[index], np.zeros(len(own), np.uint64)]), np.concatenate([row, own])
+        pair = np.unique(np.stack([line, row.astype(np.uint64)]), axis=1)
         who = pair[1].astype(np.int64)
-        yield pa.record_batch([chunk.column("source").take(pa.array(who)), pa.array(pair[0].view(np.int64)), pa.array(sketch[who].view(np.int64))], schema=LINES)
+        yield pa.record_batch([chunk.column("source").take(pa.array(who)), pa.array(pair[0].view(np.int64)), pa.array(doc[who].view(np.int64))], schema=LINES)
 
 
 def frequent_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, least_share: float = LEAST_SHARE) -> DataFrame:
-    """source, line (hash of the normalised line), n_docs: lines above the limits of their host."""
+    """source, line (hash of the normalised line), n_docs: lines above the limits of their host.
+
+    Documents are distinct word sequences, in the count of a line and in that of its host.
+    """
+    work = C.Scratch(docs.sparkSession, "lines")
     docs = docs.select(F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text"))
     seen = docs.mapInArrow(_send_lines, "source string, line bigint, doc bigint").groupBy("source", "line", "doc").agg(F.lit(1).alias("one"))
-    counted = seen.groupBy("source", "line").agg(F.count("*").alias("n_docs")).where(F.col("n_docs") > least_docs)
-    hosts = docs.groupBy("source").agg(F.count("*").alias("all_docs")).withColumnRenamed("source", "host")
-    both = counted.join(hosts, F.col("source").eqNullSafe(F.col("host")))
+    counted = seen.groupBy("source", "line").agg(F.count("*").alias("n_docs")).where((F.col("line") == 0) | (F.col("n_docs") > least_docs))
+    counted = work.write(counted, "counted")
+    hosts = counted.where("line = 0").select(F.col("source").alias("host"), F.col("n_docs").alias("all_docs"))
+    both = counted.where("line <> 0").join(hosts, F.col("source").eqNullSafe(F.col("host")))
     return both.where(F.col("n_docs") > least_share * F.col("all_docs")).select("source", "line", "n_docs")
 
 

@@ -164,6 +164,14 @@ def test_frequent_lines(spark, monkeypatch, broadcast):
     assert all(got[1000 + i][0] for i in range(200)), "copies are no boilerplate"
 
 
+def test_lines_count_distinct_documents(spark):
+    shared = " ".join(f"b{j}" for j in range(60))
+    own = lambda i: " ".join(f"w{i}x{j}" for j in range(10))
+    rows = [(i, f"{shared}\n{own(i)}", "h") for i in range(60)] + [(100 + i, "one copy " + own(999), "h") for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert [r.n_docs for r in quality_rules.frequent_lines(docs).collect()] == [60], "each document once, copies once, in the host's count too"
+
+
 def test_mixing(spark, frame, corpus, odd):
     rows = mixing.plan(frame).collect()
     size = {d[0]: len(words(d[1])) for d in corpus}
