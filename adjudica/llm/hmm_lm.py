@@ -5,9 +5,10 @@ of their own; the others share symbols by their last letters, and inside such a
 the class's counts. Symbols are a bounded alphabet, so the model is of fixed size while word counts, which stay in a
 table split by word hash, grow with the corpus.
 
-Baum-Welch: every task sums expected counts over its part of all training texts; sums meet per block of symbols. Texts
-are cut into stretches for training only. Scoring is the scaled forward recursion over the whole text. Word counts reach
-a text's score the other way round: texts send their bags of words to the counts and get sums of logarithms back.
+Baum-Welch starts from the counts of all training texts. In every round each task sums expected counts over its part of
+all training texts, each text whole; sums meet per block of symbols. Scoring is the scaled forward recursion over the
+whole text. Word counts reach a text's score the other way round: texts send their bags of words to the counts and get
+sums of logarithms back.
 """
 
 from __future__ import annotations
@@ -24,9 +25,12 @@ from adjudica.llm import _common as C
 
 STATES, TOP_WORDS, CLASSES = 8, 4096, 512
 SYMBOLS = 1 + TOP_WORDS + CLASSES
-#: training texts that start the model off, and rounds over them; the rounds that follow are over all training texts
-START_TEXTS, START_ROUNDS, ROUNDS = 400, 8, 2
-STRETCH = 128
+#: Baum-Welch rounds, each over all training texts
+ROUNDS = 10
+#: symbols of training texts handled at once; a longer text is handled whole
+AT_ONCE = 1_000_000
+#: symbols of a text that are stepped through side by side with its others; the state goes from one stretch to the next
+STRETCH = 512
 
 COUNT = np.dtype([("word", np.uint64), ("cls", np.uint16), ("n", np.uint32)])
 
@@ -153,48 +157,94 @@ class Model:
         return Model(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=1, keepdims=True))
 
 
-def stretches(sequences: list[np.ndarray], most: int = STRETCH) -> list[np.ndarray]:
-    """Sequences cut to at most ``most`` symbols, longest first."""
-    cut = [s[i : i + most] for s in sequences for i in range(0, len(s), most)]
-    return sorted(cut, key=len, reverse=True)
-
-
-def expected_counts(model: Model, sequences: list[np.ndarray], at_once: int = 1024) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Baum-Welch sums over sequences: expected starts, moves and emissions."""
+def _ends(model: Model, likely: np.ndarray, begin: list[int], live: list[int], text: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each stretch (at its place): chances of the states where the one before ends, and what follows weighs by state
+    where it ends itself. A stretch as a whole is a matrix from its first states to its last, so these go along the
+    stretches of a text by one product each."""
+    s, a = len(model.start), model.move
+    before, after = np.ones((s, len(text))), np.ones((s, len(text)))
+    several = np.isin(text, text[1:][text[1:] == text[:-1]])
+    if not several.any():
+        return before, after
+    mine = np.zeros(len(text), bool)
+    mine[place[several]] = True
+    held, where = np.cumsum(mine).tolist(), np.flatnonzero(mine)
+    ahead = np.ascontiguousarray(a.T.astype(np.float32))
+    whole = np.zeros((s, held[-1], s), np.float32)
+    for t in range(len(live)):
+        k = held[live[t] - 1]
+        if not k:
+            break
+        e = likely[:, begin[t] + where[:k], None]
+        v = e * np.eye(s, dtype=np.float32)[:, None, :] if t == 0 else e * (ahead @ whole[:, :k].reshape(s, k * s)).reshape(s, k, s)
+        whole[:, :k] = v if t % 4 else v / np.maximum(v.sum(axis=(0, 2)), 1e-30)[None, :, None]
+    # the matrices by stretch, from the first state to the last
+    m = whole.transpose(1, 2, 0)[np.array(held)[place[several]] - 1].astype(np.float64)
+    spot, owner = place[several], text[several]
+    number = np.arange(len(owner)) - np.searchsorted(owner, owner)
+    for j in range(int(number.max())):
+        i = np.flatnonzero(number == j + 1)
+        enter = np.broadcast_to(model.start, (len(i), s)) if j == 0 else before[:, spot[i - 1]].T @ a
+        end = np.einsum("ns,nst->nt", enter, m[i - 1])
+        before[:, spot[i]] = (end / end.sum(axis=1, keepdims=True)).T
+    for j in range(int(number.max()), 0, -1):
+        i = np.flatnonzero(number == j)
+        w = np.einsum("nst,tn->ns", m[i], after[:, spot[i]]) @ a.T
+        after[:, spot[i - 1]] = (w / w.sum(axis=1, keepdims=True)).T
+    return before, after
+
+
+def expected_counts(model: Model, sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Baum-Welch sums over whole sequences: expected starts, moves and emissions."""
     s = len(model.start)
     start, move, emit = np.zeros(s), np.zeros((s, s)), np.zeros((s, model.emit.shape[1]))
-    a, e = model.move.astype(np.float32), np.ascontiguousarray(model.emit.T.astype(np.float32))
-    for lo in range(0, len(sequences), at_once):
-        part = sequences[lo : lo + at_once]
-        size = np.array([len(x) for x in part])
-        steps, n = int(size[0]), len(part)
-        x = np.zeros((steps, n), np.int64)
-        for j, q in enumerate(part):
-            x[: len(q), j] = q
-        live = [int((size > t).sum()) for t in range(steps)]
-        alpha = np.zeros((steps, n, s), np.float32)
-        likely = e[x]
-        scale = np.ones((steps, n), np.float32)
-        for t in range(steps):
-            k = live[t]
-            v = likely[t, :k] * (model.start.astype(np.float32) if t == 0 else alpha[t - 1, :k] @ a)
-            scale[t, :k] = np.maximum(v.sum(axis=1), 1e-30)
-            alpha[t, :k] = v / scale[t, :k, None]
-        beta = np.ones((n, s), np.float32)
-        gamma = np.zeros((steps, n, s), np.float32)
-        for t in range(steps - 1, -1, -1):
-            gamma[t, : live[t]] = alpha[t, : live[t]] * beta[: live[t]]
-            if t:
-                k = live[t]
-                v = likely[t, :k] * beta[:k] / scale[t, :k, None]
-                move += (alpha[t - 1, :k].T @ v) * a
-                beta[:k] = v @ a.T
-        start += gamma[0].sum(axis=0)
-        flat = x.ravel()
-        inside = (np.arange(steps)[:, None] < size[None, :]).ravel()
-        for i in range(s):
-            emit[i] += np.bincount(flat[inside], weights=gamma[:, :, i].ravel()[inside], minlength=emit.shape[1])
-    return start, move, emit
+    cut = [(i, q[at : at + STRETCH]) for i, q in enumerate(sequences) for at in range(0, len(q), STRETCH)]
+    if not cut:
+        return start, move, emit
+    a = model.move.astype(np.float32)
+    # stretches side by side, symbols time by time, the longest first, so that memory is that of the sequences
+    text, size = np.array([i for i, _ in cut]), np.array([len(q) for _, q in cut])
+    place = np.empty(len(cut), np.int64)
+    place[np.argsort(-size, kind="stable")] = np.arange(len(cut))
+    row, at = C.places(size)
+    size = np.sort(size)[::-1]
+    steps = int(size[0])
+    live = len(size) - np.searchsorted(size[::-1], np.arange(steps), side="right")
+    begin = np.cumsum(live) - live
+    x = np.empty(len(row), np.int64)
+    x[begin[at] + place[row]] = np.concatenate([q for _, q in cut])
+    live, begin = live.tolist(), begin.tolist()
+    # a factor of a symbol that all states share changes nothing; without it numbers stay near one
+    likely = np.take((model.emit / np.maximum(model.emit.sum(axis=0), 1e-300)).astype(np.float32), x, axis=1)
+
+    before, after = (w.astype(np.float32) for w in _ends(model, likely, begin, live, text, place))
+    opens = np.zeros(len(cut), bool)
+    opens[place[np.concatenate([[True], text[1:] != text[:-1]])]] = True
+    alpha, scale = np.empty_like(likely), np.empty(len(x), np.float32)
+    ahead = np.ascontiguousarray(a.T)
+    for t in range(steps):
+        k, o = live[t], begin[t]
+        v = alpha[:, o : o + k]
+        if t == 0:
+            np.multiply(likely[:, :k], np.where(opens, model.start.astype(np.float32)[:, None], ahead @ before), out=v)
+        else:
+            np.multiply(likely[:, o : o + k], ahead @ alpha[:, begin[t - 1] : begin[t - 1] + k], out=v)
+        v /= np.maximum(v.sum(axis=0), np.float32(1e-30), out=scale[o : o + k])
+    likely /= scale
+    last = np.array(begin)[size - 1] + np.arange(len(size))
+    beta = after / np.maximum((alpha[:, last] * after).sum(axis=0), 1e-30)
+    for t in range(steps - 1, -1, -1):
+        k, o = live[t], begin[t]
+        v = likely[:, o : o + k] * beta[:, :k]
+        move += alpha[:, begin[t - 1] : begin[t - 1] + k] @ v.T if t else before[:, ~opens] @ v[:, ~opens].T
+        # what is left in alpha is the chance of each state at each place
+        alpha[:, o : o + k] *= beta[:, :k]
+        if t:
+            beta[:, :k] = a @ v
+    start += alpha[:, : live[0]][:, opens].sum(axis=1)
+    for i in range(s):
+        emit[i] = np.bincount(x, weights=alpha[i], minlength=emit.shape[1])
+    return start, move * a, emit
 
 
 def log10_likelihoods(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
@@ -225,12 +275,22 @@ def _expect(model: Model):
     s = len(model.start)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        start, move, emit = np.zeros(s), np.zeros((s, s)), np.zeros((s, SYMBOLS))
+        sums = np.zeros(s), np.zeros((s, s)), np.zeros((s, SYMBOLS))
+
+        def add(texts: list[bytes]) -> None:
+            for total, part in zip(sums, expected_counts(model, [np.frombuffer(r, np.uint16) for r in texts]), strict=True):
+                total += part
+
+        held, size = [], 0
         for batch in batches:
-            for lo in range(0, batch.num_rows, 2000):
-                q = stretches([np.frombuffer(r, np.uint16).astype(np.int64) for r in batch.column("symbols").slice(lo, 2000).to_pylist()])
-                a, b, c = expected_counts(model, q)
-                start, move, emit = start + a, move + b, emit + c
+            for r in batch.column("symbols").to_pylist():
+                if held and size + len(r) // 2 > AT_ONCE:
+                    add(held)
+                    held, size = [], 0
+                held.append(r)
+                size += len(r) // 2
+        add(held)
+        start, move, emit = sums
         yield pa.record_batch([pa.array(np.arange(SYMBOLS + 1 + s)), pa.array([x.tolist() for x in (*emit.T, start, *move)], pa.list_(pa.float64()))], names=["part", "counts"])
 
     return task
@@ -369,18 +429,13 @@ def score(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS) -> DataFr
     frequency[1 + TOP_WORDS :] = class_n
     model = Model.initial(frequency, states)
     train = texts.where("not held_out").select("symbols")
-    first = texts.where("not held_out").select("row", F.expr(f"substring(symbols, 1, {8 * STRETCH})").alias("symbols")).orderBy(F.xxhash64("row"), "row").limit(START_TEXTS).collect()
-    if first:
-        q = stretches([np.frombuffer(bytes(r[1]), np.uint16).astype(np.int64) for r in first])
-        for _ in range(START_ROUNDS):
-            model = model.next(*expected_counts(model, q))
-        for _ in range(rounds):
-            parts = train.mapInArrow(_expect(model), "part bigint, counts array<double>")
-            total = parts.groupBy("part").agg(*[F.sum(F.col("counts")[i]).alias(f"c{i}") for i in range(states)]).collect()
-            sums_ = np.zeros((SYMBOLS + 1 + states, states))
-            for r in total:
-                sums_[r[0]] = r[1:]
-            model = model.next(sums_[SYMBOLS], sums_[SYMBOLS + 1 :], sums_[:SYMBOLS].T)
+    for _ in range(rounds if ends else 0):
+        parts = train.mapInArrow(_expect(model), "part bigint, counts array<double>")
+        total = parts.groupBy("part").agg(*[F.sum(F.col("counts")[i]).alias(f"c{i}") for i in range(states)]).collect()
+        sums_ = np.zeros((SYMBOLS + 1 + states, states))
+        for r in total:
+            sums_[r[0]] = r[1:]
+        model = model.next(sums_[SYMBOLS], sums_[SYMBOLS + 1 :], sums_[:SYMBOLS].T)
 
     own = np.log10(n_all + v_all + 1.0)
     spread, base = np.zeros(SYMBOLS), np.full(SYMBOLS, -own)

@@ -338,3 +338,26 @@ def test_forward_recursion_and_baum_welch():
     assert hmm_lm.log10_likelihoods(model, seqs) == pytest.approx([plain(x) for x in seqs])
     start, move, emit = hmm_lm.expected_counts(model, sorted(seqs, key=len, reverse=True))
     assert start.sum() == pytest.approx(3, rel=1e-4) and move.sum() == pytest.approx(9, rel=1e-4) and emit.sum() == pytest.approx(12, rel=1e-4)
+
+
+def test_every_training_text_is_learned_whole(spark, monkeypatch):
+    """The late part of long texts, beyond any prefix or stretch, enters each round's counts."""
+    rng = np.random.default_rng(4)
+    model = hmm_lm.Model(np.array([0.6, 0.4]), np.array([[0.9, 0.1], [0.2, 0.8]]), rng.dirichlet(np.ones(hmm_lm.SYMBOLS), 2))
+    seqs = [rng.integers(0, 30, k).astype(np.uint16) for k in (700, 1500, 3, 40)]
+    seen = []
+    monkeypatch.setattr(hmm_lm, "AT_ONCE", 1000)
+    rows = hmm_lm.pa.record_batch([hmm_lm.pa.array([q.tobytes() for q in seqs], hmm_lm.pa.binary())], names=["symbols"])
+    parts = next(hmm_lm._expect(model)(iter([rows]))).column("counts").to_pylist()
+    emit, start, move = np.array(parts[: hmm_lm.SYMBOLS]), np.array(parts[hmm_lm.SYMBOLS]), np.array(parts[hmm_lm.SYMBOLS + 1 :])
+    assert start.sum() == pytest.approx(4, rel=1e-4), "a text starts once"
+    assert move.sum() == pytest.approx(sum(map(len, seqs)) - 4, rel=1e-4), "no move is cut"
+    assert emit.sum(axis=1)[:30] == pytest.approx(np.bincount(np.concatenate(seqs), minlength=30), rel=1e-3)
+
+    real = hmm_lm.Model.next
+    monkeypatch.setattr(hmm_lm.Model, "next", lambda self, *c: (seen.append(c[2].sum()), real(self, *c))[1])
+    texts = [(1, " ".join(f"v{i % 50}" for i in range(900))), (2, "a b c"), (4, None)]
+    hmm_lm.score(spark.createDataFrame(texts, "doc_id long, text string")).count()
+    held = [zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in texts]
+    want = sum(len(words(t)) + 1 for (_, t), h in zip(texts, held, strict=True) if not h)
+    assert len(seen) == hmm_lm.ROUNDS and seen == pytest.approx([want] * hmm_lm.ROUNDS, rel=1e-4)
