@@ -3,8 +3,9 @@
 Pages of a host are token streams: tags with their class or id, and text. A wrapper starts as one page and is aligned
 with the next, page after page: texts that differ become slots, parts only one side has become optional or, where they
 repeat what stands beside them, repeated groups. Nothing is ever a choice between two shapes, so a wrapper stays a
-regular expression without unions. Its slots say where a host's varying text lives; the container with most of it, menus
-and the like aside, is where the article is, and every page of the host is read there, whole.
+regular expression without unions. Its slots say where a host's varying text lives; the deepest container with all of it,
+menus and the like aside, or all article and main elements, is where the article is, and every page of the host is read
+there, whole.
 
 A wrapper is inferred from at most ``SAMPLE`` pages of a host (chosen by hash, one per hash class, an aggregation with
 map-side combine); it is then applied to every page. A host's size only matters to the join, which broadcasts wrappers
@@ -206,7 +207,8 @@ def _slots_all(items: list) -> Iterator[list]:
 
 
 def infer(pages: list[str]) -> dict:
-    """A host's wrapper as text, and the path of the container of its article ('' where none stands out)."""
+    """A host's wrapper as text, and the container of its article: the paths of all article and main elements, by lines, or
+    the deepest path with all varying words ('' where there is none)."""
     shapes = [_shape(p) for p in pages]
     wrapper = shapes[0] if shapes else []
     for s in shapes[1:]:
@@ -223,9 +225,10 @@ def infer(pages: list[str]) -> dict:
     total = max(mass.values(), default=0)
     marked = [p for p in mass if p.rsplit("/", 1)[-1].split(".")[0] in MAIN]
     if marked:
-        best = max(marked, key=lambda p: (mass[p], -p.count("/")))
+        # all of them: those inside another add nothing
+        best = "\n".join(sorted(p for p in marked if not any(p.startswith(q + "/") for q in marked)))
     else:
-        best = max((p for p in mass if mass[p] >= 0.8 * total and p.rsplit("/", 1)[-1].split(".")[0] not in ("p", "li", "h1", "h2")), key=lambda p: (p.count("/"), mass[p]), default="")
+        best = max((p for p in mass if mass[p] == total and p.rsplit("/", 1)[-1].split(".")[0] not in ("p", "li", "h1", "h2")), key=lambda p: p.count("/"), default="")
     return {"wrapper": expression(wrapper), "container": best}
 
 
@@ -245,7 +248,8 @@ def expression(wrapper: list) -> str:
 def read(page: str, container: str) -> str:
     """The article of a page: blocks in the container (anywhere, where the page lacks it) that are no menu or the like."""
     found = [("/".join(path), outside, text) for path, outside, text in blocks(page)]
-    inside = [t for p, outside, t in found if not outside and (p == container or p.startswith(container + "/"))] if container else []
+    paths = container.split("\n") if container else []
+    inside = [t for p, outside, t in found if not outside and any(p == c or p.startswith(c + "/") for c in paths)]
     if not inside:
         has_main = any(not o and any(s.split(".")[0] in MAIN for s in p.split("/")) for p, o, _ in found)
         inside = [t for p, o, t in found if not o and (not has_main or any(s.split(".")[0] in MAIN for s in p.split("/")))]
@@ -259,7 +263,7 @@ def _infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def wrappers(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """host, wrapper (a union-free regular expression), container (path of the article's element)."""
+    """host, wrapper (a union-free regular expression), container (paths of the article's elements, by lines)."""
     own = pages.select(_host(F.col("url")).alias("host"), F.col("html").cast("string").alias("html"))
     h = F.xxhash64("html")
     kinds = [F.min_by("html", F.when((F.pmod(h, F.lit(sample)) == i) & F.col("html").isNotNull(), h)).alias(f"p{i}") for i in range(sample)]

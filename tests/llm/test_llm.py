@@ -244,6 +244,15 @@ def test_wrappers_are_union_free():
     assert html.unescape("&amp;") == "&"
 
 
+def test_container_holds_the_whole_article():
+    own = lambda i, k: " ".join(f"w{i}x{j}" for j in range(k))
+    pages = [f"<body><div class=content><h1>Head {i}</h1><p class=lead>lead {i}</p><div class=body><p>{own(i, 80)}</p></div></div></body>" for i in range(4)]
+    c = html_extraction.infer(pages)["container"]
+    assert html_extraction.read(pages[1], c) == f"Head 1\nlead 1\n{own(1, 80)}"
+    pages = [f"<body><article class=a><p>{own(i, 60)}</p></article><article class=b><p>second {i}</p></article></body>" for i in range(4)]
+    assert html_extraction.read(pages[1], html_extraction.infer(pages)["container"]) == f"{own(1, 60)}\nsecond 1"
+
+
 def test_pii(spark, frame, corpus, odd):
     def luhn(d):
         return sum((2 * int(c) - 9 if int(c) > 4 else 2 * int(c)) if i % 2 else int(c) for i, c in enumerate(reversed(d))) % 10 == 0
