@@ -45,7 +45,10 @@ OUTSIDE = re.compile(r"(?i)(?:^|[-_ ])(?:ads?|advert\w*|sponsor\w*|promo\w*|bann
 OUTSIDE_ROLE = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|[^<]+|<", re.S)
-ATTRIBUTE = re.compile(r"(?i)(?:^|[\s/])(class|id|role|hidden|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
+ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
+MARKS = frozenset("class id role hidden aria-hidden".split())
+#: elements whose class or id says nothing about their text
+WHOLE = MAIN | {"html", "body"}
 SPACE = re.compile(r"\s+")
 
 
@@ -60,7 +63,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
             if m[1]:
                 yield "close", name, ""
                 continue
-            marks = {k.lower(): (v or "").strip("\"'") for k, v in ATTRIBUTE.findall(m[3])} if m[3] else {}
+            marks = {k.lower(): (v or "").strip("\"'") for k, v in ATTRIBUTE.findall(m[3]) if k.lower() in MARKS} if m[3] else {}
             yield "open", name, json.dumps(marks) if marks else ""
             if name in RAW:
                 end = lower.find(f"</{name}", at)
@@ -72,7 +75,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
 def _outside(name: str, marks: dict) -> bool:
     if name in DROPPED or "hidden" in marks or marks.get("aria-hidden") == "true" or marks.get("role", "").lower() in OUTSIDE_ROLE:
         return True
-    return any(OUTSIDE.search(marks.get(k, "")) for k in ("class", "id"))
+    return name not in WHOLE and any(OUTSIDE.search(marks.get(k, "")) for k in ("class", "id"))
 
 
 def blocks(page: str) -> Iterator[tuple[tuple[str, ...], bool, str]]:

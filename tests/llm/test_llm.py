@@ -244,6 +244,12 @@ def test_wrappers_are_union_free():
     assert html.unescape("&amp;") == "&"
 
 
+@pytest.mark.parametrize("page", ["<body class='has-sidebar'><p>a text</p>", "<article class='post category-legal'><p>a text</p></article>", '<div style="overflow: hidden"><p title="the hidden valley">a text</p></div>'])
+def test_marks_that_say_nothing_drop_nothing(page):
+    assert html_extraction.read(page, "") == "a text"
+    assert html_extraction.read("<div hidden>x</div><p class=ad>y</p>" + page, "") == "a text"
+
+
 def test_container_holds_the_whole_article():
     own = lambda i, k: " ".join(f"w{i}x{j}" for j in range(k))
     pages = [f"<body><div class=content><h1>Head {i}</h1><p class=lead>lead {i}</p><div class=body><p>{own(i, 80)}</p></div></div></body>" for i in range(4)]
