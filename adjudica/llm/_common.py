@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -66,6 +66,23 @@ class Scratch:
         p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def running(work: Scratch, df: DataFrame, order: list[Column], sums: dict[str, Column], tag: str) -> DataFrame:
+    """df with, under each name, the sum of a column over all rows that stand before in the order.
+
+    Range partitions are summed apart and shifted by what stands before them, so no task sees all rows; the ranged rows
+    are written, because sizes and rows must see the same bounds, which Spark draws from a sample.
+    """
+    spark = df.sparkSession
+    parts = work.write(df.repartitionByRange(buckets_of(spark), *order).withColumn("_part", F.spark_partition_id()), tag)
+    inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    # one row per partition, as many as the session's setting
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = parts.groupBy("_part").agg(*[F.sum(c).alias(f"_all_{k}") for k, c in sums.items()])
+    shift = totals.select(F.col("_part").alias("_of"), *[F.coalesce(F.sum(f"_all_{k}").over(before), F.lit(0)).alias(f"_shift_{k}") for k in sums])
+    out = parts.join(F.broadcast(shift), F.col("_part") == F.col("_of"))
+    return out.select(*df.columns, *[(F.coalesce(F.sum(c).over(inside), F.lit(0)) + F.col(f"_shift_{k}")).alias(k) for k, c in sums.items()])
+
+
 def buckets_of(spark: SparkSession) -> int:
     """Buckets of a packed exchange: the session's shuffle partitions, so it grows with the cluster's own setting."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -229,13 +246,13 @@ def gather(batches: Iterator[pa.RecordBatch], raw: list, n_steps: int) -> list[n
     return [np.concatenate(c) for c in zip(*got, strict=True)] if got else None
 
 
-def doc_chunks(batches: Iterator[pa.RecordBatch], most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Batches of a table with a column text, cut or joined so that each holds about ``most`` bytes of it."""
+def doc_chunks(batches: Iterator[pa.RecordBatch], most: int = 4 << 20, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """Batches of a table with a column of texts, cut or joined so that each holds about ``most`` bytes of it."""
     held, size = [], 0
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        lengths = np.asarray(pc.fill_null(pc.binary_length(batch.column("text")), 0))
+        lengths = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0))
         part = (np.cumsum(lengths) - lengths) // most
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1), batch.num_rows]
         for a, b in zip(cuts, cuts[1:], strict=False):
