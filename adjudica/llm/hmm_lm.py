@@ -2,7 +2,7 @@
 
 A word is emitted in two steps: a hidden state emits a symbol, and the symbol the word. The commonest words are symbols
 of their own; the others share symbols by their last letters, and inside such a class a word has its add-one share of
-the class's counts. Symbols are a bounded alphabet, so the model is of fixed size while word counts, which stay in a
+the class's counts. Texts are split into words once, as a table of word numbers that every later step reads. Symbols are a bounded alphabet, so the model is of fixed size while word counts, which stay in a
 table split by word hash, grow with the corpus.
 
 Baum-Welch starts from the counts of all training texts. In every round each task sums expected counts over its part of
@@ -13,6 +13,7 @@ sums of logarithms back.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,29 +29,51 @@ SYMBOLS = 1 + TOP_WORDS + CLASSES
 #: Baum-Welch rounds, each over all training texts
 ROUNDS = 10
 #: symbols of training texts handled at once; a longer text is handled whole
-AT_ONCE = 1_000_000
+AT_ONCE = 2_000_000
 #: symbols of a text that are stepped through side by side with its others; the state goes from one stretch to the next
-STRETCH = 512
+STRETCH = 1024
+#: bytes of text, or of word numbers, handled at once
+CHUNK = 8 << 20
+#: texts longer than this many symbols are scored by stretches side by side
+LONG = 1 << 16
 
-COUNT = np.dtype([("word", np.uint64), ("cls", np.uint16), ("n", np.uint32)])
+COUNT = np.dtype([("word", np.uint64), ("n", np.uint64)])
+WORDS = "doc_id bigint, row bigint, held_out boolean, words binary"
 
 
-def _word_table(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hash and class of each distinct word of a chunk, index of every word, words per text."""
+def _hashed(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each word, its class in the low bits and its hash above them, and the words per text."""
     flat, counts = C.words_of(texts, lower=True)
     d = flat.dictionary_encode()
-    words = C.hash_words(d.dictionary)
-    cls = (C.hash_words(pc.utf8_slice_codeunits(d.dictionary, -3)) % np.uint64(CLASSES)).astype(np.uint16)
-    return words, cls, np.asarray(d.indices), counts
+    cls = C.hash_words(pc.utf8_slice_codeunits(d.dictionary, -3)) % np.uint64(CLASSES)
+    return (C.hash_words(d.dictionary) // np.uint64(CLASSES) * np.uint64(CLASSES) + cls)[np.asarray(d.indices)], counts
+
+
+def _tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for chunk in C.doc_chunks(batches, CHUNK):
+        words, counts = _hashed(chunk.column("text"))
+        ends = np.cumsum(counts)
+        raw = [words[e - k : e].tobytes() for e, k in zip(ends, counts, strict=True)]
+        yield pa.record_batch([chunk.column("doc_id"), chunk.column("row"), chunk.column("held_out"), pa.array(raw, pa.binary())], names=["doc_id", "row", "held_out", "words"])
+
+
+def _words_of(chunk: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """All words of a chunk of WORDS, and how many each text has."""
+    raw = chunk.column("words").to_pylist()
+    return np.frombuffer(b"".join(raw), np.uint64), np.array([len(r) // 8 for r in raw], np.int64)
+
+
+def _class_of(words: np.ndarray) -> np.ndarray:
+    return (words % np.uint64(CLASSES)).astype(np.int64)
 
 
 def _count(n: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
-            for chunk in C.doc_chunks(batches):
-                words, cls, index, _ = _word_table(chunk.column("text"))
+            for chunk in C.doc_chunks(batches, CHUNK, "words"):
+                words, times = np.unique(_words_of(chunk)[0], return_counts=True)
                 out = np.empty(len(words), COUNT)
-                out["word"], out["cls"], out["n"] = words, cls, np.bincount(index, minlength=len(words))
+                out["word"], out["n"] = words, times
                 yield from _by_bucket(out, C.bucket_of(words, n))
 
         return C.packed_batches(rows())
@@ -79,10 +102,10 @@ def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if not got:
         return
     all_ = np.concatenate(got)
-    words, at, inverse = np.unique(all_["word"], return_index=True, return_inverse=True)
-    out = np.empty(len(words), COUNT)
-    out["word"], out["cls"] = words, all_["cls"][at]
-    out["n"] = np.bincount(inverse, weights=all_["n"], minlength=len(words))
+    all_ = all_[np.argsort(all_["word"])]
+    at = np.flatnonzero(np.concatenate([[True], all_["word"][1:] != all_["word"][:-1]]))
+    out = all_[at]
+    out["n"] = np.add.reduceat(all_["n"], at)
     top = np.lexsort((out["word"], -out["n"].astype(np.int64)))[:TOP_WORDS]
     k = len(top)
     nulls = {t: pa.nulls(k, t) for t in (pa.int32(), pa.binary(), pa.int64())}
@@ -90,6 +113,11 @@ def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.record_batch([pa.array(["top"] * k), nulls[pa.int32()], nulls[pa.binary()], pa.array(out["word"][top].view(np.int64)), pa.array(out["n"][top].astype(np.int64)), nulls[pa.int64()]], schema=COUNTED_ARROW)
 
 
+def _is_in(words: np.ndarray, top: np.ndarray) -> np.ndarray:
+    """Whether each word is one of the sorted top."""
+    return top[np.minimum(np.searchsorted(top, words), len(top) - 1)] == words if len(top) else np.zeros(len(words), bool)
+
+
 def _class_sums(top: np.ndarray):
     """Of the words without a symbol of their own: occurrences and distinct words of each class."""
 
@@ -98,17 +126,17 @@ def _class_sums(top: np.ndarray):
         for batch in batches:
             for p in batch.column("payload").to_pylist():
                 c = np.frombuffer(p, COUNT)
-                c = c[~np.isin(c["word"], top)]
-                n += np.bincount(c["cls"], weights=c["n"], minlength=CLASSES).astype(np.int64)
-                v += np.bincount(c["cls"], minlength=CLASSES)
+                c = c[~_is_in(c["word"], top)]
+                np.add.at(n, _class_of(c["word"]), c["n"].astype(np.int64))
+                v += np.bincount(_class_of(c["word"]), minlength=CLASSES)
         yield pa.record_batch([pa.array(np.arange(CLASSES)), pa.array(n), pa.array(v)], names=["cls", "n", "distinct"])
 
     return task
 
 
-def _symbols_of(words: np.ndarray, cls: np.ndarray, top: np.ndarray, rank: np.ndarray) -> np.ndarray:
+def _symbols_of(words: np.ndarray, top: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """Symbol of each word: 0 ends a text, then common words by rank, then classes."""
-    out = 1 + TOP_WORDS + cls.astype(np.int64)
+    out = 1 + TOP_WORDS + _class_of(words)
     if len(top):
         at = np.minimum(np.searchsorted(top, words), len(top) - 1)
         own = top[at] == words
@@ -122,9 +150,9 @@ TEXTS_ARROW = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("held_out
 
 def _to_symbols(top: np.ndarray, rank: np.ndarray):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in C.doc_chunks(batches):
-            words, cls, index, counts = _word_table(chunk.column("text"))
-            symbols = _symbols_of(words, cls, top, rank).astype(np.uint16)[index]
+        for chunk in C.doc_chunks(batches, CHUNK, "words"):
+            words, counts = _words_of(chunk)
+            symbols = _symbols_of(words, top, rank).astype(np.uint16)
             row, _ = C.places(counts)
             rare = np.bincount(row[symbols > TOP_WORDS], minlength=len(counts))
             ends = np.cumsum(counts)
@@ -194,8 +222,18 @@ def _ends(model: Model, likely: np.ndarray, begin: list[int], live: list[int], t
     return before, after
 
 
-def expected_counts(model: Model, sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Baum-Welch sums over whole sequences: expected starts, moves and emissions."""
+_rooms: dict[int, np.ndarray] = {}
+
+
+def _room(which: int, rows: int, n: int) -> np.ndarray:
+    """An array to be overwritten, of memory that is used again from call to call."""
+    if which not in _rooms or _rooms[which].size < rows * n:
+        _rooms[which] = np.empty(rows * max(n, AT_ONCE), np.float32)
+    return _rooms[which][: rows * n].reshape(rows, n)
+
+
+def expected_counts(model: Model, sequences: list[np.ndarray], times: list[int] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Baum-Welch sums over whole sequences, each so many times: expected starts, moves and emissions."""
     s = len(model.start)
     start, move, emit = np.zeros(s), np.zeros((s, s)), np.zeros((s, model.emit.shape[1]))
     cut = [(i, q[at : at + STRETCH]) for i, q in enumerate(sequences) for at in range(0, len(q), STRETCH)]
@@ -215,12 +253,14 @@ def expected_counts(model: Model, sequences: list[np.ndarray]) -> tuple[np.ndarr
     x[begin[at] + place[row]] = np.concatenate([q for _, q in cut])
     live, begin = live.tolist(), begin.tolist()
     # a factor of a symbol that all states share changes nothing; without it numbers stay near one
-    likely = np.take((model.emit / np.maximum(model.emit.sum(axis=0), 1e-300)).astype(np.float32), x, axis=1)
+    likely, alpha = _room(0, s, len(x)), _room(1, s, len(x))
+    for i, share in enumerate((model.emit / np.maximum(model.emit.sum(axis=0), 1e-300)).astype(np.float32)):
+        np.take(share, x, out=likely[i], mode="clip")
 
     before, after = (w.astype(np.float32) for w in _ends(model, likely, begin, live, text, place))
     opens = np.zeros(len(cut), bool)
     opens[place[np.concatenate([[True], text[1:] != text[:-1]])]] = True
-    alpha, scale = np.empty_like(likely), np.empty(len(x), np.float32)
+    scale = np.empty(len(x), np.float32)
     ahead = np.ascontiguousarray(a.T)
     for t in range(steps):
         k, o = live[t], begin[t]
@@ -233,6 +273,10 @@ def expected_counts(model: Model, sequences: list[np.ndarray]) -> tuple[np.ndarr
     likely /= scale
     last = np.array(begin)[size - 1] + np.arange(len(size))
     beta = after / np.maximum((alpha[:, last] * after).sum(axis=0), 1e-30)
+    if times is not None:
+        weight = np.empty(len(cut), np.float32)
+        weight[place] = np.array(times)[text]
+        beta *= weight
     for t in range(steps - 1, -1, -1):
         k, o = live[t], begin[t]
         v = likely[:, o : o + k] * beta[:, :k]
@@ -247,11 +291,35 @@ def expected_counts(model: Model, sequences: list[np.ndarray]) -> tuple[np.ndarr
     return start, move * a, emit
 
 
+def _long_likelihood(model: Model, q: np.ndarray) -> float:
+    """The scaled forward recursion over one long sequence: stretches, as matrices from state to state, side by side."""
+    emit = np.ascontiguousarray(model.emit.T)
+    alpha = model.start * emit[q[0]]
+    total = np.log10(alpha.sum())
+    alpha = alpha / alpha.sum()
+    k = (len(q) - 1) // STRETCH
+    x = q[1 : 1 + k * STRETCH].reshape(k, STRETCH)
+    whole, logs = np.broadcast_to(np.eye(len(alpha)), (k, len(alpha), len(alpha))), np.zeros(k)
+    for t in range(STRETCH):
+        whole = (whole @ model.move) * emit[x[:, t]][:, None, :]
+        c = whole.sum(axis=(1, 2))
+        whole = whole / c[:, None, None]
+        logs += np.log10(c)
+    total += logs.sum()
+    for m in (*whole, *(model.move * emit[s] for s in q[1 + k * STRETCH :])):
+        alpha = alpha @ m
+        total += np.log10(alpha.sum())
+        alpha = alpha / alpha.sum()
+    return float(total)
+
+
 def log10_likelihoods(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
     """log10 probability of each whole sequence by the scaled forward recursion."""
-    order = sorted(range(len(sequences)), key=lambda i: -len(sequences[i]))
-    size = np.array([len(sequences[i]) for i in order])
     out = np.zeros(len(sequences))
+    for i in (i for i, q in enumerate(sequences) if len(q) > LONG):
+        out[i] = _long_likelihood(model, sequences[i])
+    order = sorted((i for i, q in enumerate(sequences) if len(q) <= LONG), key=lambda i: -len(sequences[i]))
+    size = np.array([len(sequences[i]) for i in order])
     if not len(size):
         return out
     # symbols time by time, so that memory is that of the sequences
@@ -278,7 +346,9 @@ def _expect(model: Model):
         sums = np.zeros(s), np.zeros((s, s)), np.zeros((s, SYMBOLS))
 
         def add(texts: list[bytes]) -> None:
-            for total, part in zip(sums, expected_counts(model, [np.frombuffer(r, np.uint16) for r in texts]), strict=True):
+            # copies that meet here are gone through once
+            distinct = Counter(texts)
+            for total, part in zip(sums, expected_counts(model, [np.frombuffer(r, np.uint16) for r in distinct], list(distinct.values())), strict=True):
                 total += part
 
         held, size = [], 0
@@ -300,15 +370,13 @@ def _score(model: Model, spread: np.ndarray, base: np.ndarray):
     """spread, base: by symbol, the part of a word's score and of its base score that is known without its own count."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 2000):
-                part = batch.slice(lo, 2000)
-                q = [np.frombuffer(r, np.uint16).astype(np.int64) for r in part.column("symbols").to_pylist()]
-                likelihood = log10_likelihoods(model, q)
-                flat, row = np.concatenate(q), np.repeat(np.arange(len(q)), [len(x) for x in q])
-                extra = np.bincount(row, weights=spread[flat], minlength=len(q))
-                own = np.bincount(row, weights=base[flat], minlength=len(q))
-                yield pa.record_batch([*[part.column(c) for c in ("doc_id", "row", "held_out", "n_tokens", "n_rare")], pa.array(likelihood + extra), pa.array(own)], names=["doc_id", "row", "held_out", "n_tokens", "n_rare", "model_part", "base_part"])
+        for part in C.doc_chunks(batches, 2 * AT_ONCE, "symbols"):
+            q = [np.frombuffer(r, np.uint16).astype(np.int64) for r in part.column("symbols").to_pylist()]
+            likelihood = log10_likelihoods(model, q)
+            flat, row = np.concatenate(q), np.repeat(np.arange(len(q)), [len(x) for x in q])
+            extra = np.bincount(row, weights=spread[flat], minlength=len(q))
+            own = np.bincount(row, weights=base[flat], minlength=len(q))
+            yield pa.record_batch([*[part.column(c) for c in ("doc_id", "row", "held_out", "n_tokens", "n_rare")], pa.array(likelihood + extra), pa.array(own)], names=["doc_id", "row", "held_out", "n_tokens", "n_rare", "model_part", "base_part"])
 
     return task
 
@@ -322,14 +390,15 @@ def _bags(top: np.ndarray, n: int):
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
-            for chunk in C.doc_chunks(batches):
-                words, _, index, counts = _word_table(chunk.column("text"))
-                rare = ~np.isin(words, top)
-                row, _ = C.places(counts)
-                some = rare[index]
-                key, n_of = np.unique(row[some] * np.int64(max(1, len(words))) + index[some], return_counts=True)
-                who, word = key // max(1, len(words)), words[key % max(1, len(words))]
-                ids = np.asarray(chunk.column("row"))[who]
+            for chunk in C.doc_chunks(batches, CHUNK, "words"):
+                words, counts = _words_of(chunk)
+                some = np.flatnonzero(~_is_in(words, top))
+                row, word = C.places(counts)[0][some], words[some]
+                order = np.lexsort((word, row))
+                row, word = row[order], word[order]
+                at = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (word[1:] != word[:-1])])) if len(row) else order
+                n_of = np.diff(np.append(at, len(row)))
+                ids, word = np.asarray(chunk.column("row"))[row[at]], word[at]
                 yield from C.split_packed(C.bucket_of(word, n), n, [word], [ids, n_of])
 
         return C.packed_batches(rows())
@@ -405,10 +474,11 @@ def score(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS) -> DataFr
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), F.col("text").cast("string").alias("text"))
     docs = docs.withColumn("row", F.xxhash64("doc_id", F.col("text").isNull(), "text"))
 
-    sent = docs.where("not held_out").select("text").mapInArrow(_count(n), C.PACKED)
+    tokens = work.write(docs.select("doc_id", "row", "held_out", "text").mapInArrow(_tokenise, WORDS), "words")
+    sent = tokens.where("not held_out").select("words").mapInArrow(_count(n), C.PACKED)
     counted = work.write(C.exchange(sent, n).mapInArrow(_add_up, COUNTED), "counts", by=["kind"])
     counts = counted.where("kind = 'counts'").select("bucket", "payload", "n", "distinct")
-    ends = docs.where("not held_out").count()
+    ends = tokens.where("not held_out").count()
     sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
     n_all, v_all = sums[0] + ends, sums[1] + (ends > 0)
     # written first: the commonest of all meet in a task, and only those come to the driver
@@ -422,7 +492,7 @@ def score(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS) -> DataFr
     for r in by_class:
         class_n[r[0]], class_v[r[0]] = r[1], r[2]
 
-    texts = work.write(docs.select("doc_id", "row", "held_out", "text").mapInArrow(_to_symbols(top, rank), TEXTS), "symbols")
+    texts = work.write(tokens.mapInArrow(_to_symbols(top, rank), TEXTS), "symbols")
     frequency = np.zeros(SYMBOLS)
     frequency[0] = ends
     frequency[1 : 1 + len(common)] = [r[1] for r in common]
@@ -444,10 +514,11 @@ def score(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS) -> DataFr
     base[: 1 + TOP_WORDS] += np.log10(known + 1.0)
     scored = texts.mapInArrow(_score(model, spread, base), "doc_id bigint, row bigint, held_out boolean, n_tokens bigint, n_rare bigint, model_part double, base_part double")
 
-    bags = docs.select("row", "text").mapInArrow(_bags(top, n), C.PACKED).withColumn("is_count", F.lit(False))
+    bags = tokens.select("row", "words").mapInArrow(_bags(top, n), C.PACKED).withColumn("is_count", F.lit(False))
     both = bags.unionByName(counts.select("bucket", "payload", F.lit(True).alias("is_count")))
     looked = C.exchange(both, n).mapInArrow(_look_up(n), C.PACKED)
-    sums_by_row = C.exchange(looked, n).mapInArrow(_sum_up, "of bigint, logs double, known double, total double")
+    sums_by_row = work.write(C.exchange(looked, n).mapInArrow(_sum_up, "of bigint, logs double, known double, total double"), "sums")
+    work.drop(tokens)
     out = scored.join(sums_by_row, F.col("row") == F.col("of"), "left")
     # rows repeated with the same id and text are summed together; each has its share
     share = F.coalesce(F.try_divide(F.col("n_rare"), F.col("total")), F.lit(0.0))
