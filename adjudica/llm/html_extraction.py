@@ -1,15 +1,19 @@
 """HTML extraction by union-free regular-expression inference.
 
-Pages of a host are token streams: tags with their class or id, and text. A wrapper starts as one page and is aligned
-with the next, page after page: texts that differ become slots, parts only one side has become optional or, where they
-repeat what stands beside them, repeated groups. Nothing is ever a choice between two shapes, so a wrapper stays a
-regular expression without unions. Its slots say where a host's varying text lives; the deepest container with all of it,
-menus and the like aside, or all article and main elements, is where the article is, and every page of the host is read
-there, whole.
-
-A wrapper is inferred from at most ``SAMPLE`` pages of a host (chosen by hash, one per hash class, an aggregation with
-map-side combine); it is then applied to every page. A host's size only matters to the join, which broadcasts wrappers
-while their counted bytes are small and is a skew join beyond.
+A page is a tree of its block elements, by name and class, with its texts as leaves; neighbours of one shape, and runs of
+neighbours that repeat, are folded into repeated groups. All pages of a host are aligned one after another into one
+wrapper: elements that only some pages have become optional or, next to their like, repeated; texts that differ become
+slots. Nothing is ever a choice between two shapes, so a wrapper stays a regular expression without unions.
+
+A wrapper's leaf knows whether pages differ there, which makes it a slot. Beside its tree a wrapper has, for each path of
+elements, the texts that every page with that path holds, wherever they stand among its repeats, and up to ``DISTINCT``
+hashes of what pages hold there in all: once so many differ, what they share is template. The article is what stands in article or main elements, else the
+deepest element with all slots, menus and the like aside. Every page is then matched against its host's wrapper, and its
+text is what its leaves in the article hold beyond the template.
+
+Wrappers are folded per task and host, merged in two rounds (a host with very many pages meets as one small wrapper per
+task, never as pages), and joined to the pages: broadcast while their counted bytes are few, a skew join beyond. Element
+names, roles and unmistakable class words decide only what is a menu, notice, advert or comment.
 """
 
 from __future__ import annotations
@@ -23,26 +27,35 @@ from difflib import SequenceMatcher
 
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adjudica.llm import _common as C
 
-SAMPLE = 5
-#: tokens of a sampled page that are aligned; reading a page has no such bound
-SAMPLE_TOKENS = 3000
+#: a text all pages share is template once so many different pages are known, and if it is less than SHARE of a page
+DISTINCT, SHARE = 8, 0.3
 BROADCAST_BYTES = 16 << 20
+#: hosts whose wrappers a task holds before it hands them on
+HELD_HOSTS = 2000
+SALTS = 16
 
 # fixed values: element names of HTML by role
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe xmp".split())
-DROPPED = frozenset("head script style noscript template iframe nav header footer aside form button select textarea menu dialog svg canvas object audio video".split())
+RAW = {n: re.compile(f"</{n}(?=[\\s/>])", re.I | re.A) for n in "script style textarea title noscript template iframe xmp".split()}
+DROPPED = frozenset("head script style noscript template iframe nav footer aside form button select textarea menu dialog svg canvas object audio video".split())
 MAIN = frozenset("article main".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
-#: words of a class, id or role that mark what is no article
-OUTSIDE = re.compile(r"(?i)(?:^|[-_ ])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notice|alert|popup|modal|sidebar|side|nav\w*|menu\w*|breadcrumbs?|header|footer|masthead|share|sharing|social|related|recommend\w*|comments?|replies|reply|respond|disqus|newsletter|subscribe|signup|login|search|toolbar|widget|tags|pagination|pager|skip|hidden|copyright|legal)(?:$|[-_ ])")
+#: elements that an open one of the other names ends, as far as the list, table or select they stand in
+ENDED_BY = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 OUTSIDE_ROLE = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
+#: words that mark a class or id as no article, as the whole token or its first or last part
+OUTSIDE = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promoted promotion banner cookie cookies consent notice notices alert popup modal sidebar nav navbar navigation menu breadcrumb breadcrumbs header footer masthead share sharing social related recommended recommendations comment comments replies reply respond disqus newsletter subscribe subscription signup login search toolbar widget widgets pagination pager skip hidden copyright".split())
+#: first parts that say what an element has, or what its text is about, not what it is
+ABOUT = frozenset("has with without no is not category cat tag topic type format status post page single theme layout".split())
+#: outside only if they hold less than half of a host's varying words: names of layout, not of a kind of text
+LAYOUT = frozenset("banner header masthead nav navigation notice related search share sharing sidebar social toolbar widget widgets".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|[^<]+|<", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
@@ -50,12 +63,12 @@ MARKS = frozenset("class id role hidden aria-hidden".split())
 #: elements whose class or id says nothing about their text
 WHOLE = MAIN | {"html", "body"}
 SPACE = re.compile(r"\s+")
+INSIDE, MAYBE, OUT = 0, 1, 2
 
 
-def tokens(page: str) -> Iterator[tuple[str, str, str]]:
+def tokens(page: str) -> Iterator[tuple[str, str, dict | str]]:
     """(kind, name, value): open tags with their marks, close tags and texts; comments and raw contents are left out."""
     at = 0
-    lower = page.lower()
     while m := TOKEN.match(page, at):
         at = m.end()
         if m[2]:
@@ -63,31 +76,80 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
             if m[1]:
                 yield "close", name, ""
                 continue
-            marks = {k.lower(): (v or "").strip("\"'") for k, v in ATTRIBUTE.findall(m[3]) if k.lower() in MARKS} if m[3] else {}
-            yield "open", name, json.dumps(marks) if marks else ""
+            yield "open", name, {k.lower(): (v or "").strip("\"'") for k, v in ATTRIBUTE.findall(m[3]) if k.lower() in MARKS} if m[3] else {}
             if name in RAW:
-                end = lower.find(f"</{name}", at)
-                at = len(page) if end < 0 else end
+                end = RAW[name].search(page, at)
+                at = end.start() if end else len(page)
         elif m[0][0] != "<" or m[0] == "<":
             yield "text", "", m[0]
 
 
-def _outside(name: str, marks: dict) -> bool:
-    if name in DROPPED or "hidden" in marks or marks.get("aria-hidden") == "true" or marks.get("role", "").lower() in OUTSIDE_ROLE:
-        return True
-    return name not in WHOLE and any(OUTSIDE.search(marks.get(k, "")) for k in ("class", "id"))
-
-
-def blocks(page: str) -> Iterator[tuple[tuple[str, ...], bool, str]]:
-    """(path of block elements, whether some element on it is no article, text) of each block of a page, in order."""
-    stack: list[tuple[str, str, bool]] = []
+def _says_outside(value: str) -> int:
+    worst = INSIDE
+    for token in value.lower().split():
+        parts = re.split(r"[-_]+", token)
+        for word in {token, parts[0], parts[-1]} & OUTSIDE if parts[0] not in ABOUT else {token} & OUTSIDE:
+            worst = max(worst, MAYBE if word in LAYOUT else OUT)
+    return worst
+
+
+def _outside(name: str, marks: dict, in_main: bool) -> int:
+    if name in DROPPED or (name == "header" and not in_main):
+        return OUT
+    if not marks:
+        return INSIDE
+    if "hidden" in marks or marks.get("aria-hidden") == "true" or marks.get("role", "").lower() in OUTSIDE_ROLE:
+        return OUT
+    # a header that is an article's own holds its headline
+    return INSIDE if name in WHOLE or name == "header" else max((_says_outside(marks[k]) for k in ("class", "id") if k in marks), default=INSIDE)
+
+
+# A wrapper is {"root": node, "shared": {path: [hashes of what pages hold there, hashes of the texts all of them hold]}}.
+# A node is [label, outside, flags, kids]; a leaf is ["#", 0, flags, words, up to two hashes of what pages hold] in a
+# wrapper and ["#", 0, flags, block numbers] in a page. Flags: 1 optional, 2 repeated, 4 a group
+# whose elements come in any order. A group of neighbours has the label "()".
+LEAF, GROUP, OPTIONAL, REPEAT, WIDE = "#", "()", 1, 2, 4
+#: elements nested deeper share the node they stand in, so that pages of unclosed elements stay shallow trees
+DEEPEST = 100
+#: more neighbours than this, folded, are one repeated group of optional elements
+WIDEST = 64
+
+
+def tree(page: str) -> tuple[list, list[str]]:
+    """A page as (root node, texts of its blocks in page order); a leaf holds the numbers of its blocks."""
+    root: list = ["", INSIDE, 0, []]
+    stack: list[tuple[str, list, bool]] = [("", root, False)]
+    open_names: Counter = Counter()
     held: list[str] = []
-
-    def flush() -> Iterator[tuple]:
-        text = SPACE.sub(" ", entities.unescape("".join(held))).strip()
-        held.clear()
-        if text:
-            yield tuple(s for _, s, _ in stack if s), bool(stack) and stack[-1][2], text
+    texts: list[str] = []
+
+    def cut(at: int) -> None:
+        open_names.subtract(s[0] for s in stack[at:])
+        del stack[at:]
+
+    def flush() -> None:
+        if held:
+            text = SPACE.sub(" ", entities.unescape("".join(held))).strip()
+            held.clear()
+            if text:
+                kids = stack[-1][1][3]
+                if kids and kids[-1][0] == LEAF:
+                    kids[-1][3].append(len(texts))
+                else:
+                    kids.append([LEAF, 0, 0, [len(texts)]])
+                texts.append(text)
+
+    def push(name: str, marks: dict, outside: int) -> None:
+        label = name
+        if marks and name not in WHOLE:
+            said = marks.get("id") or (marks.get("class", "").split() or [""])[0]
+            label = f"{name}.{said}" if (said := re.sub(r"\d+", "", said)) else name
+        node = stack[-1][1]
+        if len(stack) <= DEEPEST or outside > node[1]:
+            node = [label, outside, 0, []]
+            stack[-1][1][3].append(node)
+        stack.append((name, node, stack[-1][2] or name in MAIN))
+        open_names[name] += 1
 
     for kind, name, value in tokens(page):
         if kind == "text":
@@ -95,183 +157,351 @@ def blocks(page: str) -> Iterator[tuple[tuple[str, ...], bool, str]]:
         elif name == "br":
             held.append("\n")
         elif kind == "open":
-            marks = json.loads(value) if value else {}
-            out = (bool(stack) and stack[-1][2]) or _outside(name, marks)
+            outside = _outside(name, value, stack[-1][2])
             if name in INLINE:
-                if name not in VOID and _outside(name, marks):
-                    yield from flush()
-                    stack.append((name, name, True))
+                if outside and name not in VOID:
+                    flush()
+                    push(name, value, outside)
                 continue
-            yield from flush()
+            flush()
             if name in CLOSES_P:
-                open_p = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == "p"), None)
-                if open_p is not None and all(s[0] in INLINE for s in stack[open_p + 1 :]):
-                    del stack[open_p:]
-            if name in ("li", "dt", "dd", "tr", "td", "th", "option") and stack and stack[-1][0] in (name, *(("dt", "dd") if name in ("dt", "dd") else ()), *(("td", "th") if name in ("td", "th") else ())):
-                stack.pop()
+                open_p = next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] not in INLINE)
+                if stack[open_p][0] == "p":
+                    cut(open_p)
+            if name in ENDED_BY and any(open_names[e] > 0 for e in ENDED_BY[name][0]):
+                ended, until = ENDED_BY[name]
+                for i in range(len(stack) - 1, 0, -1):
+                    if stack[i][0] in until:
+                        break
+                    if stack[i][0] in ended:
+                        cut(i)
+                        break
             if name not in VOID:
-                label = re.sub(r"\d+", "", " ".join(v for k in ("id", "class") if (v := marks.get(k))))
-                stack.append((name, f"{name}.{label}" if label else name, out))
+                push(name, value, outside)
         else:
-            at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if name in INLINE:
-                if at is not None:
-                    yield from flush()
-                    del stack[at:]
-                continue
-            yield from flush()
-            if at is not None:
-                del stack[at:]
-    yield from flush()
-
-
-# A wrapper is a list of items: ["tag", label], ["text", words] (the same on all pages so far), ["slot"],
-# ["optional", items], ["repeat", items].
+            if open_names[name] > 0:
+                flush()
+                cut(next(i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name))
+            elif name not in INLINE:
+                flush()
+    flush()
+    return root, texts
+
+
+def _sig(node: list) -> str:
+    if node[0] == LEAF:
+        return LEAF
+    # repeated as often as it likes, an element is of one shape
+    return f"{node[0]}[{' '.join(sorted({k[0] for k in node[3]}))}]" if node[0] != GROUP else "(" + " ".join(_sig(k) for k in node[3]) + ")"
+
+
+def _merge(a: list, b: list, one_page: bool) -> list:
+    """The node that both are instances of."""
+    flags = a[2] | b[2] | (REPEAT if one_page else 0)
+    if a[0] != LEAF:
+        return [a[0], max(a[1], b[1]), flags, _align(a[3], b[3], one_page)]
+    if one_page:
+        return [LEAF, 0, a[2] | b[2], a[3] + b[3]]
+    return [LEAF, 0, flags, a[3] + b[3], sorted({*a[4], *b[4]})[:2]]
+
+
+def _optional(nodes: list[list]) -> list[list]:
+    return [[*n[:2], n[2] | OPTIONAL, *n[3:]] for n in nodes]
+
+
+def _is_wide(kids: list[list]) -> bool:
+    return len(kids) == 1 and bool(kids[0][2] & WIDE)
+
+
+def _widened(kids: list[list], one_page: bool) -> list[list]:
+    """Many children as one repeated group that has each element once, optional: it matches them in any order."""
+    if _is_wide(kids):
+        return kids
+    by_label: dict[str, list] = {}
+    todo = list(reversed(kids))
+    while todo:
+        n = todo.pop()
+        if n[0] == GROUP:
+            todo += reversed(n[3])
+        else:
+            by_label[n[0]] = _merge(by_label[n[0]], n, one_page) if n[0] in by_label else n
+    return [[GROUP, INSIDE, REPEAT | WIDE, _optional(list(by_label.values()))]]
+
+
+def _align(a: list[list], b: list[list], one_page: bool, by=_sig) -> list[list]:
+    """Children that both lists are instances of: like ones merged in order, the others optional."""
+    if len(a) == len(b) == 1 and a[0][0] == b[0][0] and not a[0][2] & WIDE and not b[0][2] & WIDE:
+        return [_merge(a[0], b[0], one_page)]
+    x, y = [by(n) for n in a], [by(n) for n in b]
+    if x == y:
+        return [_merge(p, q, one_page) for p, q in zip(a, b, strict=True)]
+    if by is _sig and (_is_wide(a) or _is_wide(b) or max(len(a), len(b)) > WIDEST):
+        return _widened(_widened(a, one_page)[0][3] + _widened(b, one_page)[0][3], one_page)
+    out: list = []
+    for kind, i1, i2, j1, j2 in SequenceMatcher(None, x, y, autojunk=False).get_opcodes():
+        if kind == "equal":
+            out += [_merge(p, q, one_page) for p, q in zip(a[i1:i2], b[j1:j2], strict=True)]
+        elif kind == "replace" and by is _sig:
+            out += _align(a[i1:i2], b[j1:j2], one_page, lambda n: n[0])
+        else:
+            out += _optional(a[i1:i2]) + _optional(b[j1:j2])
+    return _folded(out, one_page) if by is _sig else out
 
 
-def _shape(page: str) -> list:
+def _folded(kids: list[list], one_page: bool) -> list[list]:
+    """Neighbours of one shape as one repeated node, and runs of two to four that follow themselves as a repeated group."""
     out: list = []
-    last: tuple[str, ...] = ()
-    for n, (path, outside, text) in enumerate(blocks(page)):
-        if n >= SAMPLE_TOKENS:
+    for n in kids:
+        if out and n[0] != LEAF and _sig(out[-1]) == _sig(n):
+            m = _merge(out[-1], n, one_page)
+            m[2] |= REPEAT
+            out[-1] = m
+        else:
+            out.append(n)
+    for k in (2, 3, 4):
+        if len(out) < 2 * k:
             break
-        same = 0
-        while same < min(len(path), len(last)) and path[same] == last[same]:
-            same += 1
-        if same == len(path) == len(last) and path:
-            same -= 1
-        out += [["tag", "/" + p] for p in reversed(last[same:])] + [["tag", p] for p in path[same:]]
-        out.append(["text", text, "/".join(path), outside])
-        last = path
-    return out + [["tag", "/" + p] for p in reversed(last)]
-
-
-def _key(item: list) -> str:
-    if item[0] == "tag":
-        return item[1]
-    if item[0] in ("text", "slot"):
-        return "#"
-    return item[0] + "(" + " ".join(_key(i) for i in item[1]) + ")"
-
-
-def _repeats(items: list, part: list) -> bool:
-    """Whether part is a repetition of what items end with."""
-    k = [_key(i) for i in part]
-    before = [_key(i) for i in items]
-    for size in range(1, len(k) + 1):
-        if len(k) % size == 0 and k == k[:size] * (len(k) // size) and before[-size:] == k[:size]:
-            return True
-    return False
-
-
-def _slot(item: list, other: list) -> list:
-    a, b = (i for i in (item, other))
-    if a[0] == "text" and b[0] == "text" and a[1] == b[1]:
-        return a
-    words = sum(i[4] if i[0] == "slot" else len(i[1].split()) for i in (a, b))
-    return ["slot", "", a[2], a[3], words]
-
-
-def align(wrapper: list, page: list) -> list:
-    """The wrapper widened so that it also matches the page."""
-    out: list = []
-    a, b = [_key(i) for i in wrapper], [_key(i) for i in page]
-    for kind, i1, i2, j1, j2 in SequenceMatcher(None, a, b, autojunk=False).get_opcodes():
-        if kind == "equal":
-            out += [_slot(x, y) if x[0] in ("text", "slot") else x for x, y in zip(wrapper[i1:i2], page[j1:j2], strict=True)]
-            continue
-        for part in (wrapper[i1:i2], page[j1:j2]):
-            if not part:
-                continue
-            if len(part) == 1 and part[0][0] in ("optional", "repeat"):
-                out += part
-            elif _repeats(out, part):
-                out.append(["repeat", part])
+        sigs = [_sig(n) for n in out]
+        folded, i = [], 0
+        while i < len(out):
+            group = None
+            while i + 2 * k <= len(out) and sigs[i : i + k] == sigs[i + k : i + 2 * k]:
+                parts = out[i : i + k] if group is None else group
+                group = [_merge(p, q, one_page) for p, q in zip(parts, out[i + k : i + 2 * k], strict=True)]
+                i += k
+            if group is None:
+                folded.append(out[i])
+                i += 1
             else:
-                out.append(["optional", part])
-    return out
+                folded.append([GROUP, INSIDE, REPEAT, group])
+                i += k
+        out = folded
+    return _widened(out, one_page) if len(out) > WIDEST else out
 
 
-def _slots(wrapper: list) -> Iterator[list]:
-    for item in wrapper:
-        if item[0] in ("optional", "repeat"):
-            # what only some pages have varies, whatever its words
-            yield from (["slot", "", i[2], i[3], i[4] if i[0] == "slot" else len(i[1].split())] for i in _slots_all(item[1]))
-        elif item[0] in ("text", "slot"):
-            yield item
+def fold(node: list) -> list:
+    """A page's node with repeats folded, inner ones first."""
+    if node[0] == LEAF:
+        return node
+    return [*node[:3], _folded([fold(k) for k in node[3]], True)]
 
 
-def _slots_all(items: list) -> Iterator[list]:
-    for item in items:
-        if item[0] in ("optional", "repeat"):
-            yield from _slots_all(item[1])
-        elif item[0] in ("text", "slot"):
-            yield item
+def _hash(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text)
 
 
-def infer(pages: list[str]) -> dict:
-    """A host's wrapper as text, and the container of its article: the paths of all article and main elements, by lines, or
-    the deepest path with all varying words ('' where there is none)."""
-    shapes = [_shape(p) for p in pages]
-    wrapper = shapes[0] if shapes else []
-    for s in shapes[1:]:
-        wrapper = align(wrapper, s)
-    several = len({json.dumps(s) for s in shapes}) > 1
-    mass: Counter = Counter()
-    for item in _slots(wrapper):
-        if item[3] or (several and item[0] == "text"):
-            continue
-        words = item[4] if item[0] == "slot" else len(item[1].split())
-        path = item[2].split("/")
-        for depth in range(1, len(path) + 1):
-            mass["/".join(path[:depth])] += words
-    total = max(mass.values(), default=0)
-    marked = [p for p in mass if p.rsplit("/", 1)[-1].split(".")[0] in MAIN]
+def _held(hashes: set[int]) -> int:
+    return _hash(json.dumps(sorted(hashes)))
+
+
+def of_page(node: list, texts: list[str]) -> dict:
+    """A folded page as a wrapper of its own."""
+    shared: dict[str, set[int]] = {}
+
+    def leaf(n: list, path: str) -> list:
+        if n[0] != LEAF:
+            path = path if n[0] in ("", GROUP) else f"{path}/{n[0]}"
+            return [*n[:3], [leaf(k, path) for k in n[3]]]
+        hashes = {_hash(texts[i]) for i in n[3]}
+        shared.setdefault(path, set()).update(hashes)
+        return [LEAF, 0, n[2], sum(texts[i].count(" ") + 1 for i in n[3]), [_held(hashes)]]
+
+    root = leaf(node, "")
+    return {"root": root, "shared": {p: [[_held(h)], sorted(h)] for p, h in shared.items()}}
+
+
+def both(a: dict, b: dict) -> dict:
+    """The wrapper of all pages of two wrappers of a host."""
+    shared = dict(a["shared"])
+    for path, (held, texts) in b["shared"].items():
+        if path in shared:
+            own, known = shared[path]
+            held, texts = sorted({*own, *held})[:DISTINCT], sorted(set(known) & set(texts))
+        shared[path] = [held, texts]
+    return {"root": _merge(a["root"], b["root"], False), "shared": shared}
+
+
+def _leaves(node: list, path: tuple = ()) -> Iterator[tuple[tuple, list]]:
+    """(nodes from the root, leaf) of all leaves."""
+    if node[0] == LEAF:
+        yield path, node
+    else:
+        for k in node[3]:
+            yield from _leaves(k, (*path, node))
+
+
+def decided(wrapper: dict) -> list:
+    """The wrapper for reading: a leaf is ["#", whether it is of the article, hashes of its template texts], an element
+    [label, outside, flags, kids, whether it is wholly in the article's container]."""
+    leaves = list(_leaves(wrapper["root"]))
+    varies = lambda leaf: len(leaf[4]) > 1
+    several = any(varies(leaf) for _, leaf in leaves)
+    mass: dict[int, float] = {}
+    total = 0
+    for path, leaf in leaves:
+        if not any(n[1] == OUT for n in path) and (varies(leaf) or not several):
+            total += leaf[3]
+            for n in path:
+                mass[id(n)] = mass.get(id(n), 0) + leaf[3]
+    out = lambda n: n[1] == OUT or (n[1] == MAYBE and 2 * mass.get(id(n), 0) < total)
+    inside = [(path, leaf) for path, leaf in leaves if not any(out(n) for n in path)]
+    marked = [next(n for n in path if n[0] in MAIN) for path, leaf in inside if any(n[0] in MAIN for n in path)]
     if marked:
-        # all of them: those inside another add nothing
-        best = "\n".join(sorted(p for p in marked if not any(p.startswith(q + "/") for q in marked)))
+        container = {id(n) for n in marked}
     else:
-        best = max((p for p in mass if mass[p] == total and p.rsplit("/", 1)[-1].split(".")[0] not in ("p", "li", "h1", "h2")), key=lambda p: p.count("/"), default="")
-    return {"wrapper": expression(wrapper), "container": best}
-
-
-def expression(wrapper: list) -> str:
-    """The wrapper as a union-free regular expression over tags, # for a slot."""
-    out = []
-    for item in wrapper:
-        if item[0] == "tag":
-            out.append(f"<{item[1]}>")
-        elif item[0] in ("optional", "repeat"):
-            out.append(f"({expression(item[1])}){'?' if item[0] == 'optional' else '*'}")
-        else:
-            out.append("#" if item[0] == "slot" else "=")
-    return "".join(out)
+        slots = [path for path, leaf in inside if varies(leaf) or not several]
+        depth = 0
+        while slots and all(len(p) > depth for p in slots) and len({id(p[depth]) for p in slots}) == 1:
+            depth += 1
+        # a paragraph or heading that alone varies is no container of its own
+        while depth > 1 and slots[0][depth - 1][0].split(".")[0] in ("p", "li", "h1", "h2", "h3", GROUP):
+            depth -= 1
+        container = {id(slots[0][depth - 1])} if depth else set()
+
+    def told(node: list, within: bool, gone: bool, path: str) -> list:
+        within, gone = within or id(node) in container, gone or (node[0] != LEAF and out(node))
+        if node[0] != LEAF:
+            path = path if node[0] in ("", GROUP) else f"{path}/{node[0]}"
+            return [*node[:3], [told(k, within, gone, path) for k in node[3]], within and not gone]
+        held, texts = wrapper["shared"][path]
+        return [LEAF, within and not gone, texts if len(held) >= DISTINCT else []]
+
+    return told(wrapper["root"], False, False, "")
+
+
+def expression(node: list) -> str:
+    """The wrapper as a union-free regular expression over tags; # is a slot, = a text all pages share."""
+    if node[0] == LEAF:
+        inner = "=" if len(node[4]) == 1 else "#"
+    else:
+        inner = "".join(expression(k) for k in node[3])
+        if node[0] not in ("", GROUP):
+            inner = f"<{node[0]}>{inner}</>"
+    mark = "*" if node[2] & OPTIONAL and node[2] & REPEAT else "+" if node[2] & REPEAT else "?" if node[2] & OPTIONAL else ""
+    return f"({inner}){mark}" if mark else inner
 
 
-def read(page: str, container: str) -> str:
-    """The article of a page: blocks in the container (anywhere, where the page lacks it) that are no menu or the like."""
-    found = [("/".join(path), outside, text) for path, outside, text in blocks(page)]
-    paths = container.split("\n") if container else []
-    inside = [t for p, outside, t in found if not outside and any(p == c or p.startswith(c + "/") for c in paths)]
-    if not inside:
-        has_main = any(not o and any(s.split(".")[0] in MAIN for s in p.split("/")) for p, o, _ in found)
-        inside = [t for p, o, t in found if not o and (not has_main or any(s.split(".")[0] in MAIN for s in p.split("/")))]
-    return "\n".join(inside)
+def infer(pages: list[str]) -> dict:
+    """The wrapper of pages of one host."""
+    made = None
+    for page in pages:
+        root, texts = tree(page)
+        one = of_page(fold(root), texts)
+        made = one if made is None else both(made, one)
+    return {"root": ["", INSIDE, 0, []], "shared": {}} if made is None else made
 
 
-def _infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        made = [infer([p for p in sorted(filter(None, pages))]) for pages in batch.column("pages").to_pylist()]
-        yield pa.record_batch([batch.column("host"), pa.array([m["wrapper"] for m in made]), pa.array([m["container"] for m in made])], names=["host", "wrapper", "container"])
+def _named(kids: list[list], label: str) -> list | None:
+    for w in kids:
+        if w[0] == label:
+            return w
+        if w[0] == GROUP and (found := _named(w[3], label)):
+            return found
+    return None
 
 
-def wrappers(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """host, wrapper (a union-free regular expression), container (paths of the article's elements, by lines)."""
+def _match(node: list, wrapper: list | None, kept: set[int], template: dict[int, list], within: bool = False) -> None:
+    """Which blocks of a page the wrapper's article leaves take, and what template they may hold.
+
+    Children are matched in order by shape, what is left by name to what stands between, or anywhere. A part of a page
+    that the wrapper lacks is of the article if what holds it is (within).
+    """
+    kids = wrapper[3] if wrapper else []
+    pairs: list = [None] * len(node[3])
+    x, y = [_sig(k) for k in node[3]], [LEAF if k[0] == LEAF else _sig(k) for k in kids]
+    if x == y:
+        pairs = list(kids)
+    elif len(x) <= WIDEST >= len(y):
+        for a, b, n in SequenceMatcher(None, x, y, autojunk=False).get_matching_blocks():
+            pairs[a : a + n] = kids[b : b + n]
+    at = {id(w): j for j, w in enumerate(kids)}
+    lo = 0
+    for i, (k, w) in enumerate(zip(node[3], pairs, strict=True)):
+        if w is None and k[0] == GROUP:
+            _match(k, wrapper, kept, template, within)
+            continue
+        if w is None:
+            hi = next((at[id(p)] for p in pairs[i + 1 :] if p is not None), len(kids))
+            w = _named(kids[lo:hi], k[0]) or _named(kids, k[0])
+        else:
+            lo = at[id(w)]
+        if k[0] != LEAF:
+            if k[1] != OUT and not (w is None and k[1]):
+                _match(k, w, kept, template, w[4] if w is not None else within)
+        elif w[1] if w is not None else within:
+            kept.update(k[3])
+            if w is not None and w[2]:
+                template |= dict.fromkeys(k[3], w[2])
+
+
+def read(page: str, wrapper: list) -> str:
+    """The article of a page by its host's decided wrapper; where none of it matches, all that is no menu or the like."""
+    root, texts = tree(page)
+    folded = fold(root)
+    kept: set[int] = set()
+    template: dict[int, list] = {}
+    _match(folded, wrapper, kept, template)
+    if not kept:
+        own = decided(of_page(folded, texts))
+        _match(folded, own, kept, template)
+    fixed = {i for i, t in template.items() if _hash(texts[i]) in t}
+    words = lambda blocks: sum(texts[i].count(" ") + 1 for i in blocks)
+    # texts that all pages share are template only beside an article; where they are most of it, pages are near copies
+    if fixed and words(fixed) < SHARE * words(kept):
+        kept -= fixed
+    return "\n".join(texts[i] for i in sorted(kept))
+
+
+PARTIAL = "host string, wrapper string"
+PARTIAL_ARROW = pa.schema([("host", pa.string()), ("wrapper", pa.string())])
+
+
+def _partials(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One wrapper per host and task (more where a task has very many hosts)."""
+    held: dict[str, dict] = {}
+
+    def batch() -> pa.RecordBatch:
+        return pa.record_batch([pa.array(list(held)), pa.array([json.dumps(w, separators=(",", ":")) for w in held.values()])], schema=PARTIAL_ARROW)
+
+    for part in batches:
+        for host, page in zip(part.column("host").to_pylist(), part.column("html").to_pylist(), strict=True):
+            one = infer([page or ""])
+            held[host] = both(held[host], one) if host in held else one
+            if len(held) >= HELD_HOSTS:
+                yield batch()
+                held.clear()
+    if held:
+        yield batch()
+
+
+def _joined(last: bool):
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        host, made = None, None
+
+        def row() -> pa.RecordBatch:
+            return pa.record_batch([pa.array([host]), pa.array([json.dumps(decided(made) if last else made, separators=(",", ":"))])], schema=PARTIAL_ARROW)
+
+        for part in batches:
+            for h, w in zip(part.column("host").to_pylist(), part.column("wrapper").to_pylist(), strict=True):
+                one = json.loads(w)
+                if h != host and made is not None:
+                    yield row()
+                    made = None
+                host, made = h, one if made is None else both(made, one)
+        if made is not None:
+            yield row()
+
+    return task
+
+
+def wrappers(pages: DataFrame, work: C.Scratch) -> DataFrame:
+    """host, wrapper (decided, as JSON) of each host, from all its pages."""
     own = pages.select(_host(F.col("url")).alias("host"), F.col("html").cast("string").alias("html"))
-    h = F.xxhash64("html")
-    kinds = [F.min_by("html", F.when((F.pmod(h, F.lit(sample)) == i) & F.col("html").isNotNull(), h)).alias(f"p{i}") for i in range(sample)]
-    chosen = own.groupBy("host").agg(*kinds).select("host", F.array(*[f"p{i}" for i in range(sample)]).alias("pages"))
-    return chosen.mapInArrow(_infer, "host string, wrapper string, container string")
+    partial = work.write(own.mapInArrow(_partials, PARTIAL), "partial")
+    n = C.buckets_of(pages.sparkSession)
+    salted = partial.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(SALTS))).repartition(n, "host", "salt").sortWithinPartitions("host", "salt", "wrapper")
+    once = salted.select("host", "wrapper").mapInArrow(_joined(False), PARTIAL)
+    return once.repartition(n, "host").sortWithinPartitions("host", "wrapper").mapInArrow(_joined(True), PARTIAL)
 
 
 def _host(url: Column) -> Column:
@@ -279,8 +509,16 @@ def _host(url: Column) -> Column:
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known: dict[str, list] = {}
     for batch in batches:
-        texts = pa.array([read(h or "", c or "") for h, c in zip(batch.column("html").to_pylist(), batch.column("container").to_pylist(), strict=True)], pa.string())
+        out = []
+        for page, w in zip(batch.column("html").to_pylist(), batch.column("wrapper").to_pylist(), strict=True):
+            if w not in known:
+                if len(known) >= HELD_HOSTS:
+                    known.clear()
+                known[w] = json.loads(w) if w else ["", INSIDE, 0, [], False]
+            out.append(read(page or "", known[w]))
+        texts = pa.array(out, pa.string())
         yield pa.record_batch([batch.column("page_id"), batch.column("url"), texts, pc.utf8_length(texts).cast(pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
 
@@ -288,12 +526,13 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page: its article's blocks, white space folded, joined by line ends.
 
     Null or empty html: empty text. Pages without a host (null or odd url) form one host. Rows are independent but for
-    the wrapper; repeated ids and extra columns change nothing.
+    the wrapper; repeated pages count once in what pages share; repeated ids and extra columns change nothing. Elements
+    left open end with what holds them. An empty table gives an empty one.
     """
     work = C.Scratch(pages.sparkSession, "html")
-    made = work.write(wrappers(pages).select(F.col("host").alias("of"), "container"), "wrappers")
-    size = made.agg(F.coalesce(F.sum(F.length("of") + F.length("container") + 32), F.lit(0))).first()[0]
+    made = work.write(wrappers(pages, work).withColumnRenamed("host", "of"), "wrappers")
+    size = made.agg(F.coalesce(F.sum(F.length("of") + F.length("wrapper") + 32), F.lit(0))).first()[0]
     own = pages.select(F.col("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")).withColumn("host", _host(F.col("url")))
     joined = own.join(F.broadcast(made) if size <= BROADCAST_BYTES else made, F.col("host") == F.col("of"), "left")
     kind = dict(pages.dtypes)["page_id"]
-    return joined.select("page_id", "url", "html", "container").mapInArrow(_read, f"page_id {kind}, url string, text string, n_chars bigint")
+    return joined.select("page_id", "url", "html", "wrapper").mapInArrow(_read, f"page_id {kind}, url string, text string, n_chars bigint")
