@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adjudica.llm import embedding_dedup, hmm_lm, html_extraction, license_scan, minhash_dedup, mixing, packing, pii, quality_rules, substring_dedup
+from adjudica.llm import embedding_dedup, hmm_lm, html_extraction, license_scan, minhash_dedup, mixing, oracles, packing, pii, quality_rules, substring_dedup
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -71,6 +71,17 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extract(_read(spark, sf_dir, "pages"))
 
 
+def base8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op8 that SQL can say."""
+    return op8_pii(spark, sf_dir).drop("spans")
+
+
+def base10_hmm_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op10 that SQL can say; they need no training."""
+    scored = hmm_lm.score(_read(spark, sf_dir, "documents"), rounds=0)
+    return scored.drop("score").withColumn("base_score", F.round("base_score", 4))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_html_extraction": op7_html_extraction,
     "op6_embedding_dedup": op6_embedding_dedup,
@@ -82,6 +93,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_license_scan": op3_license_scan,
     "op1_substring_dedup": op1_substring_dedup,
     "op5_mixing": op5_mixing,
+    "base8_pii": base8_pii,
+    "base10_hmm_lm": base10_hmm_lm,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_substring_dedup": oracles.substring_dedup(),
+    "op3_license_scan": oracles.license_scan(),
+    "op4_quality_rules": oracles.quality_rules(),
+    "op5_mixing": oracles.mixing(),
+    "op6_embedding_dedup": oracles.embedding_dedup(),
+    "op9_minhash_dedup": oracles.minhash_dedup(),
+    "base8_pii": oracles.pii(),
+    "base10_hmm_lm": oracles.hmm_lm(),
+}
