@@ -72,11 +72,12 @@ def key_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "orders").select("o_orderkey", keys.first_key(t).alias("first_key"), F.size(found).alias("n_keys"), F.coalesce(F.get(found, F.lit(1)), F.lit("")).alias("second_key"))
 
 
-@query(f"SELECT o.o_orderkey, k.case_number FROM (SELECT o_orderkey, regexp_replace({KEY_SQL}, '[^a-zA-Z0-9]', '_', 'g') AS id FROM orders WHERE o_orderkey % 5 < 3) o LEFT JOIN (SELECT regexp_replace({KEY_SQL}, '[^a-zA-Z0-9]', '_', 'g') AS id, {KEY_SQL} AS case_number FROM orders WHERE o_orderkey % 2 = 0) k USING (id)")
+@query(f"SELECT o.o_orderkey, k.case_number FROM (SELECT o_orderkey, regexp_replace({KEY_SQL}, '[^a-zA-Z0-9]', '_', 'g') || CASE WHEN o_orderkey % 3 = 0 THEN 'x' ELSE '' END AS id FROM orders) o LEFT JOIN (SELECT regexp_replace({KEY_SQL}, '[^a-zA-Z0-9]', '_', 'g') AS id, {KEY_SQL} AS case_number FROM orders) k USING (id)")
 def custom_id_inverse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third id is none that is known."""
     orders = read(spark, sf_dir, "orders")
-    known = orders.where("o_orderkey % 2 = 0").select(keys.custom_id(_order_key()).alias("id"), _order_key().alias("case_number"))
-    return orders.where("o_orderkey % 5 < 3").select("o_orderkey", keys.custom_id(_order_key()).alias("id")).join(known, "id", "left").select("o_orderkey", "case_number")
+    asked = orders.select("o_orderkey", F.concat(keys.custom_id(_order_key()), F.when(F.col("o_orderkey") % 3 == 0, "x").otherwise("")).alias("id"))
+    return keys.from_custom_id(asked, orders.select(_order_key().alias("case_number")), "id").select("o_orderkey", "case_number")
 
 
 # --- documents, attribution, coverage -------------------------------------------------------------------------------
@@ -99,13 +100,15 @@ def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "orders").where("o_orderkey % 3 <> 0").select(_order_key().alias("case_number"), F.col("o_orderkey").alias("ord"))
+    """All orders as cases; every third has a key that no file spells."""
+    k = F.when(F.col("o_orderkey") % 3 == 0, F.replace(_order_key(), F.lit("2099"), F.lit("2098"))).otherwise(_order_key())
+    return read(spark, sf_dir, "orders").select(k.alias("case_number"), F.col("o_orderkey").alias("ord"))
 
 
 FILES_SQL = (
     f"files AS (SELECT id, path, regexp_extract(path, '[^/]*$') AS name FROM (SELECT o_orderkey AS id, CASE o_orderkey % 5 WHEN 0 THEN {KEY_SQL} || ' - sentenca.pdf' WHEN 1 THEN {KEY_SQL} || '/acordao.pdf' "
     f"WHEN 2 THEN 'in/' || regexp_replace({KEY_SQL}, '[^0-9]', '', 'g') || '_doc.pdf' WHEN 3 THEN 'in/file ' || o_orderkey || '.pdf' ELSE 'in/ref' || o_orderkey || 'x' || regexp_replace({KEY_SQL}, '[^0-9]', '', 'g') || '.pdf' END AS path FROM orders)), "
-    f"cases AS (SELECT {KEY_SQL} AS case_number, o_orderkey AS ord, regexp_replace({KEY_SQL}, '[^0-9]', '', 'g') AS d FROM orders WHERE o_orderkey % 3 <> 0), "
+    f"cases AS (SELECT case_number, ord, regexp_replace(case_number, '[^0-9]', '', 'g') AS d FROM (SELECT CASE WHEN o_orderkey % 3 = 0 THEN replace({KEY_SQL}, '2099', '2098') ELSE {KEY_SQL} END AS case_number, o_orderkey AS ord FROM orders)), "
     f"own AS (SELECT *, nullif(regexp_extract(path, '{RE_KEY}'), '') AS kp, nullif(regexp_extract(name, '{RE_KEY}'), '') AS kn, regexp_replace(path || ' ' || name, '[^0-9]', '', 'g') AS hay FROM files), "
     "runs AS (SELECT DISTINCT id, substr(hay, cast(i AS bigint), 20) AS d FROM (SELECT id, hay, unnest(range(1, greatest(length(hay) - 18, 1))) AS i FROM own) WHERE length(hay) >= 20) "
 )
@@ -130,12 +133,19 @@ def unattributable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attribution.unattributable(_files(spark, sf_dir), _cases(spark, sf_dir))
 
 
-@query("SELECT 'folder:' || o_orderkey AS id, 0 AS priority, o_orderkey AS n FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT 'manifest:' || o_orderkey, 1, o_orderkey FROM orders WHERE o_orderkey % 3 = 0")
+@query("SELECT 'folder:' || o_orderkey AS id, 0 AS priority, o_orderkey AS n FROM orders UNION ALL SELECT 'manifest:' || o_orderkey, 1, o_orderkey FROM orders")
 def composite_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from adjudica.sources.documents import composite
 
     o = read(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderkey").alias("n"))
-    return composite({"folder": o.where("n % 2 = 0"), "manifest": o.where("n % 3 = 0")}).select("id", "priority", "n")
+    return composite({"folder": o, "manifest": o}).select("id", "priority", "n")
+
+
+@query("SELECT path, row_number() OVER (ORDER BY path, id) - 1 AS place FROM (SELECT o_orderkey AS id, o_orderpriority || '/' || o_orderstatus || '/' || o_orderkey AS path FROM orders)")
+def sorted_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paths in binary order, as the folder scan lists them."""
+    paths = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.concat_ws("/", "o_orderpriority", "o_orderstatus", F.col("o_orderkey").cast("string")).alias("path"))
+    return sampling.ranked(paths, [F.col("path"), F.col("id")], "place").select("path", "place")
 
 
 # --- plans ----------------------------------------------------------------------------------------------------------
@@ -181,10 +191,28 @@ def case_text_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planning.case_text(parts).select("case_number", "used", F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("digest"))
 
 
-@query("SELECT page_id, cast(length(html) AS double) / (1 + page_id % 40) < 60 OR length(trim(html, ' ')) < 200 AS is_scan, CASE WHEN length(html) > 1048576 THEN 'too_large' WHEN cast(length(html) AS double) / (1 + page_id % 40) < 60 OR length(trim(html, ' ')) < 200 THEN 'scanned' END AS skip FROM pages")
+PADDED_SQL = "(SELECT doc_id, repeat(chr(32) || chr(10) || chr(9), cast(doc_id % 100 AS bigint)) || text AS t FROM documents)"
+
+
+@query(
+    f"SELECT doc_id, a OR b AS is_scan, CASE WHEN length(t) > 1048576 THEN 'too_large' WHEN a OR b THEN 'scanned' END AS skip FROM (SELECT doc_id, t, cast(length(t) AS double) / (1 + doc_id % 40) < 60 AS a, length(regexp_replace(t, '^[\\s]+|[\\s]+$', '', 'g')) < 200 AS b FROM {PADDED_SQL})"
+)
 def scan_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scan = planning.is_scan(F.col("html"), 1 + F.col("page_id") % 40)
-    return read(spark, sf_dir, "pages").select("page_id", scan.alias("is_scan"), planning.skip_reason(F.length("html"), scan, max_mb=1).alias("skip"))
+    """Texts with white space of several kinds in front, of 1 to 40 pages."""
+    text = F.concat(F.expr("repeat(concat(chr(32), chr(10), chr(9)), cast(doc_id % 100 as int))"), F.col("text"))
+    d = read(spark, sf_dir, "documents").select("doc_id", text.alias("t"))
+    scan = planning.is_scan(F.col("t"), 1 + F.col("doc_id") % 40)
+    return d.select("doc_id", scan.alias("is_scan"), planning.skip_reason(F.length("t"), scan, max_mb=1).alias("skip"))
+
+
+@query(f"WITH {PLAN_SQL}, w AS (SELECT plan.case_number, pos, plan.id, CASE WHEN bytes > 1048576 THEN 'too_large' WHEN length(d.text) < 200 THEN 'scanned' END AS why FROM plan JOIN documents d ON d.doc_id = plan.id) SELECT case_number, coalesce(string_agg(id, ',' ORDER BY pos) FILTER (why IS NULL), '') AS used, coalesce(string_agg(id || ':' || why, ',' ORDER BY pos) FILTER (why IS NOT NULL), '') AS skipped FROM w GROUP BY 1")
+def skip_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per case what is read and what is not, with the reason, in order of reading."""
+    texts = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    why = planning.skip_reason(F.col("bytes"), F.length("text") < 200, max_mb=1)
+    parts = _plan(spark, sf_dir).where("id is not null").join(texts, "id").select("case_number", "pos", F.col("id").cast("string").alias("name"), why.alias("why"))
+    lists = planning.used_and_skipped(parts)
+    return lists.select("case_number", F.array_join("documents", ",").alias("used"), F.array_join(F.transform("skipped", lambda x: F.concat_ws(":", x["name"], x["why"])), ",").alias("skipped"))
 
 
 # --- segmentation ---------------------------------------------------------------------------------------------------
@@ -299,9 +327,11 @@ def refusal_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- names and catalogue --------------------------------------------------------------------------------------------
-@query(r"SELECT doc_id, trim(regexp_replace(translate(lower(left(replace(text, 'ß', ''), 80)), 'áàâãäåçéèêëíìîïñóòôõöúùûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy'), '[^a-z0-9]+', ' ', 'g'), ' ') AS key FROM documents")
+@query("SELECT doc_id, md5(trim(regexp_replace(lower(strip_accents(text)), '[^a-z0-9]+', ' ', 'g'), ' ')) AS key FROM (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'Erdős ação Çà ' ELSE 'resc' || 'isa' || chr(771) || 'o ' END || text AS text FROM documents)")
 def normalise_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "documents").select("doc_id", T.normalise_key(F.left(F.replace("text", F.lit("ß"), F.lit("")), F.lit(80))).alias("key"))
+    """Whole texts, with letters that carry their accents and with accents of their own."""
+    text = F.concat(F.when(F.col("doc_id") % 2 == 0, "Erdős ação Çà ").otherwise("rescisa\u0303o "), F.col("text"))
+    return read(spark, sf_dir, "documents").select("doc_id", F.md5(T.normalise_key(text)).alias("key"))
 
 
 GRAMS_SQL = "CASE WHEN length({0}) >= 2 THEN list_transform(range(1, length({0})), lambda i: substr({0}, i, 2)) ELSE [] END"
@@ -361,11 +391,17 @@ USAGE_SQL = (
 )
 
 
+def _prices(spark: SparkSession) -> DataFrame:
+    """Stands in for a price file."""
+    listed = [("standard", 5.0, 25.0, None, None), ("light", 4.0, 20.0, None, 0.2), ("large", 10.0, 50.0, None, 0.25)]
+    return cost.price_rows(spark.createDataFrame(listed, "model string, input double, output double, cache_write double, cache_read double"))
+
+
 def _usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("l_linenumber") % 4
     model = F.when(n == 0, "large").when(n == 1, "standard").when(n == 2, "light").otherwise(F.when(F.col("l_orderkey") % 3 == 0, "unknown").otherwise("light"))
     u = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", model.alias("model"), F.col("l_partkey").alias("input_tokens"), (F.col("l_suppkey") * 3).alias("output_tokens"), (F.col("l_quantity").cast("long") * 10).alias("cache_write_tokens"), F.when(F.col("l_returnflag") != "N", F.col("l_partkey") * 2).alias("cache_read_tokens"))
-    return cost.priced(u, cost.price_table(spark), discount=0.5)
+    return cost.priced(u, _prices(spark), discount=0.5)
 
 
 @query(f"WITH {USAGE_SQL} SELECT l_orderkey, l_linenumber, model, priced_with, round(cost_usd, 10) AS cost_usd FROM c")
@@ -404,15 +440,22 @@ def latest_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.latest(read(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"]).select("event_id", "user_id", "event_type", "value")
 
 
-@query("SELECT user_id AS batch, min(event_id) AS first_at FROM events GROUP BY 1")
+@query("SELECT user_id AS batch, min(event_id) AS first_at, row_number() OVER (ORDER BY min(event_id)) - 1 AS place FROM events GROUP BY 1")
 def batch_id_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return state.batch_ids(read(spark, sf_dir, "events").select(F.col("user_id").alias("batch"), "event_id"), "batch", "event_id")
+    """Each id once, in the order in which ids first came."""
+    ids = state.batch_ids(read(spark, sf_dir, "events").select(F.col("user_id").alias("batch"), "event_id"), "batch", "event_id")
+    return sampling.ranked(ids, [F.col("first_at")], "place").select("batch", "first_at", "place")
 
 
-@query("SELECT doc_id AS custom_id, CASE WHEN doc_id IN (SELECT item_id FROM benchmark) THEN 'known' WHEN doc_id NOT IN (SELECT doc_id FROM labels) OR lang = 'es' THEN 'invalid' ELSE 'new' END AS outcome FROM documents")
+@query(
+    "WITH r AS (SELECT doc_id AS custom_id, lang <> 'es' AS ok, CASE WHEN doc_id IN (SELECT item_id FROM benchmark) THEN 'known' WHEN doc_id NOT IN (SELECT doc_id FROM labels) OR lang = 'es' THEN 'invalid' ELSE 'new' END AS outcome, n_chars FROM documents) "
+    "SELECT custom_id, outcome, CASE WHEN ok AND outcome <> 'known' THEN n_chars ELSE 0 END AS billed FROM r"
+)
 def collect_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    results = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("custom_id"), (F.col("lang") != "es").alias("ok"))
-    return state.collected(results, read(spark, sf_dir, "labels").select(F.col("doc_id").alias("custom_id")), read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("custom_id"))).select("custom_id", "outcome")
+    """Results of a batch: what came before is not billed again, what came is, of use or not."""
+    results = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("custom_id"), (F.col("lang") != "es").alias("ok"), "n_chars")
+    tagged = state.collected(results, read(spark, sf_dir, "labels").select(F.col("doc_id").alias("custom_id")), read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("custom_id")))
+    return tagged.select("custom_id", "outcome", F.when(state.billed(), F.col("n_chars")).otherwise(0).alias("billed"))
 
 
 @query(f"WITH a AS (SELECT o_orderkey AS id, CASE o_orderkey % 4 WHEN 0 THEN 'see ' || {KEY_SQL} WHEN 1 THEN 'map ' || (o_orderkey + 1) WHEN 2 THEN 'sum ' || o_orderkey ELSE 'none' END AS text FROM orders), r AS (SELECT {KEY_SQL} AS case_number, 'map ' || o_orderkey AS map, 'sum ' || o_orderkey AS summary FROM orders WHERE o_orderkey % 3 <> 0) "
@@ -486,16 +529,16 @@ def _styled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns as approved summaries, opened in one of the accepted ways or in none."""
     m = (F.col("conv_id") + F.col("turn")) % 9
     head = F.when(m < 3, "Acordo homologado. ").when(m == 3, "julgado  extinto por acordo. ").when(m == 4, "JULGADO EXTINTO. ").when(m == 5, "Julgado Parcialmente Procedente: ").when(m == 6, "  JULGADO IMPROCEDENTE. ").otherwise("")
-    return read(spark, sf_dir, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("row"), (F.col("turn") % 4 != 3).alias("approved"), F.concat(head, F.left("text", F.lit(40))).alias("existing"))
+    return read(spark, sf_dir, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("row"), (F.col("turn") % 4 != 3).alias("approved"), F.concat(head, F.col("text")).alias("existing"))
 
 
 STYLE_SQL = (
-    "st AS (SELECT conv_id * 1000 + turn AS row, turn % 4 <> 3 AS approved, CASE WHEN m < 3 THEN 'Acordo homologado. ' WHEN m = 3 THEN 'julgado  extinto por acordo. ' WHEN m = 4 THEN 'JULGADO EXTINTO. ' WHEN m = 5 THEN 'Julgado Parcialmente Procedente: ' WHEN m = 6 THEN '  JULGADO IMPROCEDENTE. ' ELSE '' END || left(text, 40) AS existing, m FROM (SELECT *, (conv_id + turn) % 9 AS m FROM conversations)), "
+    "st AS (SELECT conv_id * 1000 + turn AS row, turn % 4 <> 3 AS approved, CASE WHEN m < 3 THEN 'Acordo homologado. ' WHEN m = 3 THEN 'julgado  extinto por acordo. ' WHEN m = 4 THEN 'JULGADO EXTINTO. ' WHEN m = 5 THEN 'Julgado Parcialmente Procedente: ' WHEN m = 6 THEN '  JULGADO IMPROCEDENTE. ' ELSE '' END || text AS existing, m FROM (SELECT *, (conv_id + turn) % 9 AS m FROM conversations)), "
     "ap AS (SELECT row, CASE WHEN m < 3 THEN 'Acordo homologado' WHEN m = 3 THEN 'JULGADO EXTINTO (settlement)' WHEN m = 4 AND regexp_matches(existing, '(?i)acordo|homolog') THEN 'JULGADO EXTINTO (settlement)' WHEN m = 4 THEN 'JULGADO EXTINTO' WHEN m = 5 THEN 'JULGADO PARCIALMENTE PROCEDENTE' WHEN m = 6 THEN 'JULGADO IMPROCEDENTE' ELSE 'no accepted opening' END AS form, regexp_matches(existing, '(?i)acordo|homolog') AS settlement, existing FROM st WHERE approved)"
 )
 
 
-@query(f"WITH {STYLE_SQL} SELECT form, count(*) AS n, min(row) AS first_row, trim(arg_min(existing, row)) AS first_example FROM ap GROUP BY form")
+@query(f"WITH {STYLE_SQL} SELECT form, count(*) AS n, min(row) AS first_row, left(regexp_replace(arg_min(existing, row), '^[\\s]+|[\\s]+$', '', 'g'), 160) AS first_example FROM ap GROUP BY form")
 def style_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survey.forms(survey.approved_rows(_styled(spark, sf_dir))).select("form", "n", "first_row", F.get("examples", F.lit(0)).alias("first_example"))
 
@@ -548,9 +591,31 @@ def diff_by_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid.by_column(_diff(spark, sf_dir))
 
 
-@query(f"WITH {DIFF_SQL} SELECT (SELECT count(DISTINCT c) FROM diff WHERE c <> 2) AS unexpected_columns, count(*) FILTER (c = 2 AND approved) AS approved_cells_touched, 7 AS rows_compared, false AS ok FROM diff")
+@query(
+    f"WITH {DIFF_SQL}, n AS (SELECT max(c_custkey) + 1 AS n FROM customer) SELECT 'changed' AS copy, count(DISTINCT c) FILTER (c <> 2) AS unexpected_columns, count(*) FILTER (c = 2 AND approved) AS approved_cells_touched, any_value(n.n) AS rows_compared, false AS ok FROM diff, n UNION ALL SELECT 'clean', 0, 0, n, true FROM n"
+)
 def verify_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return grid.verification(_diff(spark, sf_dir), 2, 7).select("unexpected_columns", "approved_cells_touched", "rows_compared", "ok")
+    """A copy with changes anywhere, and one where only cells of the summary column that nobody approved differ."""
+    before = _cells(spark, sf_dir, False)
+    clean = before.withColumn("text", F.when((F.col("c") == 2) & ~F.col("approved"), F.concat("text", F.lit("!"))).otherwise(F.col("text")))
+    n = before.agg(F.max("r")).first()[0]
+    both = [grid.verification(d, 2, n).withColumn("copy", F.lit(name)) for name, d in (("changed", _diff(spark, sf_dir)), ("clean", grid.differences(before, clean)))]
+    return both[0].unionByName(both[1]).select("copy", "unexpected_columns", "approved_cells_touched", F.col("rows_compared").cast("long").alias("rows_compared"), "ok")
+
+
+@query(f"WITH {DIFF_SQL} SELECT r, left(before, 60) AS before, left(after, 160) AS after FROM diff WHERE c = 2 ORDER BY r LIMIT 6")
+def diff_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grid.samples(_diff(spark, sf_dir), 2)
+
+
+@query("SELECT c_custkey AS row, c_custkey % 3 = 0 OR c_custkey % 4 = 0 AS approved, (c_custkey % 3 = 0 OR c_custkey % 4 = 0) AND c_custkey % 5 <> 0 AS counted FROM customer")
+def approved_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells coloured whole or in a run; a blank one is approved as a cell but not counted as a row."""
+    k = F.col("c_custkey")
+    runs = F.array(F.struct(F.lit("a").alias("text"), F.lit(None).cast("string").alias("argb")), F.struct(F.lit("b").alias("text"), F.when(k % 4 == 0, grid.APPROVED).otherwise("FF000000").alias("argb")))
+    cell = grid.approved(F.when(k % 3 == 0, F.lit(grid.APPROVED)), runs)
+    text = F.when(k % 5 == 0, " \n").otherwise(F.col("c_name"))
+    return read(spark, sf_dir, "customer").select(k.alias("row"), cell.alias("approved"), (cell & (T.trim_all(text) != "")).alias("counted"))
 
 
 @query(
@@ -563,23 +628,101 @@ def write_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid.write_actions(items, cells, 1200).select("row", "action")
 
 
-@query("SELECT cast(i AS bigint) AS i, CASE WHEN i <= 26 THEN chr(cast(64 + i AS int)) WHEN i <= 702 THEN chr(cast(65 + (i - 27) // 26 AS int)) || chr(cast(65 + (i - 27) % 26 AS int)) ELSE chr(cast(65 + (i - 703) // 676 AS int)) || chr(cast(65 + ((i - 703) // 26) % 26 AS int)) || chr(cast(65 + (i - 703) % 26 AS int)) END AS letter FROM range(1, 801) t(i)")
+@query("SELECT i, CASE WHEN i <= 26 THEN chr(cast(64 + i AS int)) WHEN i <= 702 THEN chr(cast(65 + (i - 27) // 26 AS int)) || chr(cast(65 + (i - 27) % 26 AS int)) ELSE chr(cast(65 + (i - 703) // 676 AS int)) || chr(cast(65 + ((i - 703) // 26) % 26 AS int)) || chr(cast(65 + (i - 703) % 26 AS int)) END AS letter FROM (SELECT 1 + o_orderkey % 18278 AS i FROM orders)")
 def column_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.range(1, 801).select(F.col("id").alias("i"), T.column_letter(F.col("id").cast("int")).alias("letter"))
+    i = 1 + F.col("o_orderkey") % 18278
+    return read(spark, sf_dir, "orders").select(i.alias("i"), T.column_letter(i.cast("int")).alias("letter"))
 
 
 # --- structured answers ---------------------------------------------------------------------------------------------
-@query("SELECT event_id, CASE WHEN event_id % 4 = 0 THEN 'Não identificado' WHEN event_id % 4 = 1 THEN NULL ELSE 'Judge ' || user_id END AS judge, event_id % 4 <> 1 AND event_id % 5 <> 0 AND event_id % 6 <> 0 AS valid, CASE WHEN event_id % 4 <> 1 AND event_id % 5 <> 0 AND event_id % 6 <> 0 THEN 'medium' END AS confidence FROM events")
+BAD_SQL = "(event_id % 4 = 1 OR event_id % 5 = 0 OR event_id % 6 = 0 OR event_id % 7 = 0 OR event_id % 11 = 0)"
+
+
+@query(f"SELECT event_id, CASE WHEN event_id % 4 = 0 THEN 'Não identificado' WHEN event_id % 4 = 1 THEN NULL ELSE 'Judge ' || user_id END AS judge, NOT {BAD_SQL} AS valid, CASE WHEN NOT {BAD_SQL} THEN 'medium' END AS confidence FROM events")
 def json_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers with an absent, null or given judge; wrong outcomes, no claims, and claims with a null or a number where a
+    text must be."""
     e = F.col("event_id")
     judge = F.when(e % 4 == 0, "").when(e % 4 == 1, '"judge": null, ').otherwise(F.concat(F.lit('"judge": "Judge '), F.col("user_id").cast("string"), F.lit('", ')))
     outcome = F.when(e % 5 == 0, "won").otherwise("dismissed")
-    claims = F.when(e % 6 == 0, "[]").otherwise('[{"rawClaim": "r", "canonicalClaim": "c", "outcome": "moot"}]')
+    claim = F.concat(F.lit('[{"rawClaim": '), F.when(e % 7 == 0, "7").otherwise('"r"'), F.lit(', "canonicalClaim": "c", "outcome": "moot"'), F.when(e % 11 == 0, ', "notes": null').otherwise(""), F.lit("}]"))
+    claims = F.when(e % 6 == 0, "[]").otherwise(claim)
     text = F.concat(F.lit("{"), judge, F.lit('"outcome": "'), outcome, F.lit('", "claims": '), claims, F.lit("}"))
     v = structured.validated(read(spark, sf_dir, "events").select("event_id", text.alias("text")))
     return v.select("event_id", structured.field(F.col("text"), "judge", "Não identificado")[0].alias("judge"), "valid", F.get(F.col("result.claims"), F.lit(0))["confidence"].alias("confidence"))
 
 
+@query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN event_type || chr(10) || user_id WHEN event_id % 3 = 1 THEN event_type ELSE '' END AS text FROM events")
+def text_of_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text blocks of answers with two, one or none, among blocks of another type."""
+    m = F.col("event_id") % 3
+    block = lambda kind, t: F.struct(F.lit(kind).alias("type"), t.alias("text"))
+    first, second = block("text", F.col("event_type")), block("text", F.col("user_id").cast("string"))
+    other = block("thinking", F.lit("hidden"))
+    blocks = F.when(m == 0, F.array(first, other, second)).when(m == 1, F.array(other, first)).otherwise(F.array(other))
+    return read(spark, sf_dir, "events").select("event_id", structured.text_of_blocks(blocks).alias("text"))
+
+
+# --- rows that reports list ------------------------------------------------------------------------------------------
+@query("SELECT conv_id, turn FROM conversations WHERE turn % 3 <> 1 AND regexp_matches(text, '[^ \t\n\r]')")
+def non_blank_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.when(F.col("turn") % 3 == 1, " \n\u00a0").otherwise(F.col("text"))
+    return state.non_blank(read(spark, sf_dir, "conversations").select("conv_id", "turn", text.alias("text"))).select("conv_id", "turn")
+
+
+@query(f"WITH {AUDIT_SQL} SELECT case_number FROM aud WHERE status = 'writeable' AND case_number % 4 <> 0")
+def delivered_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = _audited(spark, sf_dir).withColumn("summary", F.when(F.col("case_number") % 4 == 0, " \n").otherwise("JULGADO EXTINTO"))
+    return evaluate.delivered(records).select("case_number")
+
+
+@query(f"WITH {AUDIT_SQL} SELECT case_number, CASE WHEN audit_reason IS NOT NULL THEN 'audit' ELSE coalesce(gate_reason, 'unknown') END AS reason, coalesce(audit_reason, gate_reason, 'unknown') AS why FROM aud WHERE status <> 'writeable'")
+def refused_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gate.refused(_audited(spark, sf_dir)).select("case_number", "reason", "why")
+
+
+@query("SELECT p_partkey, CASE WHEN p_size % 5 = 0 THEN 'unpriced' ELSE 'US$ ' || printf('%.4f', p_size / 50.0::double) END || ' · in ' || p_partkey || ' / out ' || p_size || CASE WHEN p_size % 3 = 0 THEN '' ELSE ' (cache hit ' || p_size % 3 || ')' END AS usage, CASE WHEN p_size % 7 = 0 THEN 'n/a' ELSE printf('%.1f', p_size / 2.0::double) || '%' END AS rate FROM part")
+def format_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("p_size")
+    usage = cost.format_usage(F.when(n % 5 != 0, n / 50.0), F.col("p_partkey"), n, n % 3)
+    return read(spark, sf_dir, "part").select("p_partkey", usage.alias("usage"), cost.format_rate(F.when(n % 7 != 0, n / 2.0)).alias("rate"))
+
+
+@query("SELECT k AS case_number, max(v) AS version, arg_max(text, v) AS text FROM (SELECT o_custkey AS k, 1 AS v, min(o_orderpriority) AS text FROM orders GROUP BY 1 UNION ALL SELECT o_custkey, 2, max(o_orderpriority) FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) GROUP BY k")
+def upserted_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second version of some cases over a first of all."""
+    o = read(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "case_number")
+    first = o.groupBy("case_number").agg(F.min("o_orderpriority").alias("text")).withColumn("version", F.lit(1))
+    second = o.where("o_orderstatus = 'F'").groupBy("case_number").agg(F.max("o_orderpriority").alias("text")).withColumn("version", F.lit(2))
+    return state.latest(first.unionByName(second), ["case_number"], ["version"]).select("case_number", "version", "text")
+
+
+@query(f"WITH {FILES_SQL}, hit AS (SELECT id, arg_min(case_number, ord) AS c FROM runs JOIN cases USING (d) GROUP BY id), att AS (SELECT coalesce(kp, kn, c) AS c FROM own LEFT JOIN hit USING (id)), gold AS (SELECT case_number, ord FROM cases WHERE case_number IN (SELECT c FROM att)) SELECT case_number, CASE WHEN ord % 4 = 0 THEN 'error' ELSE 'judged' END AS outcome FROM gold")
+def gold_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Approved cases that have a document (before any sample is drawn), with those whose summary could not be made."""
+    cases = _cases(spark, sf_dir)
+    docs = attribution.attribute(_files(spark, sf_dir), cases)
+    gold = evaluate.measurable(cases, docs)
+    made = gold.select("case_number", F.when(F.col("ord") % 4 == 0, " ").otherwise("JULGADO EXTINTO").alias("summary"))
+    pairs = evaluate.pairs(gold.withColumn("existing", F.lit("JULGADO EXTINTO")), made).select("case_number", F.lit("judged").alias("outcome"))
+    return gold.select("case_number").join(pairs, "case_number", "left").select("case_number", F.coalesce("outcome", F.lit("error")).alias("outcome"))
+
+
+@query(f"WITH {FILES_SQL}, u AS (SELECT case_number, row_number() OVER (ORDER BY case_number) AS k, count(*) OVER () AS n FROM cases WHERE d NOT IN (SELECT d FROM runs)) SELECT case_number, n - 40 AS more FROM u WHERE k <= 40")
+def uncovered_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a coverage report names of the cases without a document, and how many more there are."""
+    missing = attribution.covered(_files(spark, sf_dir), _cases(spark, sf_dir)).where("not by_digits").select("case_number")
+    return state.capped(missing, [F.col("case_number")], 40)
+
+
+@query(f"WITH {PLAN_SQL}, c AS (SELECT case_number, count(d.doc_id) FILTER (length(d.text) >= 200) AS n FROM plan LEFT JOIN documents d ON d.doc_id = plan.id GROUP BY 1) SELECT CASE WHEN n > 0 THEN 'extracted' ELSE 'no_source' END AS outcome, count(*) AS n FROM c GROUP BY 1")
+def extract_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What becomes of each case when its documents are read: scans have no text."""
+    texts = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    used = _plan(spark, sf_dir).join(texts, "id", "left").groupBy("case_number").agg(F.count_if(F.length("text") >= 200).alias("n"))
+    return state.outcome_counts(used.select(F.when(F.col("n") > 0, "extracted").otherwise("no_source").alias("outcome")))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files attributed to cases, planned and counted: how each case will be read."""
     return plan_strategy_hist(spark, sf_dir)

@@ -5,16 +5,18 @@ from __future__ import annotations
 import argparse
 import os
 import sys
+from collections.abc import Callable
 
-from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from adjudica.operators import attribution, evaluate, rows, sampling, survey
-from adjudica.plans.runner import Runner, inspect_report, report
+from adjudica.operators import attribution, cost, planning, rows, survey
+from adjudica.plans import config, reports
+from adjudica.plans.policy import LEGAL
+from adjudica.plans.runner import MAP, STRUCTURE, Runner
 from adjudica.sources import documents, xlsx
-from adjudica.sources.providers import Recorded
+from adjudica.sources.providers import Provider, Recorded
 
-STAGES = ("extract", "map", "structure", "audit")
+STAGES = ("extract", "map-submit", "map-collect", "structure-submit", "structure-collect", "audit", "write")
 
 
 def positive(text: str) -> int:
@@ -24,15 +26,10 @@ def positive(text: str) -> int:
     return n
 
 
-def main(argv: list[str]) -> int:
+def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="adjudica")
-    env = os.environ.get
-    p.add_argument("--workbook", default=env("ADJUDICA_WORKBOOK"))
-    p.add_argument("--sources", default=env("ADJUDICA_SOURCES"))
-    p.add_argument("--texts", default=env("ADJUDICA_TEXTS"), help="table of (id, text, pages)")
-    p.add_argument("--recordings", default=env("ADJUDICA_RECORDINGS"))
-    p.add_argument("--state", default=env("ADJUDICA_STATE", "state"))
-    p.add_argument("--header", default=env("ADJUDICA_HEADER", "Resumo Decisão"))
+    for name, what in (("workbook", "xlsx file, never written to"), ("sources", "folder of case files"), ("texts", "table of (id, text, pages)"), ("recordings", "JSON file of recorded answers"), ("prices", "JSON file of model prices"), ("state", "folder of tables, reports and the delivered copy"), ("header", "header of the summary column")):
+        p.add_argument(f"--{name}", help=what)
     sub = p.add_subparsers(dest="command", required=True)
     for name in ("inspect", "coverage", "style", "run", "stage", "eval"):
         s = sub.add_parser(name)
@@ -42,39 +39,121 @@ def main(argv: list[str]) -> int:
             s.add_argument("--limit", type=positive)
         if name == "eval":
             s.add_argument("--size", type=positive, default=25)
+    return p
+
+
+class App:
+    """One command over the settings; answers come from a provider of the caller's, else from recordings."""
+
+    def __init__(self, spark: SparkSession, c: config.Config, provider: Provider | None, say: Callable[[str], None] = print) -> None:
+        self.spark, self.c, self.say = spark, c, say
+        table = xlsx.cells(spark, c.workbook)
+        self.column = xlsx.column_of(table, c.header, c.column)
+        self.book = rows.with_state(xlsx.workbook_rows(table, self.column, c.case_column))
+        self.targets = rows.targets(self.book).select("row", "case_number", "existing")
+        self.provider = provider
+        self.policy = LEGAL.__class__(chunk=c.chunk, max_document_mb=c.max_document_mb)
+
+    def runner(self) -> Runner:
+        prices, default = cost.load_prices(self.spark, self.c.prices, self.policy)
+        model = self.c.model or default
+        if warning := cost.unpriced_warning(model, prices):
+            self.say(warning)
+        if self.provider is None and not (self.c.demo and self.c.recordings):
+            raise SystemExit("no recordings and no provider: nothing can answer")
+        provider = self.provider or Recorded(self.spark, self.c.recordings)
+        return Runner(self.spark, self.c.state, provider, self.policy, prices, model, attempts=self.c.retry_attempts, retry_max_s=self.c.retry_max_s, poll_seconds=self.c.poll_seconds, log=self.say)
+
+    def documents(self, cases: DataFrame) -> DataFrame:
+        """The case files, each with the first known case (in the sheet's order) that it belongs to."""
+        return attribution.attribute(documents.folder(self.spark, self.c.sources).drop("case_number"), attribution.indexed(cases))
+
+    def texts(self) -> DataFrame:
+        return self.spark.read.parquet(self.c.texts)
+
+    def save(self, name: str, content: str) -> None:
+        self.say(f"wrote {reports.save(self.spark, self.c.state, name, content)}")
+
+    def coverage(self) -> None:
+        files = documents.folder(self.spark, self.c.sources)
+        plan = planning.reading_plan(self.documents(self.targets).where("case_number is not null"), self.targets.select("case_number"))
+        steps = attribution.progression(files, self.targets)
+        for r in steps.orderBy("step").collect():
+            self.say(f"{r.key}: {r.covered} of {r.targets}, {r.coverage_pct}%")
+        self.save("coverage.md", reports.coverage(steps, attribution.covered(files, self.targets), attribution.unattributable(files, self.targets), plan))
+
+    def style(self) -> None:
+        content = reports.style(survey.approved_rows(self.book))
+        self.say(content.split("\n")[2])
+        self.save("house-style.md", content)
+
+    def extract(self, runner: Runner, limit: int | None) -> dict:
+        return runner.extract(self.targets, self.documents(self.targets), self.texts(), limit)
+
+    def deliver(self, runner: Runner) -> dict:
+        os.makedirs(self.c.state, exist_ok=True)
+        out = runner.deliver(self.c.workbook, f"{self.c.state}/delivered.xlsx", self.c.header, self.c.column)
+        self.say(f"{out['written']} written, {out['flagged']} flagged, {out['skippedApproved']} refused at the cell; verification: {'clean' if out['ok'] else 'FAILED'}")
+        return out
+
+    def stage(self, name: str, limit: int | None) -> int:
+        runner = self.runner()
+        if name == "extract":
+            self.say(str(self.extract(runner, limit)))
+        elif name == "audit":
+            self.say(str(runner.audit()))
+        elif name == "write":
+            self.deliver(runner)
+        else:
+            round_, what = name.split("-")
+            self.say(str(runner.submit(round_) if what == "submit" else runner.collect(round_)))
+        return 0
+
+    def run(self, limit: int | None) -> int:
+        runner = self.runner()
+        self.say(f"extract: {self.extract(runner, limit)}")
+        for round_ in (MAP, STRUCTURE):
+            runner.submit(round_)
+            self.say(f"{round_}: {runner.wait_and_collect(round_)}")
+        self.say(f"audit: {runner.audit()}")
+        delivery = self.deliver(runner)
+        self.save("approval-pack.md", reports.approval(runner, delivery, self.book.where("approved").count()))
+        return 0 if delivery["ok"] else 1
+
+    def eval(self, size: int) -> int:
+        runner = self.runner()
+        if runner.cases().isEmpty():
+            self.say("no case records: run first")
+            return 1
+        self.save("fidelity.md", reports.fidelity(*runner.fidelity(size)))
+        gold = rows.gold(self.book).select("row", "case_number", "existing")
+        judged = runner.parity(gold, self.documents(gold), self.texts(), size)
+        if judged is None:
+            self.say("no approved row has a document and a summary to compare")
+        else:
+            self.save("parity.md", reports.parity(*judged))
+        return 0
+
+
+def main(argv: list[str], provider: Provider | None = None, env: dict[str, str] | None = None) -> int:
     try:
-        a = p.parse_args(argv)
+        a = _parser().parse_args(argv)
     except SystemExit as e:
         return 1 if e.code else 0
-    spark = SparkSession.builder.appName("adjudica").getOrCreate()
-    table = xlsx.cells(spark, a.workbook)
-    book = rows.with_state(xlsx.workbook_rows(table, xlsx.column_of(table, a.header)))
-    targets = rows.targets(book).select("row", "case_number")
+    given = {f"{config.PREFIX}{k.upper()}": v for k in ("workbook", "sources", "texts", "recordings", "prices", "state", "header") if (v := getattr(a, k))}
+    app = App(SparkSession.builder.appName("adjudica").getOrCreate(), config.load((os.environ if env is None else env) | given), provider)
     if a.command == "inspect":
-        print(inspect_report(book))
-    elif a.command == "style":
-        survey.dominance(survey.approved_rows(book)).show(truncate=False)
+        app.say(reports.inspect(app.book))
     elif a.command == "coverage":
-        attribution.progression(documents.folder(spark, a.sources), targets).orderBy("step").show()
+        app.coverage()
+    elif a.command == "style":
+        app.style()
+    elif a.command == "stage":
+        return app.stage(a.name, a.limit)
+    elif a.command == "run":
+        return app.run(a.limit)
     else:
-        runner = Runner(spark, a.state, Recorded(spark, a.recordings))
-        if a.command == "eval":
-            delivered = runner.records().where("status = 'writeable' and summary <> ''")
-            sample = sampling.uniform_stride(delivered, [F.col("case_number")], a.size)
-            if sample.isEmpty():
-                return 1
-            verdicts = runner.provider.audit(sample).select(F.col("answer.severity").alias("severity"), F.size(F.coalesce("answer.unsupported", F.array().cast("array<string>"))).alias("n_unsupported"), F.col("answer.score").alias("score"))
-            evaluate.fidelity_report(verdicts).show(truncate=False)
-            return 0
-        docs = attribution.attribute(documents.folder(spark, a.sources).drop("case_number"), attribution.indexed(targets.select("case_number")))
-        texts = spark.read.parquet(a.texts)
-        if a.command == "stage" and a.name != "extract":
-            print(getattr(runner, a.name)())
-            return 0
-        print(runner.extract(targets, docs, texts, a.limit))
-        if a.command == "run":
-            print(runner.map(), runner.structure(), runner.audit())
-            print(report(runner.records()))
+        return app.eval(a.size)
     return 0
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 KEY = r"\d{7}-\d{2}\.\d{4}\.\d\.\d{2}\.\d{4}"
@@ -29,6 +29,12 @@ def custom_id(key: Column) -> Column:
     return F.regexp_replace(key, "[^a-zA-Z0-9]", "_")
 
 
+def from_custom_id(asked: DataFrame, known: DataFrame, id_col: str = "custom_id") -> DataFrame:
+    """asked with the known case_number its id was made from, or null; of several the smallest."""
+    made = known.groupBy(custom_id(F.col("case_number")).alias(id_col)).agg(F.min("case_number").alias("case_number"))
+    return asked.join(made, id_col, "left")
+
+
 def check_digits(key: Column) -> Column:
     """The two check digits a key should have; null unless the whole string is a key."""
     d = digits(key)

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import unicodedata
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: white space a script language would trim; Spark's own trim() knows the space only
 SPACE = r"[\s\u00A0\uFEFF\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
-ACCENTED = "áàâãäåçéèêëíìîïñóòôõöúùûüýÿ"
-PLAIN = "aaaaaaceeeeiiiinooooouuuuyy"
+#: letters that canonical decomposition takes apart into a plain letter and marks, and those letters in lower case
+_APART = {chr(c): d[0].lower() for c in range(0x80, 0x2200) if (d := unicodedata.normalize("NFD", chr(c)))[0].isascii() and d[0].isalpha()}
+ACCENTED, PLAIN = "".join(_APART), "".join(_APART.values())
 
 
 def trim_all(c: Column) -> Column:
@@ -17,8 +21,33 @@ def trim_all(c: Column) -> Column:
 
 
 def normalise_key(c: Column) -> Column:
-    """Lower case, without accents, other characters as single spaces: the form in which names are compared."""
-    return F.trim(F.regexp_replace(F.translate(F.lower(c), ACCENTED, PLAIN), "[^a-z0-9]+", " "))
+    """Lower case, without accents, be they part of a letter or marks of their own; other characters as single spaces:
+    the form in which names are compared."""
+    bare = F.lower(F.regexp_replace(F.translate(c, ACCENTED, PLAIN), r"\p{M}+", ""))
+    return F.trim(F.regexp_replace(bare, "[^a-z0-9]+", " "))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of value, where value is worked out once: inside a higher-order function it would be again for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running_sums(numbers: Column) -> Column:
+    """For each element the sum of those before it. Blocks of about the square root of all keep the work of the growing
+    arrays far below the square of their length."""
+    none = F.array().cast("array<bigint>")
+
+    def grown(a: Column, first: Column) -> Column:
+        begin = F.struct(first.alias("at"), none.alias("got"))
+        return F.aggregate(a, begin, lambda s, n: F.struct((s["at"] + n).alias("at"), F.concat(s["got"], F.array(s["at"])).alias("got")))["got"]
+
+    def blocked(a: Column) -> Column:
+        k = F.ceil(F.sqrt(F.size(a))).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), F.ceil(F.size(a) / k).cast("int") - 1), lambda b: F.slice(a, b * k + 1, k))
+        total = lambda x: F.aggregate(x, F.lit(0).cast("bigint"), lambda s, n: s + n)
+        return let(blocks, lambda x: F.flatten(F.zip_with(x, grown(F.transform(x, total), F.lit(0).cast("bigint")), grown)))
+
+    return let(F.transform(numbers, lambda n: n.cast("bigint")), lambda a: F.when(F.size(a) > 0, blocked(a)).otherwise(none))
 
 
 def bigrams(c: Column) -> Column:
@@ -37,9 +66,7 @@ def match_starts(text: Column, pattern: str) -> Column:
     """Starts (code points from 0) of all leftmost non-overlapping matches."""
     own = F.replace(text, F.lit("\x01"), F.lit(" "))
     parts = F.transform(F.split(F.regexp_replace(own, pattern, "\x01$0"), "\x01"), F.length)
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("got"))
-    grown = F.aggregate(parts, begin, lambda s, n: F.struct((s["at"] + n).alias("at"), F.concat(s["got"], F.array(s["at"] + n)).alias("got")))
-    starts = F.slice(grown["got"], 1, F.size(parts) - 1)
+    starts = let(running_sums(parts), lambda at: F.slice(at, 2, F.size(at)).cast("array<int>"))
     return F.when(F.rlike(text, F.lit(pattern)), starts).otherwise(F.array().cast("array<int>"))
 
 

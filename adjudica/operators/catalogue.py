@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,7 +18,8 @@ def match(names: DataFrame, catalogue: DataFrame, name: str = "name", threshold:
     """name, canonical, method (exact, fuzzy, none) and score for each distinct name. catalogue(canonical, idx).
 
     The best score wins, the first catalogue entry on ties; equal keys in the catalogue leave the last. Below the
-    threshold canonical is null and the score stays.
+    threshold canonical is null and the score stays; for a catalogue above ``BROADCAST_NAMES`` names only pairs whose
+    lengths allow the threshold are scored, so there a score below it may be that of a worse name, or 0.
     """
     entries = catalogue.withColumn("key", normalise_key(F.col("canonical")))
     last = F.row_number().over(Window.partitionBy("key").orderBy(F.col("idx").desc()))
@@ -32,9 +35,16 @@ def match(names: DataFrame, catalogue: DataFrame, name: str = "name", threshold:
     if n_names <= BROADCAST_NAMES:
         pairs = open_.crossJoin(F.broadcast(entries))
     else:
-        gram = entries.select("canonical", "idx", "key", F.explode(F.array_distinct(bigrams(F.col("key")))).alias("g"))
-        mine = open_.select(name, "k", F.explode(F.array_distinct(bigrams(F.col("k")))).alias("g"))
-        pairs = mine.join(gram, "g").select(name, "k", "canonical", "idx", "key").distinct()
+        # names of a pair above the threshold differ little in length, so the join is by bigram and length class too: a
+        # common bigram is as many keys as there are lengths.
+        reach = math.ceil(2 * math.log2((2 - threshold) / threshold)) + 1
+        wide = lambda c: F.floor(F.log2(F.greatest(F.length(c), F.lit(2)) - 1) * 2).cast("int")
+        gram = entries.select("canonical", "idx", "key", F.explode(F.array_distinct(bigrams(F.col("key")))).alias("g"), wide(F.col("key")).alias("w"))
+        near = open_.select(name, "k", F.explode(F.array(*[wide(F.col("k")) + i for i in range(-reach, reach + 1)])).alias("w"))
+        mine = near.select(name, "k", "w", F.explode(F.array_distinct(bigrams(F.col("k")))).alias("g"))
+        pairs = mine.join(gram, ["g", "w"])
+        n, m = F.length("k") - 1, F.length("key") - 1
+        pairs = pairs.where(2 * F.least(n, m) >= threshold * (n + m)).select(name, "k", "canonical", "idx", "key").distinct()
     scored = pairs.withColumn("score", dice(F.col("k"), F.col("key"))).groupBy(name).agg(F.max_by(F.struct("canonical", "score"), F.struct("score", -F.col("idx"))).alias("best"))
     fuzzy = scored.select(F.col(name).alias("_n"), F.col("best.canonical").alias("near"), F.col("best.score").alias("near_score"))
     out = looked.join(fuzzy, looked[name] == fuzzy["_n"], "left")

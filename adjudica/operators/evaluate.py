@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adjudica.functions.text import rounded_percent
+from adjudica.functions.text import rounded_percent, trim_all
 
 
 def fidelity_report(outcomes: DataFrame) -> DataFrame:
@@ -32,3 +32,19 @@ def parity_report(outcomes: DataFrame) -> DataFrame:
         rounded_percent(yes("same_outcome"), n).alias("same_outcome_pct"), rounded_percent(F.count_if(v.isin("equivalent", "ours_more_complete")), n).alias("at_least_as_good_pct"),
         rounded_percent(yes("house_style"), n).alias("house_style_pct"), (F.floor(F.avg(score) * 10 + 0.5) / 10).alias("mean_score"),
     )
+
+
+def delivered(records: DataFrame) -> DataFrame:
+    """Rows that were written: writeable ones with a summary that is not blank."""
+    return records.where((F.col("status") == "writeable") & (trim_all(F.coalesce("summary", F.lit(""))) != ""))
+
+
+def measurable(gold: DataFrame, docs: DataFrame) -> DataFrame:
+    """Approved rows that have a document to read; drawn before any sample, so that the sample is not short."""
+    return gold.join(docs.where("case_number is not null").select("case_number").distinct(), "case_number", "left_semi")
+
+
+def pairs(gold: DataFrame, made: DataFrame) -> DataFrame:
+    """case_number, reference, generated of approved rows whose generated summary is not blank."""
+    some = made.where(trim_all(F.coalesce("summary", F.lit(""))) != "").select("case_number", F.col("summary").alias("generated"))
+    return gold.select("case_number", F.col("existing").alias("reference")).join(some, "case_number")

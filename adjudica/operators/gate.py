@@ -43,10 +43,19 @@ def audit_report(records: DataFrame) -> DataFrame:
     return records.agg(F.count_if(~demoted).alias("kept"), F.count_if(demoted).alias("demoted"), F.count_if(F.col("audit_severity").isNull()).alias("failed"))
 
 
+def _reason() -> Column:
+    return F.when(F.col("audit_reason").isNotNull(), "audit").otherwise(F.coalesce("gate_reason", F.lit("unknown")))
+
+
+def refused(records: DataFrame) -> DataFrame:
+    """The refused rows with reason and why: an audit's refusal comes before the gate's."""
+    why = F.coalesce("audit_reason", "gate_reason", F.lit("unknown"))
+    return records.where("status <> 'writeable'").withColumn("reason", _reason()).withColumn("why", why)
+
+
 def refusal_groups(records: DataFrame) -> DataFrame:
-    """Refused rows per reason: an audit's refusal comes before the gate's."""
-    key = F.when(F.col("audit_reason").isNotNull(), "audit").otherwise(F.coalesce("gate_reason", F.lit("unknown")))
-    return records.where("status <> 'writeable'").groupBy(key.alias("reason")).agg(F.count("*").alias("n"))
+    """Refused rows per reason."""
+    return refused(records).groupBy("reason").agg(F.count("*").alias("n"))
 
 
 def cell_state(existing: Column, gate: Gate = LEGAL.gate, merits: str = MERITS_OPENING) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adjudica.functions.text import SPACE
+from adjudica.functions.text import SPACE, trim_all
 from adjudica.plans.policy import LEGAL, Kinds
 
 # What reports call the kinds.
@@ -60,8 +60,8 @@ def skip_reason(size: Column, scanned: Column, max_mb: int = LEGAL.max_document_
 
 
 def is_scan(text: Column, pages: Column) -> Column:
-    """Fewer than 60 characters a page, or fewer than 200 in all."""
-    n = F.length(F.trim(text))
+    """Fewer than 60 characters a page, or fewer than 200 in all without white space of any kind at the ends."""
+    n = F.length(trim_all(text))
     return (F.try_divide(F.length(text), F.greatest(pages, F.lit(1))) < 60) | (n < 200)
 
 
@@ -71,3 +71,13 @@ def case_text(parts: DataFrame, by: str = "case_number") -> DataFrame:
     head = F.concat(F.lit("===== "), F.upper("kind"), F.lit(": "), F.col("name"), F.lit(" =====\n"), F.col("text"))
     listed = some.groupBy(by).agg(F.array_sort(F.collect_list(F.struct("pos", head.alias("t")))).alias("l"), F.count("*").alias("used"))
     return listed.select(by, "used", F.array_join(F.transform("l", lambda x: x["t"]), "\n\n").alias("text"))
+
+
+def used_and_skipped(parts: DataFrame, by: str = "case_number") -> DataFrame:
+    """Per case the names that were read and those that were not with the reason, in order: parts(by, pos, name, why)."""
+
+    def listed(some: Column, value: Column) -> Column:
+        return F.transform(F.array_sort(F.collect_list(F.when(some, F.struct("pos", value.alias("v"))))), lambda x: x["v"])
+
+    read = F.col("name").isNotNull() & F.col("why").isNull()
+    return parts.groupBy(by).agg(listed(read, F.col("name")).alias("documents"), listed(F.col("why").isNotNull(), F.struct("name", "why")).alias("skipped"))

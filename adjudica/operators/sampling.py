@@ -2,21 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from adjudica.functions.scratch import written
+
 
 def ranked(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
     """df with a rank from 0 over the order: range partitions are numbered apart and shifted by what stands before.
 
-    The ranged rows are kept on disk, because both the sizes and the rows must see the same partition bounds, which
-    Spark draws from a sample: two runs of the same plan could draw different ones.
+    The ranged rows are written to the shared folder, because both the sizes and the rows must see the same partition
+    bounds, which Spark draws from a sample: a lost executor's partitions could be drawn anew with others.
     """
     n = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     parts = df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id())
     inside = Window.partitionBy("_part").orderBy(*order)
-    parts = parts.withColumn("_rn", F.row_number().over(inside) - 1).persist(StorageLevel.DISK_ONLY)
+    parts = written(parts.withColumn("_rn", F.row_number().over(inside) - 1), "ranked")
     sizes = parts.groupBy("_part").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     shift = sizes.select(F.col("_part").alias("_p"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
@@ -29,13 +30,14 @@ def uniform_stride(df: DataFrame, order: list[Column], size: int) -> DataFrame:
     min(n - 1, floor(i * (n / size))) with the step in double arithmetic."""
     if size <= 0:
         return df.limit(0)
-    n = df.count()
+    placed = ranked(df, order, "_rank")
+    n = placed.agg(F.coalesce(F.max("_rank") + 1, F.lit(0))).first()[0]
     if size >= n:
-        return df
+        return placed.drop("_rank")
     step = F.lit(float(n)) / F.lit(float(size))
     index = F.least(F.lit(n - 1), F.floor(F.col("id").cast("double") * step).cast("long"))
     wanted = df.sparkSession.range(size).select(index.alias("_i")).distinct()
-    return ranked(df, order, "_rank").join(wanted, F.col("_rank") == F.col("_i"), "left_semi").drop("_rank")
+    return placed.join(wanted, F.col("_rank") == F.col("_i"), "left_semi").drop("_rank")
 
 
 def chunked(df: DataFrame, order: list[Column], size: int, name: str = "chunk") -> DataFrame:

@@ -5,30 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adjudica.functions.text import first_marker, marker_positions
+from adjudica.functions.text import first_marker, let, marker_positions, running_sums
 from adjudica.plans.policy import LEGAL, Segmentation
 
 RANGES = "array<struct<a:int,b:int>>"
 
 
 def windows(positions: Column, length: Column, p: Segmentation) -> Column:
-    """Ranges around positions, merged where they touch, without the earliest ones beyond the budget."""
-    def add(acc: Column, x: Column) -> Column:
-        a, b = F.greatest(F.lit(0), x - p.before), F.least(length, x + p.after)
-        last = F.get(acc, F.size(acc) - 1)
-        grown = F.struct(last["a"].alias("a"), F.greatest(last["b"], b).alias("b"))
-        joined = F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(grown))
-        return F.when((F.size(acc) > 0) & (a <= last["b"]), joined).otherwise(F.concat(acc, F.array(F.struct(a.alias("a"), b.alias("b")))))
+    """Ranges around positions (ascending), merged where they touch, without the earliest ones beyond the budget.
 
-    merged = F.aggregate(positions, F.array().cast(RANGES), add)
-    begin = F.struct(F.lit(0).alias("total"), F.lit(True).alias("open"), F.array().cast(RANGES).alias("kept"))
+    Starts and ends both ascend, so a range is new exactly where it starts after the one before it ends.
+    """
 
-    def keep(s: Column, r: Column) -> Column:
-        total = s["total"] + r["b"] - r["a"]
-        fits = s["open"] & ((F.size(s["kept"]) == 0) | (total <= p.budget))
-        return F.struct(total.alias("total"), fits.alias("open"), F.when(fits, F.concat(F.array(r), s["kept"])).otherwise(s["kept"]).alias("kept"))
+    def merged(at: Column) -> Column:
+        first = lambda i: F.greatest(F.lit(0), F.get(at, i) - p.before)
+        last = lambda i: F.least(length, F.get(at, i) + p.after)
+        fresh = F.filter(F.sequence(F.lit(0), F.size(at) - 1), lambda i: (i == 0) | (first(i) > last(i - 1)))
+        return let(fresh, lambda f: F.transform(f, lambda i, k: F.struct(first(i).alias("a"), last(F.coalesce(F.get(f, k + 1), F.size(at)) - 1).alias("b"))))
 
-    return F.aggregate(F.reverse(merged), begin, keep)["kept"]
+    def kept(r: Column) -> Column:
+        sizes = F.transform(F.reverse(r), lambda x: x["b"] - x["a"])
+        after = let(running_sums(sizes), F.reverse)
+        return let(after, lambda t: F.filter(r, lambda x, i: (i == F.size(r) - 1) | (F.get(t, i) + x["b"] - x["a"] <= p.budget)))
+
+    return let(positions, lambda at: F.when(F.size(at) > 0, let(merged(at), kept)).otherwise(F.array().cast(RANGES)))
 
 
 def segment(df: DataFrame, text: str = "text", policy: Segmentation = LEGAL.segmentation) -> DataFrame:

@@ -38,6 +38,17 @@ def collected(results: DataFrame, targets: DataFrame, done: DataFrame, key: str
     return both.select(*results.columns, outcome.alias("outcome"))
 
 
+def billed() -> Column:
+    """Whether a tagged result is paid for: an answer that came, of use or not, and had not been paid before."""
+    return F.col("ok") & (F.col("outcome") != "known")
+
+
+def capped(df: DataFrame, order: list[Column], most: int) -> DataFrame:
+    """The first rows of a list that a report cuts, with how many more there are."""
+    n = df.agg(F.count("*").alias("_n"))
+    return df.orderBy(*order).limit(most).crossJoin(F.broadcast(n)).withColumn("more", F.col("_n") - most).drop("_n")
+
+
 def outcome_counts(df: DataFrame, column: str = "outcome") -> DataFrame:
     return df.groupBy(F.col(column).alias("outcome")).agg(F.count("*").alias("n"))
 

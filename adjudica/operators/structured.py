@@ -12,35 +12,66 @@ CASE_OUTCOMES = ("upheld", "partly_upheld", "dismissed", "terminated", "not_iden
 CLAIM_OUTCOMES = (*CASE_OUTCOMES, "moot")
 APPEAL_OUTCOMES = ("allowed", "partly_allowed", "not_allowed", "not_entertained", "not_identified")
 CONFIDENCE = ("high", "medium", "low")
-CLAIM = "struct<rawClaim:string,canonicalClaim:string,outcome:string,laterDecision:string,notes:string,confidence:string>"
-RESULT = f"caseNumber string, outcome string, judge string, appealOutcome string, reportingJudge string, summary string, notes string, claims array<{CLAIM}>"
+#: fields with a default: absent gives it, null or another type is invalid
+TEXTS = {"caseNumber": NOT_IDENTIFIED, "judge": NOT_IDENTIFIED, "reportingJudge": NOT_IDENTIFIED, "summary": "", "notes": ""}
+CLAIM_TEXTS = {"laterDecision": "", "notes": ""}
+
+
+def _kind(of: Column, name: str) -> Column:
+    """STRING, VOID (an explicit null), another type, or null where the field is absent."""
+    return F.schema_of_variant(F.try_variant_get(of, f"$.{name}", "variant"))
+
+
+def _text(of: Column, name: str) -> Column:
+    return F.when(_kind(of, name) == "STRING", F.try_variant_get(of, f"$.{name}", "string"))
+
+
+def _optional(of: Column, name: str, default: str) -> tuple[Column, Column]:
+    """(value, valid) of a text field with a default."""
+    kind = _kind(of, name)
+    return F.when(kind.isNull(), F.lit(default)).otherwise(_text(of, name)), kind.isNull() | (kind == "STRING")
+
+
+def _one_of(of: Column, name: str, values: tuple[str, ...]) -> Column:
+    return F.coalesce(_text(of, name).isin(*values), F.lit(False))
 
 
 def field(json: Column, name: str, default: str) -> tuple[Column, Column]:
     """(value, valid) of a text field with a default: absent gives the default, an explicit null is invalid."""
-    raw = F.get_json_object(json, f"$.{name}")
-    named = F.coalesce(F.array_contains(F.json_object_keys(json), F.lit(name)), F.lit(False))
-    return F.when(named, raw).otherwise(F.lit(default)), ~named | raw.isNotNull()
+    return _optional(F.try_parse_json(json), name, default)
 
 
 def validated(df: DataFrame, json: str = "text") -> DataFrame:
-    """df with result (null where invalid) and valid."""
-    j = F.col(json)
-    r = F.from_json(j, RESULT)
-    texts = {k: field(j, k, d) for k, d in (("caseNumber", NOT_IDENTIFIED), ("judge", NOT_IDENTIFIED), ("reportingJudge", NOT_IDENTIFIED), ("summary", ""), ("notes", ""))}
-    claims = r["claims"]
+    """df with result (null where invalid) and valid.
+
+    Texts must be texts: a number, an object or a null where the contract has a text makes the answer invalid, in claims
+    as well; only appealOutcome may be null. Unknown fields are dropped.
+    """
+    d = df.withColumn("_v", F.try_parse_json(F.col(json)))
+    v, claims = F.col("_v"), F.try_variant_get(F.col("_v"), "$.claims", "array<variant>")
+    texts = {k: _optional(v, k, default) for k, default in TEXTS.items()}
 
     def fits(c: Column) -> Column:
-        some = (F.length(c["rawClaim"]) > 0) & (F.length(c["canonicalClaim"]) > 0)
-        return F.coalesce(some & c["outcome"].isin(*CLAIM_OUTCOMES) & F.coalesce(c["confidence"].isin(*CONFIDENCE), F.lit(True)), F.lit(False))
+        some = (F.length(_text(c, "rawClaim")) > 0) & (F.length(_text(c, "canonicalClaim")) > 0)
+        confident = _kind(c, "confidence").isNull() | _one_of(c, "confidence", CONFIDENCE)
+        ok = some & _one_of(c, "outcome", CLAIM_OUTCOMES) & confident
+        for k in CLAIM_TEXTS:
+            ok = ok & _optional(c, k, "")[1]
+        return F.coalesce(ok, F.lit(False))
 
-    ok = r["outcome"].isin(*CASE_OUTCOMES) & (r["appealOutcome"].isNull() | r["appealOutcome"].isin(*APPEAL_OUTCOMES)) & (F.size(claims) >= 1) & F.forall(claims, fits)
+    appeal = _kind(v, "appealOutcome")
+    # a field with a default of null: absent and null are the same
+    ok = _one_of(v, "outcome", CASE_OUTCOMES) & (appeal.isNull() | (appeal == "VOID") | _one_of(v, "appealOutcome", APPEAL_OUTCOMES)) & (F.size(claims) >= 1) & F.forall(claims, fits)
     for _, good in texts.values():
         ok = ok & good
-    filled = F.transform(claims, lambda c: F.struct(c["rawClaim"].alias("raw_claim"), c["canonicalClaim"].alias("canonical_claim"), c["outcome"].alias("outcome"), F.coalesce(c["laterDecision"], F.lit("")).alias("later_decision"), F.coalesce(c["notes"], F.lit("")).alias("notes"), F.coalesce(c["confidence"], F.lit("medium")).alias("confidence")))
-    d = df.withColumn("valid", F.coalesce(ok, F.lit(False)))
-    result = F.struct(texts["caseNumber"][0].alias("case_number"), r["outcome"].alias("outcome"), texts["judge"][0].alias("judge"), r["appealOutcome"].alias("appeal_outcome"), texts["reportingJudge"][0].alias("reporting_judge"), texts["summary"][0].alias("summary"), texts["notes"][0].alias("notes"), filled.alias("claims"))
-    return d.withColumn("result", F.when(F.col("valid"), result))
+
+    def filled(c: Column) -> Column:
+        more = {k: _optional(c, k, default)[0] for k, default in CLAIM_TEXTS.items()}
+        return F.struct(_text(c, "rawClaim").alias("raw_claim"), _text(c, "canonicalClaim").alias("canonical_claim"), _text(c, "outcome").alias("outcome"), more["laterDecision"].alias("later_decision"), more["notes"].alias("notes"), F.coalesce(_text(c, "confidence"), F.lit("medium")).alias("confidence"))
+
+    d = d.withColumn("valid", F.coalesce(ok, F.lit(False)))
+    result = F.struct(texts["caseNumber"][0].alias("case_number"), _text(v, "outcome").alias("outcome"), texts["judge"][0].alias("judge"), _text(v, "appealOutcome").alias("appeal_outcome"), texts["reportingJudge"][0].alias("reporting_judge"), texts["summary"][0].alias("summary"), texts["notes"][0].alias("notes"), F.transform(claims, filled).alias("claims"))
+    return d.withColumn("result", F.when(F.col("valid"), result)).drop("_v")
 
 
 def text_of_blocks(blocks: Column) -> Column:

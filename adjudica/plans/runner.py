@@ -1,119 +1,341 @@
 """A resumable run: every stage reads tables, does what is not done yet, and appends to its own table.
 
-Stages are extract, map, structure, audit and write. A stage's table in the state folder is the cut between stages: a
-second run finds nothing left and calls no provider. Rows of a stage are written before the next one asks anything, so a
-retried task never repeats a paid call.
+Stages are extract, a map round and a structuring round (each submitted in batches and collected), audit and delivery. A
+stage's table in the state folder is the cut between stages: a second run finds nothing left and pays nothing. Batch ids
+are stored as soon as a batch is made, and what is in an open batch is not submitted again. Every answer is priced and its
+usage stored before it is validated.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import time
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from adjudica.functions import keys
-from adjudica.operators import catalogue, cost, gate, planning, rows, segmentation, state, structured
+from adjudica.functions.scratch import written
+from adjudica.functions.text import trim_all
+from adjudica.operators import catalogue, cost, evaluate, gate, grid, planning, sampling, segmentation, state, structured
 from adjudica.plans.policy import LEGAL, Policy
+from adjudica.sources import providers, xlsx
 
+CLAIMS = "array<struct<raw_claim:string,canonical_claim:string,outcome:string,later_decision:string,notes:string,confidence:string>>"
+TOKENS = ("input_tokens", "output_tokens", "cache_write_tokens", "cache_read_tokens")
 TABLES = {
+    "targets": "row int, case_number string, previous_text string",
+    "plans": "case_number string, strategy string, documents array<string>, skipped array<struct<name:string,why:string>>",
     "texts": "case_number string, text string",
-    "maps": "case_number string, text string, cost_usd double",
-    "cases": "case_number string, summary string, status string, gate_reason string, claims array<struct<raw_claim:string,canonical_claim:string,outcome:string>>, cost_usd double",
-    "audits": "case_number string, severity string, unsupported array<string>",
+    "batches": "round string, batch string, case_number string, custom_id string",
+    "collected": "round string, batch string",
+    "usage": f"round string, batch string, case_number string, model string, {', '.join(f'{t} bigint' for t in TOKENS)}, cost_usd double, priced_with string",
+    "maps": "case_number string, text string",
+    "cases": f"case_number string, version bigint, summary string, status string, gate_reason string, outcome string, claims {CLAIMS}",
+    "audits": "case_number string, version bigint, severity string, unsupported array<string>",
 }
+MAP, STRUCTURE, AUDIT, COMPARE = "map", "structure", "audit", "compare"
+DONE = {MAP: "maps", STRUCTURE: "cases"}
 
 
 @dataclass
 class Runner:
     spark: SparkSession
     folder: str
-    provider: object
+    provider: providers.Provider
     policy: Policy = LEGAL
+    prices: DataFrame | None = None
+    model: str | None = None  # what usage is priced as; None: what the answer names
+    clients: dict[str, providers.BatchClient] = field(default_factory=dict)
+    attempts: int = 20
+    retry_max_s: float = 60
+    poll_seconds: float = 120
+    sleep: Callable[[float], None] = time.sleep
+    log: Callable[[str], None] = lambda line: None
 
+    def __post_init__(self) -> None:
+        for name, ask in ((MAP, self.provider.map), (STRUCTURE, self.provider.structure)):
+            self.clients.setdefault(name, providers.ProviderBatches(self.spark, f"{self.folder}/requests/{name}", ask))
+        if self.prices is None:
+            self.prices, _ = cost.load_prices(self.spark, None)
+
+    # --- tables -----------------------------------------------------------------------------------------------------
     def table(self, name: str) -> DataFrame:
         try:
             return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}")
         except AnalysisException:
             return self.spark.createDataFrame([], TABLES[name])
 
-    def _append(self, df: DataFrame, name: str) -> int:
+    def _append(self, df: DataFrame, name: str, mode: str = "append") -> int:
         """Write the new rows of a stage; how many there were."""
-        before = self.table(name).count()
-        df.select(*self.table(name).columns).write.mode("append").parquet(f"{self.folder}/{name}")
-        self.spark.catalog.refreshByPath(f"{self.folder}/{name}")
-        return self.table(name).count() - before
-
-    def extract(self, targets: DataFrame, docs: DataFrame, texts: DataFrame, limit: int | None = None) -> int:
-        """targets(row, case_number), docs(id, path, name, bytes, kind, case_number), texts(id, text, pages)."""
-        wanted = state.first_n(targets, [F.col("row")], limit) if limit else targets
-        wanted = state.last_row_wins(wanted.withColumn("custom_id", keys.custom_id(F.col("case_number"))))
-        todo = state.todo(wanted.select("case_number"), self.table("texts"), "case_number")
-        plan = planning.reading_plan(docs.where("case_number is not null"), todo, self.policy.kinds).join(todo, "case_number", "left_semi")
-        read = plan.where("id is not null").join(texts, "id").join(docs.select("id", "name"), "id")
-        read = read.withColumn("skip", planning.skip_reason(F.col("bytes"), planning.is_scan(F.col("text"), F.col("pages")), self.policy.max_document_mb))
-        joined = planning.case_text(read.where("skip is null").select("case_number", "pos", "kind", "name", "text"))
-        return self._append(state.non_blank(joined.select("case_number", "text")), "texts")
-
-    def _priced(self, answers: DataFrame) -> DataFrame:
-        u = answers.select(*answers.columns, F.col("usage.input_tokens").alias("input_tokens"), F.col("usage.output_tokens").alias("output_tokens"), F.col("usage.cache_creation_input_tokens").alias("cache_write_tokens"), F.col("usage.cache_read_input_tokens").alias("cache_read_tokens"))
-        return cost.priced(u, cost.price_table(self.spark, self.policy), self.policy.batch_discount)
-
-    def map(self) -> int:
-        todo = state.todo(self.table("texts"), self.table("maps"), "case_number")
-        cut = segmentation.segment(todo, policy=self.policy.segmentation).select("case_number", F.col("segmented").alias("text"))
-        got = self._priced(self.provider.map(cut)).where("answer is not null")
-        return self._append(got.select("case_number", F.col("answer").alias("text"), "cost_usd"), "maps")
-
-    def structure(self) -> int:
-        """The structuring round sees maps and nothing else. Invalid answers are billed but leave no record."""
-        todo = state.todo(self.table("maps").select("case_number", "text"), self.table("cases"), "case_number")
-        got = structured.validated(self._priced(self.provider.structure(todo)), "answer").where("valid")
-        names = [(i, c) for i, c in enumerate(self.policy.claims)]
-        claims = got.select("case_number", F.posexplode("result.claims").alias("i", "c")).select("case_number", "i", "c.raw_claim", "c.canonical_claim", "c.outcome")
-        fixed = catalogue.repair(claims, self.spark.createDataFrame(names, "idx int, canonical string"), self.policy.not_identified, self.policy.match_threshold)
-        listed = fixed.groupBy("case_number").agg(F.array_sort(F.collect_list(F.struct("i", "raw_claim", "canonical_claim", "outcome"))).alias("l"))
-        listed = listed.select("case_number", F.transform("l", lambda x: F.struct(x["raw_claim"].alias("raw_claim"), x["canonical_claim"].alias("canonical_claim"), x["outcome"].alias("outcome"))).alias("claims"))
-        records = gate.gated(got.select("case_number", F.col("result.summary").alias("summary"), "cost_usd"), gate=self.policy.gate)
-        return self._append(records.join(listed, "case_number"), "cases")
-
-    def audit(self) -> int:
-        """Rows the gate lets through, unless they have a verdict; a failed call leaves none and is tried again."""
-        rows_ = state.todo(self.table("cases").where("status = 'writeable'"), self.table("audits"), "case_number")
-        got = self.provider.audit(rows_.select("case_number", "summary")).where("answer is not null")
-        return self._append(got.select("case_number", F.col("answer.severity").alias("severity"), F.col("answer.unsupported").alias("unsupported")), "audits")
+        new = written(df.select(*self.table(name).columns), name)
+        if n := new.count():
+            new.write.mode(mode).parquet(f"{self.folder}/{name}")
+            self.spark.catalog.refreshByPath(f"{self.folder}/{name}")
+        return n
+
+    def save_cases(self, records: DataFrame) -> int:
+        """Upsert: the latest version of a case is the case."""
+        version = (self.table("cases").agg(F.max("version")).first()[0] or 0) + 1
+        return self._append(records.withColumn("version", F.lit(version).cast("bigint")), "cases")
+
+    def cases(self) -> DataFrame:
+        return state.latest(self.table("cases"), ["case_number"], ["version"])
+
+    def plans(self) -> DataFrame:
+        """The last plan of each case; one with documents before one without."""
+        order = F.struct(F.size("documents"), "strategy")
+        best = self.table("plans").groupBy("case_number").agg(F.max_by(F.struct("strategy", "documents", "skipped"), order).alias("p"))
+        return best.select("case_number", "p.*")
+
+    def targets(self) -> DataFrame:
+        return state.last_row_wins(self.table("targets").withColumn("custom_id", keys.custom_id(F.col("case_number"))))
+
+    # --- extract ----------------------------------------------------------------------------------------------------
+    def extract(self, targets: DataFrame, docs: DataFrame, texts: DataFrame, limit: int | None = None) -> dict[str, int]:
+        """targets(row, case_number[, existing]), docs(id, path, name, bytes, kind, case_number), texts(id, text, pages).
+
+        Counts targets, extracted, already_done, no_source and failed (cases whose documents have no text at all in
+        texts). What each case was read from, and why a document was not, is stored with its plan.
+        """
+        previous = F.col("existing") if "existing" in targets.columns else F.lit(None).cast("string")
+        rows = targets.select(F.col("row").cast("int").alias("row"), "case_number", previous.alias("previous_text"))
+        n_targets = self._append(rows, "targets", "overwrite")
+        wanted = state.first_n(rows, [F.col("row")], limit) if limit else rows
+        wanted = state.last_row_wins(wanted.withColumn("custom_id", keys.custom_id(F.col("case_number")))).select("case_number")
+        todo = written(state.todo(wanted, self.table("texts").select("case_number").union(self.table("cases").select("case_number")), "case_number"), "todo")
+        plan = planning.reading_plan(docs.where("case_number is not null").join(todo, "case_number", "left_semi"), todo, self.policy.kinds)
+        have = texts.select("id", "text", "pages", F.lit(True).alias("_read"))
+        read = plan.join(docs.select(F.col("id").alias("_id"), "name"), F.col("id") == F.col("_id"), "left").drop("_id").join(have, "id", "left")
+        why = F.when(F.col("id").isNotNull(), F.when(F.col("bytes") > self.policy.max_document_mb * 1024 * 1024, "too_large").when(F.col("_read").isNull(), "unread").otherwise(planning.skip_reason(F.col("bytes"), planning.is_scan(F.coalesce("text", F.lit("")), F.col("pages")), self.policy.max_document_mb)))
+        read = written(read.withColumn("why", why), "read")
+        used = F.col("id").isNotNull() & F.col("why").isNull()
+        joined = planning.case_text(read.where(used).select("case_number", "pos", "kind", "name", "text")).select("case_number", "text")
+        n_texts = self._append(state.non_blank(joined), "texts")
+        counts = read.groupBy("case_number").agg(F.min("strategy").alias("strategy"), F.count_if(used).alias("n_used"), F.count_if(F.col("why") == "unread").alias("n_unread"))
+        self._append(planning.used_and_skipped(read.select("case_number", "pos", "name", "why")).join(counts, "case_number"), "plans")
+        failed = counts.where("n_used = 0 and n_unread > 0").count()
+        n_todo, n_wanted = todo.count(), wanted.count()
+        return {"targets": n_targets, "extracted": n_texts, "already_done": n_wanted - n_todo, "no_source": n_todo - n_texts - failed, "failed": failed}
+
+    # --- batch rounds -----------------------------------------------------------------------------------------------
+    def _retried(self, call: Callable, label: str):
+        return providers.with_retry(call, label, self.attempts, most_s=self.retry_max_s, sleep=self.sleep)
+
+    def open_batches(self, round_: str) -> DataFrame:
+        mine = self.table("batches").where(F.col("round") == round_)
+        return mine.join(self.table("collected").where(F.col("round") == round_).select("batch"), "batch", "left_anti")
+
+    def _wanted(self, round_: str) -> DataFrame:
+        """case_number, text of what the round has still to be asked: a map sees the reduced text, structuring the map."""
+        if round_ == MAP:
+            todo = state.todo(self.table("texts"), self.table("maps"), "case_number")
+            return segmentation.segment(todo, policy=self.policy.segmentation).select("case_number", F.col("segmented").alias("text"))
+        return state.todo(self.table("maps").select("case_number", "text"), self.table("cases"), "case_number")
+
+    def submit(self, round_: str) -> list[str]:
+        """Make batches of all that is neither done nor in an open batch; each id is stored before the next is made."""
+        todo = self._wanted(round_).join(self.open_batches(round_).select("case_number"), "case_number", "left_anti")
+        requests = written(sampling.chunked(todo, [F.col("case_number")], self.policy.chunk).withColumn("custom_id", keys.custom_id(F.col("case_number"))), "requests")
+        last = requests.agg(F.max("chunk")).first()[0]
+        made = []
+        for k in range(0 if last is None else last + 1):
+            part = requests.where(F.col("chunk") == k)
+            batch = self._retried(lambda part=part: self.clients[round_].create(part), f"{round_}-submit")
+            self._append(part.select(F.lit(round_).alias("round"), F.lit(batch).alias("batch"), "case_number", "custom_id"), "batches")
+            made.append(batch)
+            self.log(f"  batch {k + 1}: {batch}")
+        return made
+
+    def _priced(self, answers: DataFrame, discount: float) -> DataFrame:
+        raw = {"input_tokens": "input_tokens", "output_tokens": "output_tokens", "cache_write_tokens": "cache_creation_input_tokens", "cache_read_tokens": "cache_read_input_tokens"}
+        model = F.lit(self.model) if self.model else F.col("model")
+        u = answers.select("case_number", model.alias("model"), *[F.coalesce(F.col(f"usage.{v}"), F.lit(0)).alias(k) for k, v in raw.items()])
+        return cost.priced(u, self.prices, discount)
+
+    def _bill(self, answers: DataFrame, round_: str, batch: str, discount: float) -> DataFrame:
+        """Store the usage of answers once, whatever becomes of them; the rows of this batch."""
+        priced = self._priced(answers, discount).withColumn("round", F.lit(round_)).withColumn("batch", F.lit(batch))
+        known = self.table("usage").where((F.col("round") == round_) & (F.col("batch") == batch)).select("case_number")
+        self._append(priced.join(known, "case_number", "left_anti"), "usage")
+        return self.table("usage").where((F.col("round") == round_) & (F.col("batch") == batch))
+
+    def _store(self, round_: str, answers: DataFrame) -> dict[str, int]:
+        """answers(case_number, answer) that are new, into the round's table."""
+        if round_ == MAP:
+            return {"collected": self._append(state.non_blank(answers.select("case_number", F.col("answer").alias("text"))), "maps")}
+        checked = structured.validated(answers, "answer")
+        got = checked.where("valid")
+        names = self.spark.createDataFrame(list(enumerate(self.policy.claims)), "idx int, canonical string")
+        claims = got.select("case_number", F.posexplode("result.claims").alias("i", "c")).select("case_number", "i", "c.*")
+        fixed = catalogue.repair(claims, names, self.policy.not_identified, self.policy.match_threshold)
+        fields = [f for f in ("raw_claim", "canonical_claim", "outcome", "later_decision", "notes", "confidence")]
+        listed = fixed.groupBy("case_number").agg(F.array_sort(F.collect_list(F.struct("i", *fields))).alias("l"))
+        listed = listed.select("case_number", F.transform("l", lambda x: F.struct(*[x[f].alias(f) for f in fields])).alias("claims"))
+        records = gate.gated(got.select("case_number", trim_all(F.col("result.summary")).alias("summary"), F.col("result.outcome").alias("outcome")), gate=self.policy.gate)
+        new = written(records.join(listed, "case_number"), "records")
+        n = self.save_cases(new)
+        ready = new.where("status = 'writeable'").count()
+        return {"collected": n, "writeable": ready, "needs_review": n - ready, "invalid": answers.count() - n}
 
+    def collect(self, round_: str) -> dict:
+        """What the round's open batches that have ended hold: counts, cost, and the batches still pending."""
+        out: dict = {"collected": 0, "skipped": 0, "failed": 0, "invalid": 0, "writeable": 0, "needs_review": 0, "pending": [], "cost": 0.0}
+        own = self.targets().select("custom_id", "case_number")
+        # a batch is a remote call each, so the ids are gone through here; what they hold stays a table
+        for batch in [r.batch for r in self.open_batches(round_).select("batch").distinct().orderBy("batch").collect()]:
+            client = self.clients[round_]
+            if not self._retried(lambda c=client, b=batch: c.status(b), f"{round_}-status")["ended"]:
+                out["pending"].append(batch)
+                continue
+            results = written(self._retried(lambda c=client, b=batch: c.results(b), f"{round_}-results"), "results")
+            done = self.table(DONE[round_]).select(keys.custom_id(F.col("case_number")).alias("custom_id"))
+            tagged = written(state.collected(results, own, done).join(own, "custom_id", "left"), "outcomes")
+            counts = {r.outcome: r.n for r in state.outcome_counts(tagged).collect()}
+            failed = tagged.where("outcome = 'invalid' and not ok").count()
+            bill = self._bill(tagged.where(state.billed()), round_, batch, self.policy.batch_discount)
+            spent = bill.agg(cost.total_cost()).first()[0]
+            out["cost"] = None if spent is None or out["cost"] is None else out["cost"] + spent
+            stored = self._store(round_, tagged.where("outcome = 'new'").select("case_number", "answer"))
+            out["skipped"] += counts.get("known", 0)
+            out["failed"] += failed
+            out["invalid"] += counts.get("invalid", 0) - failed
+            for k, n in stored.items():
+                out[k] += n
+            self._append(self.spark.createDataFrame([(round_, batch)], TABLES["collected"]), "collected")
+        return out
+
+    def wait_and_collect(self, round_: str) -> dict:
+        """Collect on every poll until no batch is pending; the counts of all polls together."""
+        total = self.collect(round_)
+        while total["pending"]:
+            self.log(f"  {round_}: {len(total['pending'])} batches still processing")
+            self.sleep(self.poll_seconds)
+            more = self.collect(round_)
+            both = None if total["cost"] is None or more["cost"] is None else total["cost"] + more["cost"]
+            total = {k: v + more[k] if k not in ("pending", "cost") else more[k] for k, v in total.items()} | {"cost": both}
+        return total
+
+    def ask_now(self, round_: str) -> dict[str, int]:
+        """A round without batches, at full price."""
+        asked = written(self._wanted(round_), "asked")
+        answers = written(getattr(self.provider, round_)(asked).where("answer is not null"), "answers")
+        self._bill(answers, round_, "now", 1.0)
+        return self._store(round_, answers.select("case_number", "answer"))
+
+    # --- audit, delivery ----------------------------------------------------------------------------------------------
+    def sources(self) -> DataFrame:
+        """case_number, source: the evidence a summary was made from, as the map round saw it, clipped for the auditor."""
+        cut = segmentation.segment(self.table("texts"), policy=self.policy.segmentation)
+        return cut.select("case_number", F.left("segmented", F.lit(self.policy.audit_clip)).alias("source"))
+
+    def audit(self) -> dict:
+        """Rows the gate lets through, unless they have a verdict; a failed call leaves none and is tried again. Rows
+        without a source are counted and stay as they are."""
+        ready = self.cases().where((F.col("status") == "writeable") & (F.col("summary") != "")).select("case_number", "version", "summary")
+        todo = ready.join(self.table("audits").select("case_number", "version"), ["case_number", "version"], "left_anti")
+        todo = written(todo.join(self.sources(), "case_number", "left"), "audited")
+        asked = todo.where(F.coalesce("source", F.lit("")) != "")
+        got = written(self.provider.audit(asked.select("case_number", "source", "summary")), "verdicts")
+        answered = got.where("answer is not null")
+        version = todo.agg(F.max("version")).first()[0] or 0
+        bill = self._bill(answered, AUDIT, f"version-{version}", 1.0)
+        verdicts = answered.join(todo.select("case_number", "version"), "case_number").select("case_number", "version", F.col("answer.severity").alias("severity"), F.col("answer.unsupported").alias("unsupported"))
+        n = self._append(verdicts, "audits")
+        demoted = verdicts.where("severity = 'severe'").count()
+        n_asked = asked.count()
+        return {"kept": n_asked - demoted, "demoted": demoted, "failed": n_asked - n, "no_source": todo.count() - n_asked, "cost": bill.agg(cost.total_cost()).first()[0] if n else 0.0}
+
+    def records(self) -> DataFrame:
+        """Cases as they stand: row, strategy, documents, summary, status and reasons."""
+        latest = self.cases()
+        now = latest.select("case_number", "version").join(self.table("audits"), ["case_number", "version"])
+        audited = gate.audited(latest, now.select("case_number", "severity", "unsupported"))
+        placed = audited.join(self.targets().select("case_number", "row", "previous_text"), "case_number", "left")
+        return placed.join(self.plans(), "case_number", "left")
+
+    def deliver(self, workbook: str, output: str, header: str, column: int | None = None) -> dict:
+        """Write a copy of the workbook and prove it safe: counts of actions, and the verification of every cell."""
+        before = xlsx.cells(self.spark, workbook)
+        column = xlsx.column_of(before, header, column)
+        last_row = before.agg(F.coalesce(F.max("r"), F.lit(0))).first()[0]
+        own = before.where(F.col("c") == column).select(F.col("r").alias("row"), "approved")
+        actions = grid.write_actions(self.records().select("row", "status", "summary"), own, last_row)
+        # at most as many as the workbook has rows
+        changes = [(r.row, r.action, r.summary or "") for r in actions.collect()]
+        xlsx.write_copy(workbook, output, changes, column)
+        diff = grid.differences(before, xlsx.cells(self.spark, output))
+        counts = {a: sum(x == a for _, x, _ in changes) for a in ("written", "flagged", "skippedApproved", "missingRow")}
+        verdict = grid.verification(diff, column, last_row).first().asDict()
+        return counts | verdict | {"summary_column": column, "samples": [tuple(r) for r in grid.samples(diff, column).collect()]}
+
+    def run(self, targets: DataFrame, docs: DataFrame, texts: DataFrame, limit: int | None = None) -> dict[str, dict]:
+        """All stages but delivery."""
+        out = {"extract": self.extract(targets, docs, texts, limit)}
+        for round_ in (MAP, STRUCTURE):
+            self.submit(round_)
+            out[round_] = self.wait_and_collect(round_)
+        return out | {"audit": self.audit()}
+
+    # --- measuring --------------------------------------------------------------------------------------------------
     def generate(self, gold: DataFrame, docs: DataFrame, texts: DataFrame) -> DataFrame:
         """Summaries of approved cases for comparison, in a state folder of their own: case_number, summary, error.
 
         gold(row, case_number). Nothing here is ever delivered; a case without text or answer keeps a row with an error.
         """
-        apart = Runner(self.spark, f"{self.folder}/generated", self.provider, self.policy)
+        apart = self._apart()
         apart.extract(gold, docs, texts)
-        apart.map()
-        apart.structure()
+        apart.ask_now(MAP)
+        apart.ask_now(STRUCTURE)
         have = gold.select("case_number").distinct().join(apart.table("texts").select("case_number", F.lit(True).alias("_t")), "case_number", "left")
-        out = have.join(apart.table("cases").select("case_number", "summary"), "case_number", "left")
+        out = have.join(apart.cases().select("case_number", "summary"), "case_number", "left")
         error = F.when(F.col("_t").isNull(), "no source text").when(F.col("summary").isNull(), "no valid answer")
         return out.select("case_number", F.coalesce("summary", F.lit("")).alias("summary"), error.alias("error"))
 
-    def records(self) -> DataFrame:
-        return gate.audited(self.table("cases"), self.table("audits"))
+    def _apart(self) -> Runner:
+        return Runner(self.spark, f"{self.folder}/generated", self.provider, self.policy, self.prices, self.model)
+
+    def fidelity(self, size: int) -> tuple[DataFrame, DataFrame]:
+        """(one row of figures, the sampled rows) of delivered summaries audited anew against what they were made from."""
+        delivered = written(evaluate.delivered(self.records()).select("case_number", "summary"), "delivered")
+        sample = sampling.uniform_stride(delivered.join(self.sources(), "case_number").where("source <> ''"), [F.col("case_number")], size)
+        sample = written(sample, "sample")
+        got = written(self.provider.audit(sample), "verdicts")
+        priced = self._priced(got.where("answer is not null"), 1.0)
+        outcome = got.select("case_number", F.col("answer.severity").alias("severity"), F.coalesce("answer.unsupported", F.array().cast("array<string>")).alias("unsupported"), F.col("answer.score").alias("score"))
+        outcome = outcome.withColumn("n_unsupported", F.size("unsupported"))
+        figures = evaluate.fidelity_report(outcome).withColumn("population", F.lit(delivered.count()))
+        return figures.crossJoin(F.broadcast(_spent(priced))), outcome
+
+    def parity(self, gold: DataFrame, docs: DataFrame, texts: DataFrame, size: int) -> tuple[DataFrame, DataFrame] | None:
+        """(one row of figures, the judged rows) of generated against approved summaries; None where none can be judged.
+
+        gold(row, case_number, existing): those with a document are sampled, so that the sample is not short.
+        """
+        sample = written(sampling.uniform_stride(evaluate.measurable(gold, docs), [F.col("row")], size), "gold")
+        made = self.generate(sample, docs, texts)
+        pairs = written(evaluate.pairs(sample, made), "pairs")
+        if pairs.isEmpty():
+            return None
+        got = written(self.provider.compare(pairs), "judged")
+        a = "answer."
+        outcome = got.select("case_number", F.col(a + "verdict").alias("verdict"), F.col(a + "sameOutcome").alias("same_outcome"), F.col(a + "houseStyle").alias("house_style"), F.col(a + "score").alias("score"))
+        judging = _spent(self._priced(got.where("answer is not null"), 1.0))
+        generating = _spent(self._apart().table("usage")).select(*[F.col(c).alias(f"generation_{c}") for c in (*TOKENS, "cost_usd")])
+        figures = evaluate.parity_report(outcome).withColumn("population", F.lit(gold.count()))
+        return figures.crossJoin(F.broadcast(judging)).crossJoin(F.broadcast(generating)), outcome
 
-    def run(self, targets: DataFrame, docs: DataFrame, texts: DataFrame) -> dict[str, int]:
-        return {"extract": self.extract(targets, docs, texts), "map": self.map(), "structure": self.structure(), "audit": self.audit()}
+    def spent(self) -> DataFrame:
+        """Tokens and cost of every round: those of answers that were no use as well."""
+        return self.table("usage").groupBy("round").agg(*_sums())
 
 
-def report(records: DataFrame) -> str:
-    """The approval report: few rows by construction (reasons, not records)."""
-    by = {r["status"]: r["n"] for r in records.groupBy("status").agg(F.count("*").alias("n")).collect()}
-    spent = records.agg(cost.format_usd(cost.total_cost()).alias("c")).first()["c"]
-    lines = ["# Approval pack", "", f"- writeable: {by.get('writeable', 0)}", f"- for review: {by.get('needs_review', 0)}", f"- cost: {spent}", "", "## Refused"]
-    lines += [f"- {r['reason']}: {r['n']}" for r in gate.refusal_groups(records).orderBy(F.col("n").desc(), "reason").collect()]
-    return "\n".join(lines)
+def _sums() -> list[Column]:
+    return [*[F.coalesce(F.sum(t), F.lit(0)).alias(t) for t in TOKENS], cost.total_cost().alias("cost_usd")]
 
 
-def inspect_report(table: DataFrame) -> str:
-    r = rows.histogram(rows.with_state(table)).first().asDict()
-    return "\n".join(f"- {k[2:].replace('_', ' ')}: {v}" for k, v in r.items())
+def _spent(usage: DataFrame) -> DataFrame:
+    """One row."""
+    return usage.agg(*_sums())

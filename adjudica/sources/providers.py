@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from typing import Protocol
@@ -15,23 +16,45 @@ RECORDINGS = f"model string, recordings array<struct<caseNumber:string,map:strin
 
 
 class Provider(Protocol):
-    """Rounds of a model as tables: each takes (id, text) and nothing else, and returns (id, answer, usage)."""
+    """Rounds of a model as tables. Each takes the columns named and nothing else, and returns (case_number, answer,
+    usage, model), the answer null where the call failed."""
 
-    def map(self, cases: DataFrame) -> DataFrame: ...
-    def structure(self, maps: DataFrame) -> DataFrame: ...
-    def audit(self, rows: DataFrame) -> DataFrame: ...
+    def map(self, cases: DataFrame) -> DataFrame: ...  # case_number, text
+    def structure(self, maps: DataFrame) -> DataFrame: ...  # case_number, text: the map alone
+    def audit(self, rows: DataFrame) -> DataFrame: ...  # case_number, source, summary
+    def compare(self, pairs: DataFrame) -> DataFrame: ...  # case_number, reference, generated
+
+
+class BatchClient(Protocol):
+    """A queue of requests that are answered hours later."""
+
+    def create(self, requests: DataFrame) -> str: ...  # case_number, custom_id, text; the batch's id
+    def status(self, batch: str) -> dict: ...  # ended, and how many are processing, succeeded, errored, canceled, expired
+    def results(self, batch: str) -> DataFrame: ...  # custom_id, ok, answer, reason, usage, model
+
+
+class Store(Protocol):
+    """A place documents are scanned from: what there is, without contents, and the contents of those wanted."""
+
+    def list(self) -> DataFrame: ...  # id, name, path, bytes, kind, case_number
+    def read(self, wanted: DataFrame) -> DataFrame: ...  # id, content
 
 
 class Recorded:
-    """Replays a file of recordings, looked up by case number."""
+    """Replays a file of recordings, found by a key in what is asked, else by the very text of a map or a summary."""
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         r = spark.read.schema(RECORDINGS).json(path, multiLine=True).select("model", F.explode("recordings").alias("r"))
         self.table = r.select("model", "r.*").withColumnRenamed("caseNumber", "case_number")
 
     def _answer(self, asked: DataFrame, answer: str, usage: str) -> DataFrame:
-        got = self.table.select("case_number", F.col(answer).alias("answer"), F.col(f"usage.{usage}").alias("usage"), "model")
-        return asked.select("case_number").join(got, "case_number", "left")
+        got = self.table.select(F.col("case_number").alias("_of"), F.col(answer).alias("answer"), F.col(f"usage.{usage}").alias("usage"), "model")
+        own = asked.select("case_number", F.col("case_number").alias("_of"))
+        if "text" in asked.columns:
+            known = self.table.select("case_number", "map", F.get_json_object("result", "$.summary").alias("summary"))
+            found = find_recording(asked.select(F.col("case_number").alias("id"), "text"), known).select(F.col("id").alias("_id"), F.col("case_number").alias("_by_text"))
+            own = own.join(found, F.col("case_number") == F.col("_id"), "left").select("case_number", F.coalesce("_by_text", "_of").alias("_of"))
+        return own.join(got, "_of", "left").drop("_of")
 
     def map(self, cases: DataFrame) -> DataFrame:
         return self._answer(cases, "map", "map")
@@ -40,10 +63,36 @@ class Recorded:
         return self._answer(maps, "result", "structure")
 
     def audit(self, rows: DataFrame) -> DataFrame:
-        return self._answer(rows, "audit", "audit")
+        return self._answer(rows.drop("text"), "audit", "audit")
 
     def compare(self, pairs: DataFrame) -> DataFrame:
-        return self._answer(pairs, "parity", "parity")
+        return self._answer(pairs.drop("text"), "parity", "parity")
+
+
+class ProviderBatches:
+    """A batch client over a provider's round: requests stand in a folder, so another process can collect them."""
+
+    def __init__(self, spark: SparkSession, folder: str, ask: Callable[[DataFrame], DataFrame]) -> None:
+        self.spark, self.folder, self.ask = spark, folder, ask
+
+    def create(self, requests: DataFrame) -> str:
+        batch = f"batch-{uuid.uuid4().hex[:12]}"
+        requests.select("case_number", "custom_id", "text").write.parquet(f"{self.folder}/{batch}")
+        return batch
+
+    def _requests(self, batch: str) -> DataFrame:
+        return self.spark.read.schema("case_number string, custom_id string, text string").parquet(f"{self.folder}/{batch}")
+
+    def status(self, batch: str) -> dict:
+        state = F.when(F.col("ok"), "succeeded").otherwise("errored")
+        counts = batch_counts(self.results(batch).select(F.lit(batch).alias("batch"), state.alias("state"))).first()
+        return {"id": batch, "ended": True} | (counts.asDict() if counts else {})
+
+    def results(self, batch: str) -> DataFrame:
+        asked = self._requests(batch)
+        got = self.ask(asked.select("case_number", "text")).join(asked.select("case_number", "custom_id"), "case_number")
+        ok = F.col("answer").isNotNull()
+        return got.select("custom_id", ok.alias("ok"), "answer", F.when(~ok, "errored").alias("reason"), "usage", "model")
 
 
 def find_recording(asked: DataFrame, recordings: DataFrame) -> DataFrame:

@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,7 +85,8 @@ def test_catalogue(spark):
 
 def test_cost(spark):
     usage = spark.createDataFrame([(1, "standard", 1_000_000, 100_000, 0, 0), (2, "standard", 0, 0, 1_000_000, 1_000_000), (3, "light", None, None, None, 1_000_000), (4, "other", 5, 5, 0, 0)], "i int, model string, input_tokens long, output_tokens long, cache_write_tokens long, cache_read_tokens long")
-    prices = cost.price_table(spark)
+    prices = cost.price_rows(spark.createDataFrame([("standard", 5.0, 25.0, None, None), ("light", 4.0, 20.0, None, 0.2)], "model string, input double, output double, cache_write double, cache_read double"))
+    assert cost.unpriced_warning("standard", prices) is None and "light, standard" in cost.unpriced_warning("other", prices)
     got = {r.i: r.cost_usd for r in cost.priced(usage, prices).collect()}
     assert got == {1: pytest.approx(7.5), 2: pytest.approx(6.75), 3: pytest.approx(0.2), 4: None}
     assert cost.priced(usage, prices, 0.5).where("i = 1").first().cost_usd == pytest.approx(3.75)
@@ -91,6 +94,25 @@ def test_cost(spark):
     assert cost.priced(usage.limit(0), prices).agg(cost.total_cost()).first()[0] == 0
 
 
+def test_price_file(spark, tmp_path):
+    good = {"inputPerMTok": 4, "outputPerMTok": 20, "cacheReadPerMTok": 0.2, "source": "a list"}
+    (tmp_path / "p.json").write_text(json.dumps({"default": "a", "models": {"a": good}}))
+    prices, default = cost.load_prices(spark, str(tmp_path / "p.json"))
+    assert default == "a" and tuple(prices.first()) == ("a", 4.0, 20.0, 5.0, 0.2)
+    (tmp_path / "q.json").write_text(json.dumps({"default": "a", "models": {"a": good | {"source": ""}}}))
+    with pytest.raises(ValueError, match="source: a"):
+        cost.load_prices(spark, str(tmp_path / "q.json"))
+    assert cost.load_prices(spark, None)[0].count() == 0
+
+
+def test_large_catalogue_finds_the_same_names(spark, monkeypatch):
+    names = spark.createDataFrame([(n,) for n in ("Danos moraiss", "dano moral", "Rescisões contratuais", "Usucapiao", "nada parecido", "Multas contratuais", "")], "name string")
+    entries = spark.createDataFrame(list(enumerate(CLAIMS)), "idx int, canonical string")
+    small = {r.name: r.canonical for r in catalogue.match(names, entries).collect()}
+    monkeypatch.setattr(catalogue, "BROADCAST_NAMES", -1)
+    assert {r.name: r.canonical for r in catalogue.match(names, entries).collect()} == small
+
+
 def test_audit_demotes_only(spark):
     records = spark.createDataFrame([("a", "writeable", None), ("b", "writeable", None), ("c", "writeable", None), ("d", "needs_review", "off_house_style")], "case_number string, status string, gate_reason string")
     verdicts = spark.createDataFrame([("a", "minor", []), ("b", "severe", ["20% vs 10%"]), ("d", "ok", [])], "case_number string, severity string, unsupported array<string>")
@@ -139,6 +161,10 @@ def test_structured(spark):
     texts = [f'{{"outcome":"upheld","claims":[{claim}],"other":1}}', '{"outcome":"upheld","claims":[]}', f'{{"outcome":"won","claims":[{claim}]}}', f'{{"outcome":"upheld","judge":null,"claims":[{claim}]}}', f'{{"outcome":"upheld","appealOutcome":null,"claims":[{claim}]}}', "no json", None]
     rows = structured.validated(spark.createDataFrame(list(enumerate(texts)), "i int, text string")).orderBy("i").collect()
     assert [r.valid for r in rows] == [True, False, False, False, True, False, False]
+    nested = ['"notes":null', '"notes":3', '"confidence":"sure"', '"laterDecision":"x","confidence":"low","more":{}']
+    made = [(i, f'{{"outcome":"upheld","claims":[{claim[:-1]},{n}}}]}}') for i, n in enumerate(nested)]
+    got = structured.validated(spark.createDataFrame(made, "i int, text string")).orderBy("i").collect()
+    assert [r.valid for r in got] == [False, False, False, True] and got[3].result.claims[0].confidence == "low"
     assert rows[0].result.judge == "Não identificado" and rows[0].result.claims[0].confidence == "medium" and rows[1].result is None
 
 
