@@ -32,24 +32,44 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def running_sums(numbers: Column) -> Column:
-    """For each element the sum of those before it. Blocks of about the square root of all keep the work of the growing
-    arrays far below the square of their length."""
-    none = F.array().cast("array<bigint>")
+def _running(numbers: Column, zero: int, add: Callable[[Column, Column], Column]) -> Column:
+    """For each element what add makes of those before it. Blocks of about the square root of all keep the work of the
+    growing arrays far below the square of their length."""
+    none, begin = F.array().cast("array<bigint>"), F.lit(zero).cast("bigint")
 
     def grown(a: Column, first: Column) -> Column:
-        begin = F.struct(first.alias("at"), none.alias("got"))
-        return F.aggregate(a, begin, lambda s, n: F.struct((s["at"] + n).alias("at"), F.concat(s["got"], F.array(s["at"])).alias("got")))["got"]
+        start = F.struct(first.alias("at"), none.alias("got"))
+        return F.aggregate(a, start, lambda s, n: F.struct(add(s["at"], n).alias("at"), F.concat(s["got"], F.array(s["at"])).alias("got")))["got"]
 
     def blocked(a: Column) -> Column:
         k = F.ceil(F.sqrt(F.size(a))).cast("int")
         blocks = F.transform(F.sequence(F.lit(0), F.ceil(F.size(a) / k).cast("int") - 1), lambda b: F.slice(a, b * k + 1, k))
-        total = lambda x: F.aggregate(x, F.lit(0).cast("bigint"), lambda s, n: s + n)
-        return let(blocks, lambda x: F.flatten(F.zip_with(x, grown(F.transform(x, total), F.lit(0).cast("bigint")), grown)))
+        return let(blocks, lambda x: F.flatten(F.zip_with(x, grown(F.transform(x, lambda y: F.aggregate(y, begin, add)), begin), grown)))
 
     return let(F.transform(numbers, lambda n: n.cast("bigint")), lambda a: F.when(F.size(a) > 0, blocked(a)).otherwise(none))
 
 
+def running_sums(numbers: Column) -> Column:
+    """For each element the sum of those before it."""
+    return _running(numbers, 0, lambda s, n: s + n)
+
+
+def running_most(numbers: Column) -> Column:
+    """For each element the largest of those before it, 0 at least."""
+    return _running(numbers, 0, lambda s, n: F.greatest(s, n))
+
+
+def running_least(numbers: Column, most: int = 1 << 40) -> Column:
+    """For each element the smallest of those after it, ``most`` at most."""
+    return F.reverse(_running(F.reverse(numbers), most, lambda s, n: F.least(s, n)))
+
+
+def pieces(text: Column, pattern: str, mark: str = "\x03") -> Column:
+    """The text cut at all leftmost non-overlapping matches: what stands before, a match, what stands between, and so on;
+    matches are at odd places. The text must not contain the mark."""
+    return F.split(F.regexp_replace(text, pattern, f"{mark}$0{mark}"), mark, -1)
+
+
 def bigrams(c: Column) -> Column:
     """All two-character pieces, in order; none for fewer than two characters."""
     return F.when(F.length(c) >= 2, F.transform(F.sequence(F.lit(1), F.length(c) - 1), lambda i: F.substring(c, i, F.lit(2)))).otherwise(F.array().cast("array<string>"))
