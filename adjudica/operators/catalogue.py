@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from adjudica.functions.text import bigrams, dice, normalise_key
@@ -14,6 +14,12 @@ from adjudica.plans.policy import LEGAL
 BROADCAST_NAMES = 20_000
 
 
+def load(spark: SparkSession, path: str, field: str = "claims") -> DataFrame:
+    """canonical, idx of a JSON file that lists the names under a field, in its order; the form match() takes."""
+    file = spark.read.schema(f"`{field}` array<string>").json(path, multiLine=True)
+    return file.select(F.posexplode(field).alias("idx", "canonical")).select("canonical", "idx")
+
+
 def match(names: DataFrame, catalogue: DataFrame, name: str = "name", threshold: float = LEGAL.match_threshold) -> DataFrame:
     """name, canonical, method (exact, fuzzy, none) and score for each distinct name. catalogue(canonical, idx).
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from typing import Protocol
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,9 +74,14 @@ def manifest_contents(spark: SparkSession, entries: DataFrame, wanted: DataFrame
     return own.join(files, F.col("_at") == F.col("id")).select(F.col("_id").alias("id"), "content")
 
 
-def texts_of(contents: DataFrame, decode) -> DataFrame:
-    """id, text, pages of documents(id, content) by a decoder: a function of the bytes that gives (text, pages)."""
-    import pyarrow as pa
+class Decoder(Protocol):
+    """What turns a document's bytes into its text and number of pages; none is shipped."""
+
+    def __call__(self, content: bytes) -> tuple[str, int]: ...
+
+
+def texts_of(contents: DataFrame, decode: Decoder) -> DataFrame:
+    """id, text, pages of documents(id, content) by a decoder; a document without bytes has no text and no pages."""
 
     def task(batches):
         for b in batches:

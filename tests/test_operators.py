@@ -105,6 +105,13 @@ def test_price_file(spark, tmp_path):
     assert cost.load_prices(spark, None)[0].count() == 0
 
 
+def test_catalogue_file(spark, tmp_path):
+    (tmp_path / "c.json").write_text(json.dumps({"_comment": ["x"], "claims": ["Danos morais", "Usucapião"]}))
+    entries = catalogue.load(spark, str(tmp_path / "c.json"))
+    assert [tuple(r) for r in entries.orderBy("idx").collect()] == [("Danos morais", 0), ("Usucapião", 1)]
+    assert catalogue.match(spark.createDataFrame([("usucapiao",)], "name string"), entries).first().canonical == "Usucapião"
+
+
 def test_large_catalogue_finds_the_same_names(spark, monkeypatch):
     names = spark.createDataFrame([(n,) for n in ("Danos moraiss", "dano moral", "Rescisões contratuais", "Usucapiao", "nada parecido", "Multas contratuais", "")], "name string")
     entries = spark.createDataFrame(list(enumerate(CLAIMS)), "idx int, canonical string")
