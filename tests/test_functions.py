@@ -100,3 +100,40 @@ def test_chunks(spark):
 
 def test_trim_knows_every_white_space(spark):
     assert column(spark, ["\u00a0\ufeff\n a b\u2003\u3000", "\u2028", ""], text.trim_all) == ["a b", "", ""]
+
+
+def test_running_sums_and_extremes(spark):
+    import random
+
+    r = random.Random(1)
+    lists = [[r.randint(0, 50) for _ in range(n)] for n in (0, 1, 2, 3, 7, 10, 99, 1000)]
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(lists)], "i int, x array<int>").select("i", text.running_sums(F.col("x")).alias("s"), text.running_most(F.col("x")).alias("m"), text.running_least(F.col("x"), 99).alias("l")).collect()
+    for row in rows:
+        x = lists[row.i]
+        assert row.s == [sum(x[:k]) for k in range(len(x))]
+        assert row.m == [max([0, *x[:k]]) for k in range(len(x))] and row.l == [min([99, *x[k + 1 :]]) for k in range(len(x))]
+
+
+def test_positions_of_very_many_matches(spark):
+    long = "ab" * 30_000
+    at = spark.createDataFrame([(long,), ("",), (None,), ("b",)], "t string").select(text.match_starts(F.col("t"), "ab").alias("at")).collect()
+    assert at[0].at == list(range(0, 60_000, 2)) and not at[1].at and not at[2].at and at[3].at == []
+
+
+def test_folding_by_decomposition(spark):
+    names = {"Erdős": "erdos", "rescisa\u0303o": "rescisao", "ação": "acao", "Çà": "ca", "Ångström": "angstrom", "ß-x": "x", "İz": "iz", "čš": "cs", "": ""}
+    got = spark.createDataFrame([(n,) for n in names], "n string").select("n", text.normalise_key(F.col("n")).alias("k")).collect()
+    assert {x.n: x.k for x in got} == names
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from adjudica.functions import scratch
+
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    for master in ("spark://host:7077", "local-cluster[3,2,1024]", "yarn"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            scratch.shared_dir(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master)))
+    shared = SimpleNamespace(get=lambda key, default=None: "hdfs://x/y/")
+    assert scratch.shared_dir(SimpleNamespace(conf=shared, sparkContext=SimpleNamespace(master="yarn"))) == "hdfs://x/y"
