@@ -11,39 +11,31 @@ ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcd
 REACH = "reach(id, pos) AS (SELECT DISTINCT a, a FROM both_ways UNION SELECT reach.id, both_ways.b FROM reach JOIN both_ways ON reach.pos = both_ways.a), component AS (SELECT id, min(pos) AS c FROM reach GROUP BY id)"
 
 
-def substring_dedup(window: int = 13, most_words: int = 40_000) -> str:
-    """Windows as strings; each doubling joins two repeated windows and keeps those of two documents or more."""
-    levels, seen, length, name = "", "", window, "w0"
-    while length <= most_words:
-        seen += f"{' UNION ALL ' if seen else ''}SELECT doc_id, {length} AS length FROM {name} JOIN {name}f USING (k) WHERE low < doc_id"
-        levels += f", {name}f AS (SELECT k, min(doc_id) AS low FROM {name} GROUP BY k HAVING min(doc_id) <> max(doc_id)), {name}r AS (SELECT {name}.* FROM {name} JOIN {name}f USING (k))"
-        following = f"w{int(name[1:]) + 1}"
-        levels += f", {following} AS (SELECT a.doc_id, a.i, md5(a.k || ' ' || b.k) AS k FROM {name}r a JOIN {name}r b ON a.doc_id = b.doc_id AND b.i = a.i + {length})"
-        name, length = following, 2 * length
+def substring_dedup(window: int = 13) -> str:
+    """All windows, as strings."""
     return (
         f"WITH d AS (SELECT doc_id, {WORDS.format('coalesce(text, %s)' % repr(''))} AS w FROM documents), "
-        f"w0 AS (SELECT doc_id, i, md5(array_to_string(w[i:i + {window - 1}], ' ')) AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - {window - 2})) AS i FROM d WHERE len(w) >= {window}))"
-        f"{levels}, longest AS (SELECT doc_id, max(length) AS longest FROM ({seen}) GROUP BY doc_id), "
-        f"gone AS (SELECT DISTINCT doc_id, i + j AS p FROM w0 JOIN w0f USING (k), range({window}) t(j) WHERE low < doc_id), "
+        f"win AS (SELECT doc_id, i, md5(array_to_string(w[i:i + {window - 1}], ' ')) AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - {window - 2})) AS i FROM d WHERE len(w) >= {window})), "
+        "first AS (SELECT k, min(doc_id) AS low FROM win GROUP BY k), "
+        f"gone AS (SELECT DISTINCT doc_id, i + j AS p FROM win JOIN first USING (k), range({window}) t(j) WHERE low < doc_id), "
         "kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d) ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id) "
-        "SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256, cast(coalesce(longest, 0) AS bigint) AS longest FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN longest USING (doc_id)"
+        "SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)"
     )
 
 
 def license_scan() -> str:
-    grams = [(label, number, len(w), i, " ".join(w[i : i + L.K])) for label, texts in L.TEMPLATES.items() for number, t in enumerate(texts) for w in [t.split()] for i in range(len(w) - L.K + 1)]
-    values = ", ".join(f"('{label}', {number}, {n}, {i}, '{g}')" for label, number, n, i, g in grams)
+    values = ", ".join(f"('{label}', {number}, {n}, {i}, '{g}', {str(must).lower()})" for label, number, n, i, g, must in L.template_grams())
     phrases = ", ".join(f"('{label}', '{p}', {len(p.split())})" for p, label in L.PHRASES.items())
     return (
-        rf"WITH d AS (SELECT doc_id, regexp_extract_all({ASCII_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents), t(label, number, n, t_at, gram) AS (VALUES {values}), phrase(label, p, n) AS (VALUES {phrases}), "
+        rf"WITH d AS (SELECT doc_id, regexp_extract_all({ASCII_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents), t(label, number, n, t_at, gram, must) AS (VALUES {values}), needed AS (SELECT label, number, count(*) FILTER (must) AS needed FROM t GROUP BY 1, 2), three AS (SELECT DISTINCT gram FROM t), phrase(label, p, n) AS (VALUES {phrases}), "
         "u AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d), "
         "base AS (SELECT doc_id, label, i - 1 AS pos FROM u JOIN phrase ON array_to_string(w[i:i + n - 1], ' ') = p), "
         "b AS (SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, list(DISTINCT label) AS labels FROM base GROUP BY 1), "
-        f"hit AS (SELECT doc_id, label, number, n, i - 1 AS pos, t_at, i - 1 - t_at AS dg FROM u JOIN t ON array_to_string(w[i:i + {L.K - 1}], ' ') = gram), "
+        f"g AS (SELECT doc_id, i, array_to_string(w[i:i + {L.K - 1}], ' ') AS gram FROM u), hit AS (SELECT doc_id, label, number, n, i - 1 AS pos, t_at, must, i - 1 - t_at AS dg FROM (SELECT g.* FROM g SEMI JOIN three USING (gram)) JOIN t USING (gram)), "
         f"line AS (SELECT *, CASE WHEN dg - lag(dg) OVER one > {L.NEAR} OR lag(dg) OVER one IS NULL THEN 1 ELSE 0 END AS fresh FROM (SELECT DISTINCT doc_id, label, number, dg FROM hit) WINDOW one AS (PARTITION BY doc_id, label, number ORDER BY dg)), "
         "island AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, label, number ORDER BY dg ROWS UNBOUNDED PRECEDING) AS island FROM line), "
-        f"span AS (SELECT doc_id, label, number, n, island, min(pos) AS a, max(pos) + {L.K - 1} AS z, count(DISTINCT t_at + j) AS covered FROM hit JOIN island USING (doc_id, label, number, dg), range({L.K}) r(j) GROUP BY 1, 2, 3, 4, 5), "
-        f"found AS (SELECT doc_id, list(DISTINCT label) AS more, max(cast(covered AS double) / n) AS cover FROM span WHERE cast(covered AS double) / n >= {L.LEAST_COVER} AND z - a < 2 * n GROUP BY doc_id) "
+        f"span AS (SELECT doc_id, label, number, n, island, min(pos) AS a, max(pos) + {L.K - 1} AS z, count(DISTINCT t_at + j) AS covered, count(DISTINCT t_at) FILTER (must) AS told FROM hit JOIN island USING (doc_id, label, number, dg), range({L.K}) r(j) GROUP BY 1, 2, 3, 4, 5), "
+        f"found AS (SELECT doc_id, list(DISTINCT label) AS more, max(cast(covered AS double) / n) AS cover FROM span JOIN needed USING (label, number) WHERE told >= needed AND cast(covered AS double) / n >= {L.LEAST_COVER} AND z - a < 2 * n GROUP BY doc_id) "
         "SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, array_to_string(list_sort(coalesce(labels, [])), ',') AS base_labels, array_to_string(list_sort(list_distinct(list_concat(coalesce(labels, []), coalesce(more, [])))), ',') AS labels, "
         "CASE WHEN n_base > 0 THEN 1.0::double ELSE coalesce(cover, 0.0) END AS score FROM d LEFT JOIN b USING (doc_id) LEFT JOIN found USING (doc_id)"
     )
