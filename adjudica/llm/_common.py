@@ -6,9 +6,6 @@ thousand entries. Packing keeps the row count of an exchange at tasks x buckets
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -19,21 +16,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from adjudica.functions.scratch import delete, shared_dir
+
 CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 PACKED = "bucket int, payload binary"
 PACKED_ARROW = pa.schema([("bucket", pa.int32()), ("payload", pa.binary())])
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
-_own_dir: list[str] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (``spark.checkpoint.dir``); a temporary one only where that is unset."""
-    if conf := spark.conf.get("spark.checkpoint.dir", None):
-        return conf.rstrip("/")
-    if not _own_dir:
-        _own_dir.append(tempfile.mkdtemp(prefix="adjudica-"))
-        atexit.register(shutil.rmtree, _own_dir[0], ignore_errors=True)
-    return f"file://{_own_dir[0]}"
+#: folders of tables this process wrote, by session
+_written: dict[int, list[str]] = {}
 
 
 class Scratch:
@@ -44,6 +34,7 @@ class Scratch:
         # texts are long rows: Spark's 10,000 a batch would hold tens of MB twice in every task; a setting of one's own stays
         if spark.conf.get(ARROW_ROWS, "10000") == "10000":
             spark.conf.set(ARROW_ROWS, "2000")
+        _written.setdefault(id(spark._jsparkSession), []).append(self.base)
 
     def write(self, df: DataFrame, tag: str, by: list[str] | None = None) -> DataFrame:
         """Write df and read it back; shuffle files of the step go as soon as the table stands."""
@@ -62,8 +53,18 @@ class Scratch:
 
     def drop(self, table: DataFrame, part: str = "") -> None:
         """Remove a written table, or one partition of it, that no later step reads."""
-        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{table._adjudica_path}/{part}".rstrip("/"))
-        p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        delete(self.spark, f"{table._adjudica_path}/{part}".rstrip("/"))
+
+
+def finish(spark: SparkSession) -> int:
+    """Call once results are written: removes all tables operators wrote for this session and gives Arrow its own batch
+    size back; how many folders went. Results that are still lazy can no longer be read."""
+    gone = _written.pop(id(spark._jsparkSession), [])
+    for base in gone:
+        delete(spark, base)
+    if spark.conf.get(ARROW_ROWS, "10000") == "2000":
+        spark.conf.unset(ARROW_ROWS)
+    return len(gone)
 
 
 def running(work: Scratch, df: DataFrame, order: list[Column], sums: dict[str, Column], tag: str) -> DataFrame:
@@ -83,6 +84,23 @@ def running(work: Scratch, df: DataFrame, order: list[Column], sums: dict[str, C
     return out.select(*df.columns, *[(F.coalesce(F.sum(c).over(inside), F.lit(0)) + F.col(f"_shift_{k}")).alias(k) for k, c in sums.items()])
 
 
+#: a key with more than this share of all rows, and more than HEAVY_ROWS, is heavy: there are 2,000 such keys at most
+HEAVY_SHARE, HEAVY_ROWS = 1 / 2000, 1000
+
+
+def join_one(many: DataFrame, key: str, one: DataFrame, node: str, count: str, rows: int) -> DataFrame:
+    """many joined with one row per key, of which the column count says how many rows of many have it at least.
+
+    Heavy keys are few because of their counts (2,000 of rows in all), so theirs are broadcast; the others are shuffled,
+    and none of those has many rows.
+    """
+    limit = max(HEAVY_ROWS, int(rows * HEAVY_SHARE))
+    heavy = one.where(F.col(count) > limit)
+    on = F.col(key) == F.col(node)
+    rest = many.join(F.broadcast(heavy.select(F.col(node).alias("_heavy"))), F.col(key) == F.col("_heavy"), "left_anti")
+    return many.join(F.broadcast(heavy), on).unionByName(rest.join(one.where(F.col(count) <= limit), on))
+
+
 def buckets_of(spark: SparkSession) -> int:
     """Buckets of a packed exchange: the session's shuffle partitions, so it grows with the cluster's own setting."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -118,17 +136,17 @@ def hash_words(flat: pa.Array) -> np.ndarray:
 MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
-def power(n: int) -> np.uint64:
-    """MULT to the n, modulo 2**64."""
-    return np.uint64(pow(int(MULT), n, 1 << 64))
+def power(n: int, mult: np.uint64 = MULT) -> np.uint64:
+    """mult to the n, modulo 2**64."""
+    return np.uint64(pow(int(mult), n, 1 << 64))
 
 
-def join_hash(left: np.ndarray, right: np.ndarray, n_right: int) -> np.ndarray:
+def join_hash(left: np.ndarray, right: np.ndarray, n_right: int, mult: np.uint64 = MULT) -> np.ndarray:
     """Hash of a sequence from the hashes of its two parts; n_right is the number of words of the right part."""
-    return left * power(n_right) + right
+    return left * power(n_right, mult) + right
 
 
-def rolling(h: np.ndarray, k: int) -> np.ndarray:
+def rolling(h: np.ndarray, k: int, mult: np.uint64 = MULT) -> np.ndarray:
     """Hash of the k words from each place on (length len(h) - k + 1), built by doubling."""
     n = len(h) - k + 1
     if n <= 0:
@@ -141,10 +159,10 @@ def rolling(h: np.ndarray, k: int) -> np.ndarray:
                 out, size = take, width
             else:
                 m = len(h) - size - width + 1
-                out, size = join_hash(out[:m], take[size : size + m], width), size + width
+                out, size = join_hash(out[:m], take[size : size + m], width, mult), size + width
         if width * 2 <= k:
             m = len(h) - 2 * width + 1
-            part = join_hash(part[:m], part[width : width + m], width)
+            part = join_hash(part[:m], part[width : width + m], width, mult)
         width *= 2
     return out[:n]
 

@@ -17,7 +17,7 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring_dedup.remove_repeats(_read(spark, sf_dir, "documents"), window=13)
-    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"), "longest")
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
