@@ -11,24 +11,29 @@ from adjudica.llm import _common as C
 def connected(links: DataFrame, work: C.Scratch) -> DataFrame:
     """node, label (the smallest node reachable) for every node of the links (columns a, b; any order).
 
-    A step joins links with one row per node and aggregates by minimum, so a node with very many links is split by the
-    skew join and combined before the shuffle. Every step is a written table.
+    Links with a null end, of a node with itself and repeated ones change nothing; no links give no rows. A step joins
+    links with one row per node; nodes of very many links are told by count, are few by that count, and their rows go to
+    the links by broadcast, so no task has all links of a node. Every step is a written table.
     """
-    e = work.write(links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    last = None
-    while True:
+    e = links.where("a is not null and b is not null and a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    e = work.write(e.distinct(), "links")
+    now, last = _state(e), None
+    while now != last and now[0]:
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, F.col("a") == F.col("node")).where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        least = work.write(both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select(F.col("a").alias("node"), F.least("a", "m").alias("m"), "n"), "least")
+        large = C.join_one(both.where("b > a"), "a", least, "node", "n", 2 * now[0]).where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = work.write(large.distinct(), "large")
-        down = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "node")
-        small = large.join(down, F.col("a") == F.col("node")).select(F.explode(F.array(F.struct(F.col("a"), F.col("m")), F.struct(F.col("b").alias("a"), F.col("m")))).alias("p"))
+        down = work.write(large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).withColumnRenamed("a", "node"), "down")
+        small = C.join_one(large, "a", down, "node", "n", 2 * now[0]).select(F.explode(F.array(F.struct(F.col("a"), F.col("m")), F.struct(F.col("b").alias("a"), F.col("m")))).alias("p"))
         small = small.select(F.col("p.a").alias("a"), F.col("p.m").alias("b")).where("a != b")
-        work.drop(e)
+        for t in (e, least):
+            work.drop(t)
         e = work.write(small.distinct(), "small")
-        work.drop(large)
-        now = e.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if now == last:
-            break
-        last = now
+        for t in (large, down):
+            work.drop(t)
+        now, last = _state(e), now
     return e.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(e.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
+
+
+def _state(e: DataFrame) -> tuple:
+    return tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())

@@ -2,9 +2,13 @@
 
 Texts of the same shingle set are one node. A node posts its signature under its value of the first ``posts``
 coordinates; in each list, nodes whose signatures agree in at least ``matches`` coordinates are candidates. Both numbers
-come from the similarity and a stated risk, so a link is lost with a chance below 1e-6. Lists emit only enough candidates
+come from the similarity and a stated risk, so a link is lost with a chance below 1e-6. Within a list collisions are counted by
+merging the lists of the other coordinate-value pairs: of a node's, the longest ``matches - 1`` are skipped, since nodes
+that agree often enough share one of the others; the skipped ones are only looked up. Lists emit only enough candidates
 to connect what is connected, never all pairs of a group; candidates make families, and inside a family full shingle
-sets decide every pair. A family above ``BLOCK`` nodes is dealt out as pairs of blocks, so no task holds a whole one.
+sets decide. A family above ``BLOCK`` nodes is dealt out in blocks, each with the family's ``LEADERS``; what that links is
+one class already, and only nodes outside a family's largest class are then compared with the rest of it, in pairs of
+blocks, so a large group of near copies costs about as many sets as it has nodes.
 """
 
 from __future__ import annotations
@@ -22,8 +26,10 @@ from adjudica.llm.components import connected
 
 COORDINATES = 64
 RISK = 1e-7
-#: nodes of a family that one task compares with as many others
-BLOCK = 128
+#: nodes of a family that are compared with each other, and those of a larger one that stand in each of its blocks
+BLOCK, LEADERS = 128, 16
+#: lists above this number of nodes are gone through by the lists of their other pairs
+DIRECT = 256
 
 
 def thresholds(similarity: float) -> tuple[int, int]:
@@ -121,24 +127,61 @@ def _post(posts: int, n_buckets: int):
     return task
 
 
-def _candidate_links(group: np.ndarray, matches: int, similarity: float) -> list[tuple[int, int]]:
-    """Enough pairs of one list to connect all nodes that candidate pairs connect: a search that visits each node once."""
-    left = np.arange(len(group))
+def _connecting(group: np.ndarray, own: np.ndarray, matches: int, similarity: float, parent: np.ndarray) -> list[tuple[int, int]]:
+    """Enough pairs of the nodes ``own`` of a list to connect all that candidate pairs among them connect: a search that
+    visits each node once and passes over those connected before (by parent, which is kept up)."""
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
     out = []
+    left = own
     while len(left) > 1:
-        queue, left = [left[0]], left[1:]
+        queue, left = [int(left[0])], left[1:]
         while queue and len(left):
             x = queue.pop()
             agree = (group["signature"][left] == group["signature"][x]).sum(axis=1)
             sizes = group["n"][left]
             fits = np.minimum(sizes, group["n"][x]) >= similarity * np.maximum(sizes, group["n"][x]) - 1e-9
             hit = (agree >= matches) & fits
-            out += [(int(group["node"][x]), int(group["node"][y])) for y in left[hit]]
-            queue += left[hit].tolist()
+            for y in left[hit].tolist():
+                rx, ry = root(x), root(y)
+                if rx != ry:
+                    parent[ry] = rx
+                    out.append((int(group["node"][x]), int(group["node"][y])))
+                queue.append(y)
             left = left[~hit]
     return out
 
 
+def _candidate_links(group: np.ndarray, matches: int, similarity: float) -> list[tuple[int, int]]:
+    """Enough pairs of one list to connect all nodes that candidate pairs connect."""
+    n, parent = len(group), np.arange(len(group))
+    if n <= DIRECT:
+        return _connecting(group, np.arange(n), matches, similarity, parent)
+    sig = group["signature"]
+    often = np.empty((n, COORDINATES), np.int64)
+    for c in range(COORDINATES):
+        _, code, count = np.unique(sig[:, c], return_inverse=True, return_counts=True)
+        often[:, c] = count[code]
+    # the shortest lists of each node, in an order that is one for all nodes: by length, then by coordinate
+    short = np.argsort(often * COORDINATES + np.arange(COORDINATES), axis=1)[:, : COORDINATES - matches + 1]
+    length = np.take_along_axis(often, short, axis=1).ravel()
+    pair = (short.astype(np.int64) << 16 | np.take_along_axis(sig, short, axis=1).astype(np.int64)).ravel()
+    who = np.repeat(np.arange(n), short.shape[1])
+    keep = np.flatnonzero(length > 1)
+    order = keep[np.lexsort((pair[keep], length[keep]))]
+    pair, who = pair[order], who[order]
+    out = []
+    for part in np.split(who, np.flatnonzero(np.diff(pair)) + 1):
+        if len(part) > 1:
+            out += _connecting(group, part, matches, similarity, parent)
+    return out
+
+
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -200,14 +243,14 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _similar_links(nodes: np.ndarray, raw: list[bytes], left: np.ndarray, right: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """A spanning forest of the verified links between the rows of left and of right."""
+def _similar_links(nodes: np.ndarray, raw: list[bytes], left: np.ndarray, right: np.ndarray, labels: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the verified links between the rows of left and of right that have not one label."""
     sets = [np.frombuffer(r, np.uint64) for r in raw]
     n = np.array([len(s) for s in sets])
     both = overlaps(sets)
     good = 100 * both >= percent * (n[:, None] + n[None, :] - both)
     good &= (left[:, None] & right[None, :]) | (right[:, None] & left[None, :])
-    np.fill_diagonal(good, False)
+    good &= labels[:, None] != labels[None, :]
     out, fresh = [], np.ones(len(n), bool)
     for s in range(len(n)):
         if not fresh[s]:
@@ -228,21 +271,21 @@ def _verify(percent: int):
         def groups():
             key, held = None, []
             for batch in batches:
-                cols = [batch.column(c).to_pylist() for c in ("family", "i", "j", "block", "node", "shingles")]
-                for f, i, j, block, node, s in zip(*cols, strict=True):
+                cols = [batch.column(c).to_pylist() for c in ("family", "i", "j", "side", "node", "class", "shingles")]
+                for f, i, j, side, node, of, s in zip(*cols, strict=True):
                     if (f, i, j) != key:
                         if held:
                             yield key, held
                         key, held = (f, i, j), []
-                    held.append((block, node, s))
+                    held.append((side, node, of, s))
             if held:
                 yield key, held
 
-        for (_, i, j), held in groups():
+        for _, held in groups():
             if len(held) < 2:
                 continue
-            block, nodes = np.array([h[0] for h in held]), np.array([h[1] for h in held])
-            links = _similar_links(nodes, [h[2] for h in held], block == i, block == j, percent)
+            side, nodes, of = (np.array([h[k] for h in held]) for k in range(3))
+            links = _similar_links(nodes, [h[3] for h in held], (side & 1) > 0, (side & 2) > 0, of, percent)
             if links:
                 yield pa.record_batch([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], schema=LINKS)
 
@@ -255,7 +298,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, keep:
     Texts whose sets of distinct ``shingle``-word shingles (A-Z lower-cased) have 100 * intersection >= percent * union
     are linked; component_id is the smallest doc_id reachable over links and kept says whether the row has it. A text of
     fewer words is one shingle. Null or empty texts and rows without an id link with nothing; without an id
-    component_id is null and the row is kept. Rows of the same id are nodes by their own texts.
+    component_id is null and the row is kept. Rows of the same id are nodes by their own texts. With ``keep`` there are
+    also at (a hash of the text) and chosen: of a class, only rows of one id and one text.
     """
     spark = docs.sparkSession
     n = C.buckets_of(spark)
@@ -264,32 +308,60 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, keep:
     kept = [F.col(k).alias(f"keep_{k}") for k in keep]
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *kept)
     signed = work.write(docs.select("doc_id", F.xxhash64("text").alias("at"), "text").mapInArrow(_sign(shingle), "doc_id bigint, at bigint, n bigint, node bigint, signature binary"), "signed")
-    nodes = work.write(signed.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first"), F.min("n").alias("n"), F.min("signature").alias("signature")), "nodes")
+    nodes = work.write(signed.where("node is not null").groupBy("node").agg(F.min(F.struct("doc_id", "at")).alias("f"), F.min("n").alias("n"), F.min("signature").alias("signature"), F.count("*").alias("copies")).select("node", F.col("f.doc_id").alias("first"), F.col("f.at").alias("first_at"), "n", "signature", "copies"), "nodes")
     postings = nodes.select("node", "n", "signature").mapInArrow(_post(posts, n), C.PACKED)
     candidates = work.write(C.exchange(postings, n).mapInArrow(_lists(matches, percent / 100), "a bigint, b bigint"), "candidates")
 
     families = work.write(connected(candidates, work), "families")
-    sizes = families.groupBy("label").agg(F.count("*").alias("members")).withColumnRenamed("label", "family")
-    blocks = families.join(sizes, F.col("label") == F.col("family")).select("family", "node", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
-    blocks = work.write(blocks.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).join(nodes.select("node", "first"), "node"), "blocks")
+    in_families = families.count()
+    sizes = work.write(families.groupBy("label").agg(F.count("*").alias("members")).withColumnRenamed("label", "family"), "sizes")
+    members = C.join_one(families, "label", sizes, "family", "members", in_families).select("family", "node", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
+    members = work.write(members.join(nodes.select("node", "first"), "node"), "members")
     # always a merge join: how many texts are wanted grows with the corpus, so the plan is the same at every size
-    wanted = docs.select("doc_id", "text").join(blocks.select("node", "first").hint("merge"), F.col("doc_id") == F.col("first")).select("node", "text")
-    sets = wanted.mapInArrow(_wanted_sets(shingle), "node bigint, shingles binary")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    spread = blocks.select("family", "node", "block", other).select("family", "node", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    spread = spread.join(sets, "node").repartition(n, "family", "i", "j").sortWithinPartitions("family", "i", "j", "node").select("family", "i", "j", "block", "node", "shingles")
-    links = work.write(spread.mapInArrow(_verify(percent), "a bigint, b bigint"), "links")
+    wanted = docs.select("doc_id", "text").join(members.select("node", "first").hint("merge"), F.col("doc_id") == F.col("first")).select("node", "text")
+    sets = work.write(wanted.mapInArrow(_wanted_sets(shingle), "node bigint, shingles binary"), "sets")
+    verify = lambda spread: spread.repartition(n, "family", "i", "j").sortWithinPartitions("family", "i", "j", "node").select("family", "i", "j", "side", "node", "class", "shingles").mapInArrow(_verify(percent), "a bigint, b bigint")
+
+    # every pair within a block; leaders, a few by hash, stand in every block of their family
+    both_sides, block = F.lit(3).alias("side"), F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    chief = members.where("blocks > 1").groupBy("family", "blocks").agg(F.slice(F.array_sort(F.collect_set(F.when(F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks") * F.lit(max(1, BLOCK // LEADERS))) == 0, F.col("node")))), 1, 4 * LEADERS).alias("l"))
+    chief = chief.select("family", "blocks", F.explode("l").alias("node")).select("family", "node", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("i"))
+    dealt = members.select("family", "node", block.alias("i")).unionByName(chief).distinct()
+    first_links = work.write(verify(dealt.join(sets, "node").select("family", "i", F.lit(0).alias("j"), both_sides, "node", F.col("node").alias("class"), "shingles")), "links")
+
+    large = members.where("blocks > 1")
+    links = first_links
+    if not large.isEmpty():
+        classes = work.write(connected(first_links, work), "first-classes").withColumnRenamed("node", "of")
+        placed = large.join(classes, F.col("node") == F.col("of"), "left").select("family", "node", "blocks", F.coalesce("label", "node").alias("class"))
+        placed = work.write(placed, "placed")
+        counts = placed.groupBy("family", "class").agg(F.count("*").alias("n"))
+        main = counts.groupBy("family").agg(F.max_by("class", F.struct("n", "class")).alias("main"), F.sum("n").alias("all"), (F.sum("n") - F.max("n")).alias("apart"))
+        main = work.write(main.where("apart > 0").withColumnRenamed("family", "of_family"), "main")
+        todo = C.join_one(placed, "family", main, "of_family", "all", in_families)
+        todo = work.write(todo.withColumn("outside", F.col("class") != F.col("main")).withColumn("small", F.ceil(F.col("apart") / BLOCK).cast("int")), "apart")
+        # blocks of nodes outside the main class against all blocks of the family
+        a = todo.where("outside").select("family", "node", "class", F.pmod(F.xxhash64("node", F.lit(2)), F.col("small")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(1).alias("side"))
+        z = todo.select("family", "node", "class", F.explode(F.sequence(F.lit(0), F.col("small") - 1)).alias("i"), block.alias("j"), F.lit(2).alias("side"))
+        spread = a.unionByName(z).groupBy("family", "i", "j", "node", "class").agg(F.sum("side").alias("side"))
+        links = work.write(first_links.unionByName(verify(spread.join(sets, "node"))), "all-links")
+    work.drop(sets)
 
     labels = work.write(connected(links, work), "labels")
-    first = labels.join(nodes.select("node", "first"), "node")
-    lowest = first.groupBy("label").agg(F.min("first").alias("component"))
-    linked = first.select("node", "label").join(lowest, "label").select("node", "component")
-    classes = nodes.select("node", "first").join(linked, "node", "left").select(F.col("node").alias("of"), F.coalesce("component", "first").alias("component"))
+    first = work.write(labels.join(nodes.select("node", "first", "first_at"), "node"), "firsts")
+    lowest = work.write(first.groupBy("label").agg(F.min(F.struct("first", "first_at")).alias("component"), F.count("*").alias("members")).withColumnRenamed("label", "of_label"), "lowest")
+    linked = C.join_one(first.select("node", "label"), "label", lowest, "of_label", "members", in_families).select("node", "component")
+    classes = nodes.select("node", "copies", F.struct("first", "first_at").alias("own")).join(linked, "node", "left")
+    classes = work.write(classes.select(F.col("node").alias("of"), "copies", F.coalesce("component", "own").alias("component")), "classes")
     rows = signed if not keep else signed.select("doc_id", "at", "n", "node").distinct()
-    found = rows.join(classes, F.col("node") == F.col("of"), "left").withColumn("component_id", F.coalesce("component", "doc_id"))
-    found = found.select("doc_id", "at", F.col("n").alias("n_shingles"), "component_id", (F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).alias("kept"))
+    # a text that very many rows have is one heavy node
+    some = C.join_one(rows.where("node is not null"), "node", classes, "of", "copies", nodes.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0])
+    none = rows.where("node is null").withColumn("component", F.lit(None).cast(classes.schema["component"].dataType))
+    found = some.select(*rows.columns, "component").unionByName(none).withColumn("component_id", F.coalesce("component.first", "doc_id"))
+    kept_ = F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))
+    found = found.select("doc_id", "at", F.col("n").alias("n_shingles"), "component_id", kept_.alias("kept"), (kept_ & (F.coalesce("component.first_at", "at") == F.col("at"))).alias("chosen"))
     if not keep:
-        return found.drop("at")
+        return found.drop("at", "chosen")
     docs = docs.withColumnRenamed("doc_id", "id").withColumn("of", F.xxhash64("text"))
     both = docs.join(found, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("of") == F.col("at")))
-    return both.select("doc_id", *[f"keep_{k}" for k in keep], "n_shingles", "component_id", "kept")
+    return both.select("doc_id", "at", *[f"keep_{k}" for k in keep], "n_shingles", "component_id", "kept", "chosen")
