@@ -10,11 +10,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from adjudica.llm import _common, embedding_dedup, hmm_lm, html_extraction, license_scan, minhash_dedup, mixing, packing, pii, quality_rules, substring_dedup
+from adjudica.llm import _common, embedding_dedup, hmm_lm, html_extraction, license_scan, minhash_dedup, mixing, packing, pii, quality_rules, substring_dedup, tokens
+from adjudica.llm.components import connected
 
 WORD = r"[^\x20\x09-\x0D]+"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, bucket int, node string, n_words string, size string, kind string"
@@ -80,6 +82,29 @@ def test_substring_dedup(frame, corpus, odd):
     assert substring_dedup.remove_repeats(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("often", [2, 5])
+def test_windows_a_task_has_often_travel_as_summaries(spark, often):
+    r = random.Random(often)
+    word = lambda: r.choice("abcdefgh")
+    passage = [f"p{i}" for i in range(40)]
+    docs = []
+    for i in range(120):
+        own = [f"w{i}x{j}" if i % 3 else word() for j in range(r.randint(5, 60))]
+        docs.append((i, own + passage[: r.choice([0, 12, 13, 30, 40])] + own[:4] + (passage if i % 7 == 0 else [])))
+    docs += [(500 + i, docs[7][1]) for i in range(30)]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id long, text string").repartition(2)
+    got = {x.doc_id: (x.n_words, x.n_removed, x.text) for x in substring_dedup.remove_repeats(df, often=often).collect()}
+    assert got == repeats(docs)
+
+
+def test_a_very_long_text(spark):
+    r = random.Random(5)
+    w = [f"v{r.randint(0, 50_000)}" for _ in range(300_000)]
+    rows = [(1, " ".join(w)), (2, "a b c " + " ".join(w[1000:200_000])), (3, "x"), (3, None)]
+    got = {(x.doc_id, x.n_words): (x.n_removed, x.longest) for x in substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(1, 300_000): (0, 0), (2, 199_003): (199_000, 13 * 2**13), (3, 1): (0, 0), (3, 0): (0, 0)}
+
+
 def test_rows_of_one_id_keep_their_own_places(spark):
     t = [f"w{i}" for i in range(40)]
     rows = [(1, " ".join(t)), (5, " ".join(t[:20])), (5, "a b c " + " ".join(t[5:25]))]
@@ -121,6 +146,15 @@ def test_packing(spark, frame, corpus, odd):
     assert packing.pack(frame.limit(0), path).count() == 0
 
 
+@pytest.mark.parametrize("file", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_any_tokenizer_file_gives_its_own_ids(file):
+    path = public_tokenizers.path(file)
+    texts = ["two  spaces and\nlines", "Don't", None, "", " x", "ÀÖØ ½ 日本語"]
+    ids, ends = tokens.WordTokenizer(path).encode(pa.array(texts), 1)
+    whole = Tokenizer.from_file(path)
+    assert [x.tolist() for x in np.split(ids, ends[:-1])] == [[*whole.encode(t or "", add_special_tokens=False).ids, 1] for t in texts]
+
+
 def test_license_scan(frame, corpus, odd):
     def plain(text):
         w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text))
@@ -139,6 +173,26 @@ def test_license_spans_survive_an_inserted_word(spark):
     assert {x.doc_id: x.labels for x in r} == {1: ["gpl-3"], 2: []}
 
 
+def test_license_notices_are_told_apart(spark):
+    gpl = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+    texts = {
+        gpl.format(2): "gpl,gpl-2", gpl.format(3): "gpl,gpl-3", gpl.replace("GNU General", "GNU Affero General").format(3): "agpl-3",
+        "This work is licensed under a Creative Commons Attribution 4.0 International License": "cc-by", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License": "cc-by-nc", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License": "cc-by-sa",
+        "SPDX-License-Identifier: MPL-2.0": "mpl-2", "SPDX-License-Identifier: GPL-2.0-only": "gpl-2", "SPDX-License-Identifier: MIT": "mit", "SPDX-License-Identifier: BSD-3-Clause": "bsd",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.": "bsd", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http": "mpl-2",
+        "the licence of this program is unknown, you can redistribute nothing under the terms of anything": "",
+    }
+    got = license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: ",".join(r.labels) for r in got} == dict(enumerate(texts.values()))
+
+
+def test_license_scan_of_long_texts_and_ties(spark):
+    many = "under the mit license " * 20_000
+    rows = [(1, many), (1, "x"), (2, "cc by nc cc by nc"), (None, "under the MIT license"), (3, "released under the mit license " * 3)]
+    got = {(r.doc_id, r.n_words): (len(r.places), r.labels, r.score) for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string").withColumn("label", F.lit("z"))).collect()}
+    assert got[1, 80_000][0] == 20_000 and got[2, 6] == (2, ["cc-by-nc"], 1.0) and got[None, 4][1] == ["mit"] and got[3, 15] == (3, ["mit"], 1.0)
+
+
 def test_quality_rules(spark, frame, corpus, odd):
     def plain(text):
         w = words(text)
@@ -254,7 +308,9 @@ def test_mixing_of_ties_repeated_rows_and_long_texts(spark):
     assert n[10] == next(r.taken for r in got if r.doc_id == 10)
 
 
-def test_embedding_dedup(spark):
+@pytest.mark.parametrize("block", [7, 1024])
+def test_embedding_dedup(spark, monkeypatch, block):
+    monkeypatch.setattr(embedding_dedup, "BLOCK", block)
     rng = np.random.default_rng(1)
     base = rng.standard_normal((30, 64))
     rows = [(i, [float(x) for x in base[i % 30] / np.linalg.norm(base[i % 30]) + rng.standard_normal(64) * rng.uniform(0.01, 0.03)], int(i % 3)) for i in range(700)]
@@ -442,6 +498,79 @@ def test_minhash_dedup(frame, corpus, odd, monkeypatch, block):
         assert minhash_dedup.near_duplicates(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("share", [1 / 2000, 0.0])
+def test_components(spark, monkeypatch, share):
+    monkeypatch.setattr(_common, "HEAVY_SHARE", share)
+    monkeypatch.setattr(_common, "HEAVY_ROWS", 3)
+    r = random.Random(11)
+    links = [(0, i) for i in range(1, 40)] + [(100 + i, 101 + i) for i in range(60)] + [(r.randint(200, 260), r.randint(200, 260)) for _ in range(50)] + [(5, 5), (None, 3), (7, None), (0, 1)]
+    parent = {x: x for pair in links if None not in pair for x in pair}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        if a is not None and b is not None and root(a) != root(b):
+            x, y = sorted((root(a), root(b)))
+            parent[y] = x
+    linked = {x for a, b in links if a is not None and b is not None and a != b for x in (a, b)}
+    got = connected(spark.createDataFrame(links, "a long, b long"), _common.Scratch(spark, "test")).collect()
+    assert sorted((x.node, x.label) for x in got) == sorted((x, root(x)) for x in linked)
+    assert connected(spark.createDataFrame([], "a long, b long"), _common.Scratch(spark, "test")).count() == 0
+
+
+def test_large_lists_lose_no_candidate_link():
+    rng = np.random.default_rng(6)
+    common = rng.integers(0, 1 << 16, minhash_dedup.COORDINATES)
+    group = np.zeros(900, minhash_dedup.POSTING)
+    group["node"], group["n"] = np.arange(900), 100
+    for i in range(900):
+        own = rng.integers(0, 1 << 16, minhash_dedup.COORDINATES)
+        if i >= 300:
+            # chains of texts that agree in part with the one before
+            keep = rng.random(minhash_dedup.COORDINATES) < rng.choice([0.5, 0.62, 0.7, 0.9])
+            own = np.where(keep, group["signature"][i - 100], own)
+        own[rng.random(minhash_dedup.COORDINATES) < 0.4] = 7
+        group["signature"][i] = np.where(np.arange(minhash_dedup.COORDINATES) < 20, common, own)
+    group["n"][::9] = 150
+    matches = 40
+
+    def classes(pairs):
+        parent = list(range(900))
+
+        def root(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for a, b in pairs:
+            parent[root(a)] = root(b)
+        return {frozenset(i for i in range(900) if root(i) == x) for x in map(root, range(900))}
+
+    n = group["n"].astype(int)
+    plain = [(i, j) for i in range(900) for j in range(i) if (group["signature"][i] == group["signature"][j]).sum() >= matches and min(n[i], n[j]) >= 0.85 * max(n[i], n[j])]
+    got = minhash_dedup._candidate_links(group, matches, 0.85)
+    assert classes(got) == classes(plain) and set(got) | {(b, a) for a, b in got} <= {p for a, b in plain for p in ((a, b), (b, a))}
+
+
+def test_families_of_many_blocks(spark, monkeypatch):
+    """A large group of near copies, with some that link to few of it, and texts that only look like candidates."""
+    monkeypatch.setattr(minhash_dedup, "BLOCK", 8)
+    monkeypatch.setattr(minhash_dedup, "LEADERS", 2)
+    r = random.Random(12)
+    base = [f"w{i}" for i in range(300)]
+    docs = []
+    for i in range(150):
+        w = list(base)
+        for _ in range(r.choice([1, 2, 4, 9, 14])):
+            w[r.randrange(300)] = f"z{i}"
+        docs.append((i, " ".join(w)))
+    got = {x.doc_id: (x.n_shingles, x.component_id, x.kept) for x in minhash_dedup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), 3, 85).collect()}
+    assert got == similar(docs, 3, 85) and len({c for _, c, _ in got.values()}) > 3
+
+
 def test_hmm_lm(frame, corpus, odd):
     rows = hmm_lm.score(frame).collect()
     tokens = {d[0]: [*words(lower(d[1])), "\n"] for d in corpus}
