@@ -254,6 +254,55 @@ def test_mixing(spark, frame, corpus, odd):
     assert mixing.plan(odd).count() == 7 and mixing.plan(frame.limit(0)).count() == 0
 
 
+def judged_plainly(rows, least_docs, least_share):
+    """kept, removed lines and words left of rows (doc_id, text, source) by the rule as it is told."""
+    def norm(line):
+        return " ".join(line.lower().split())
+
+    docs, holds = collections.defaultdict(set), collections.defaultdict(set)
+    for _, t, s in rows:
+        who = tuple(words(t))
+        docs[s].add(who)
+        for line in (t or "").split("\n"):
+            if words(line):
+                holds[s, norm(line)].add(who)
+    often = {k for k, v in holds.items() if len(v) > least_docs and len(v) > least_share * len(docs[k[0]])}
+    out = {}
+    for i, t, s in rows:
+        w = words(t)
+        c = collections.Counter(tuple(w[j : j + 5]) for j in range(len(w) - 4))
+        cover = {k for j in range(len(w) - 4) if c[tuple(w[j : j + 5])] > 1 for k in range(j, j + 5)}
+        gone = [line for line in (t or "").split("\n") if words(line) and (s, norm(line)) in often]
+        left = len(w) - sum(len(words(line)) for line in gone)
+        failed = len(w) < 10 or 100 * len(cover) > 20 * len(w)
+        out[i] = (not failed and not (left < len(w) and (left < 10 or left < 0.2 * len(w))), len(gone), left)
+    return out
+
+
+def test_verdicts_of_texts_that_are_mostly_boilerplate(spark):
+    r = random.Random(21)
+    lines = [" ".join(f"b{k}x{j}" for j in range(n)) for k, n in enumerate((40, 12, 3, 25))]
+    rows = []
+    for i in range(600):
+        own = [f"w{i}x{j}" for j in range(r.choice([0, 5, 9, 9, 12, 30, 80]))]
+        some = r.sample(lines, r.randint(0, 3)) + ([lines[0].upper() + " "] if i % 5 == 0 else [])
+        rows.append((i, "\n".join([*some, " ".join(own)]), r.choice(["h", "h", "g", None])))
+    rows += [(1000 + i, rows[7][1], "h") for i in range(300)]
+    # at the limits: 50 documents are not more than 50
+    rows += [(2000 + i, f"limit line of this host\n{' '.join(f'l{i}x{j}' for j in range(12))}", "at50") for i in range(50)] + [(3000 + i, f"limit line of this host\n{' '.join(f'm{i}x{j}' for j in range(12))}", "at51") for i in range(51)]
+    got = {x.doc_id: (x.kept, x.n_removed_lines, x.n_left_words) for x in quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert got == judged_plainly(rows, quality_rules.LEAST_DOCS, quality_rules.LEAST_SHARE)
+    assert got[2000][1] == 0 and got[3000][1] == 1
+    nine = [(i, f"{lines[0]}\n{' '.join(f'n{i}x{j}' for j in range(9))}", "h") for i in range(300)]
+    assert not any(x.kept for x in quality_rules.judge(spark.createDataFrame(nine, "doc_id long, text string, source string")).collect())
+
+
+def test_quality_of_a_very_long_text(spark):
+    long = "\n".join(f"line {i} of many words" for i in range(150_000))
+    got = quality_rules.judge(spark.createDataFrame([(1, long, "s"), (1, "x", "s"), (2, "y " * 500_000, None)], "doc_id long, text string, source string")).collect()
+    assert sorted((x.n_words, x.n_dup_lines, x.kept) for x in got) == [(1, 0, False), (500_000, 0, False), (750_000, 0, True)]
+
+
 def highest_quotients(votes, caps, house):
     """Seats by giving one at a time to the highest votes / (2 * seats + 1)."""
     seats = [0] * len(votes)
@@ -338,6 +387,12 @@ def test_embedding_dedup(spark, monkeypatch, block):
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_embeddings_of_one_id(spark):
+    rows = [(1, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (1, [0.0, 1.0], 1), (2, [1.0, 0.01], 1), (None, [1.0, 0.0], 1), (3, [1.0, 0.0], 2)]
+    got = sorted((x.vec_id or -1, x.n_links, x.component_id, x.kept) for x in embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").withColumn("cell", F.lit(1))).collect() if x.vec_id)
+    assert got == [(1, 0, 1, True), (1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 0, 3, True)]
+
+
 def test_html_extraction(spark):
     page = lambda i: f"<html><head><title>t</title></head><body><nav><a>menu</a></nav><div class='ad'>buy {i}</div><article><h1>Head {i}</h1><p>one <b>two</b>\n {i}&amp;x<p>three<br>four</article><div id='comments'><p>bad {i}</p></div><footer>f</footer></body></html>"
     rows = [(i, "http://a.example/x", page(i)) for i in range(7)] + [(10, None, None), (11, "u", ""), (12, "http://b.example", "plain < text"), (13, "http://a.example/y", "<p>no article &lt;here")]
@@ -465,6 +520,20 @@ def test_pii_held_out_accuracy(spark):
     assert right >= 0.9 * len(fresh) and false <= 0.05 * len(fresh)
 
 
+def test_pii_of_ties_and_overlaps(spark):
+    """Spans that are added overlap neither strict ones nor each other, and come out the same again."""
+    t = "token " + "a1" * 20 + " token " + "a1" * 20 + " ssn 123-45-6789 or 123-45-6789, call 555-123-4567 555-123-4567 mail a at b dot com dot org a at b dot com dot org key x@y.zz" + "Q9" * 30
+    df = spark.createDataFrame([(1, t), (1, t), (2, t * 300), (3, "key " + "Zx9" * 400)], "doc_id long, text string").withColumn("base", F.lit("x"))
+    rows = pii.find(df).collect()
+    for r in rows:
+        base, spans = [tuple(s) for s in r.base], [tuple(s) for s in r.spans]
+        added = [s for s in spans if s not in base]
+        assert added and all(a[2] <= b[0] or b[2] <= a[0] for a in added for b in added[: 400] + base[:400] if a != b)
+    assert rows[0].spans == rows[1].spans and sorted(map(str, rows)) == sorted(map(str, pii.find(df.repartition(2)).collect()))
+    long = next(r for r in rows if r.doc_id == 3)
+    assert [(s.start, s.end) for s in long.spans] == [(4, 1204)], "a secret of any length is one span"
+
+
 def similar(docs, k, percent):
     sets = {}
     for i, t in docs:
@@ -498,6 +567,14 @@ def test_minhash_dedup(frame, corpus, odd, monkeypatch, block):
         assert minhash_dedup.near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_near_duplicates_of_very_long_texts(spark):
+    r = random.Random(3)
+    w = [f"v{r.randint(0, 30_000)}" for _ in range(150_000)]
+    rows = [(1, " ".join(w)), (2, " ".join(w[:140_000])), (2, " ".join(w[:140_000])), (3, " ".join(w[:90_000])), (4, "x y z")]
+    got = sorted((x.doc_id, x.component_id, x.kept) for x in minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").withColumn("family", F.lit(1)), 3, 85).collect())
+    assert got == [(1, 1, True), (2, 1, False), (2, 1, False), (3, 3, True), (4, 4, True)]
+
+
 @pytest.mark.parametrize("share", [1 / 2000, 0.0])
 def test_components(spark, monkeypatch, share):
     monkeypatch.setattr(_common, "HEAVY_SHARE", share)
@@ -606,6 +683,17 @@ def test_forward_recursion_and_baum_welch():
     assert start.sum() == pytest.approx(3, rel=1e-4) and move.sum() == pytest.approx(9, rel=1e-4) and emit.sum() == pytest.approx(12, rel=1e-4)
 
 
+def test_scores_of_very_long_texts_and_repeated_rows(spark):
+    long = " ".join(f"v{i % 97}" for i in range(80_000))
+    rows = [(1, long), (1, long), (3, "v1 v2 v3"), (3, "v1 v2 v3"), (9, "v1 v2 unseen"), (None, "v1"), (5, None)]
+    got = hmm_lm.score(spark.createDataFrame(rows, "doc_id long, text string").withColumn("row", F.lit(1)), rounds=2).collect()
+    by = collections.defaultdict(set)
+    for x in got:
+        by[x.doc_id].add((x.n_tokens, round(x.base_score, 6), round(x.score, 6)))
+        assert x.score < 0 and x.n_known <= x.n_tokens
+    assert len(got) == 7 and all(len(v) == 1 for v in by.values()) and next(iter(by[1]))[0] == 80_001
+
+
 def test_every_training_text_is_learned_whole(spark, monkeypatch):
     """The late part of long texts, beyond any prefix or stretch, enters each round's counts."""
     rng = np.random.default_rng(4)
