@@ -46,7 +46,7 @@ FEATURES = ("kind", "digits", "letters", "capitals", "marks", "size", "variety",
 
 def _free_of_marks(text: Column) -> Column:
     """The text with the two characters used as marks replaced by one that no pattern takes."""
-    return F.translate(text, "\x01\x03", "\x02\x02")
+    return F.replace(F.replace(text, F.lit("\x01"), F.lit("\x02")), F.lit("\x03"), F.lit("\x02"))
 
 
 FOUND = "array<struct<start:int,kind:int,end:int,own:string,before:string,after:string>>"
