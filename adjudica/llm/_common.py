@@ -6,6 +6,7 @@ thousand entries. Packing keeps the row count of an exchange at tasks x buckets
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -18,6 +19,12 @@ from pyspark.sql import functions as F
 
 from adjudica.functions.scratch import delete, shared_dir
 
+try:
+    _libc = ctypes.CDLL("libc.so.6")
+    _libc.malloc_trim  # noqa: B018  other C libraries have none
+except (OSError, AttributeError):
+    _libc = None
+
 CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 PACKED = "bucket int, payload binary"
 PACKED_ARROW = pa.schema([("bucket", pa.int32()), ("payload", pa.binary())])
@@ -88,19 +95,36 @@ def running(work: Scratch, df: DataFrame, order: list[Column], sums: dict[str, C
 HEAVY_SHARE, HEAVY_ROWS = 1 / 2000, 1000
 
 
-def join_one(many: DataFrame, key: str, one: DataFrame, node: str, count: str, rows: int) -> DataFrame:
-    """many joined with one row per key, of which the column count says how many rows of many have it at least.
+def join_one(many: DataFrame, key: str, one: DataFrame, node: str, count: str) -> DataFrame:
+    """many joined with one row per key (a written table), of which the column count says how many rows of many have it.
 
-    Heavy keys are few because of their counts (2,000 of rows in all), so theirs are broadcast; the others are shuffled,
-    and none of those has many rows.
+    Heavy keys are few because of their counts (2,000 of all rows), so theirs are broadcast; the others are shuffled, and
+    none of those has many rows.
     """
+    rows, most = one.agg(F.coalesce(F.sum(count), F.lit(0)), F.coalesce(F.max(count), F.lit(0))).first()
     limit = max(HEAVY_ROWS, int(rows * HEAVY_SHARE))
-    heavy = one.where(F.col(count) > limit)
     on = F.col(key) == F.col(node)
+    if most <= limit:
+        return many.join(one, on)
+    heavy = one.where(F.col(count) > limit)
     rest = many.join(F.broadcast(heavy.select(F.col(node).alias("_heavy"))), F.col(key) == F.col("_heavy"), "left_anti")
     return many.join(F.broadcast(heavy), on).unionByName(rest.join(one.where(F.col(count) <= limit), on))
 
 
+def joined_batches(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about so many."""
+    held, n = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            n += batch.num_rows
+        if n >= rows:
+            yield _joined(held)
+            held, n = [], 0
+    if held:
+        yield _joined(held)
+
+
 def buckets_of(spark: SparkSession) -> int:
     """Buckets of a packed exchange: the session's shuffle partitions, so it grows with the cluster's own setting."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -261,6 +285,7 @@ def packed_batches(rows: Iterator[tuple[int, bytes]], most: int = 16 << 20) -> I
 def gather(batches: Iterator[pa.RecordBatch], raw: list, n_steps: int) -> list[np.ndarray] | None:
     """All columns of the packed rows of a partition, joined; None if it has none."""
     got = [unpack(p, raw, n_steps) for batch in batches for p in batch.column("payload").to_pylist()]
+    release()
     return [np.concatenate(c) for c in zip(*got, strict=True)] if got else None
 
 
@@ -281,12 +306,22 @@ def doc_chunks(batches: Iterator[pa.RecordBatch], most: int = 4 << 20, column: s
                 held, size = [], 0
     if held:
         yield _joined(held)
+    held.clear()
+    release()
 
 
 def _joined(held: list[pa.RecordBatch]) -> pa.RecordBatch:
     return held[0] if len(held) == 1 else pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
+def release() -> None:
+    """Give memory that is free back to the system: a Python worker stays when its task is done, and what it keeps is
+    missing beside it."""
+    pa.default_memory_pool().release_unused()
+    if _libc is not None:
+        _libc.malloc_trim(0)
+
+
 def ids_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Ids as int64 and whether each is there (null: 0 and False)."""
     return np.asarray(pc.fill_null(column, 0)).astype(np.int64), np.asarray(column.is_valid())

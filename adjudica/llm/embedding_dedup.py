@@ -248,7 +248,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     posted = work.write(posted, "posted")
     sizes = posted.groupBy("cell").agg(F.count("*").alias("members"), F.max("own").alias("homes"))
     sizes = work.write(sizes.where("members > 1 and homes").select(F.col("cell").alias("of_cell"), "members"), "sizes")
-    spread = C.join_one(posted, "cell", sizes, "of_cell", "members", posted.count()).select("cell", "node", "table", "own", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
+    spread = C.join_one(posted, "cell", sizes, "of_cell", "members").select("cell", "node", "table", "own", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
     spread = spread.withColumn("block", F.pmod(F.xxhash64("node", "cell"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     side = F.when(F.col("block") == F.col("other"), 3).when(F.col("block") < F.col("other"), 1).otherwise(2).alias("side")
@@ -262,13 +262,13 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     whole = work.write(nodes.select("node", "first", "copies").join(counts, F.col("node") == F.col("linked"), "left").join(labels, F.col("node") == F.col("member"), "left"), "whole")
     lowest = whole.where("label is not null").groupBy("label").agg(F.min("first").alias("component"), F.count("*").alias("members")).withColumnRenamed("label", "of_label")
     lowest = work.write(lowest, "lowest")
-    in_class = C.join_one(whole.where("label is not null"), "label", lowest, "of_label", "members", nodes.count()).select("node", "links", "copies", "component")
+    in_class = C.join_one(whole.where("label is not null"), "label", lowest, "of_label", "members").select("node", "links", "copies", "component")
     alone = whole.where("label is null").select("node", "links", "copies", F.col("first").alias("component"))
     whole = in_class.unionByName(alone).select(F.col("node").alias("of"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"), "copies", "component")
     whole = work.write(whole, "classes")
     # a vector that very many rows have is one heavy node
     rows = rows.select("vec_id", "node")
-    some = C.join_one(rows.where("node is not null"), "node", whole, "of", "copies", rows.count()).select("vec_id", "node", "links", "component")
+    some = C.join_one(rows.where("node is not null"), "node", whole, "of", "copies").select("vec_id", "node", "links", "component")
     out = some.unionByName(rows.where("node is null").select("vec_id", "node", F.lit(None).cast("bigint").alias("links"), F.lit(None).cast("bigint").alias("component")))
     component = F.coalesce("component", "vec_id")
     return out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("vec_id").isNull() | (F.col("vec_id") == component)).alias("kept"))

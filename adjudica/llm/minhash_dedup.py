@@ -199,6 +199,8 @@ def _lists(matches: int, similarity: float):
             links.update(_candidate_links(all_[order[cuts[i] : cuts[i + 1]]], matches, similarity))
         a = pa.array([x for x, _ in links], pa.int64())
         yield pa.record_batch([a, pa.array([y for _, y in links], pa.int64())], schema=LINKS)
+        del all_, got
+        C.release()
 
     return task
 
@@ -288,6 +290,7 @@ def _verify(percent: int):
             links = _similar_links(nodes, [h[3] for h in held], (side & 1) > 0, (side & 2) > 0, of, percent)
             if links:
                 yield pa.record_batch([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], schema=LINKS)
+        C.release()
 
     return task
 
@@ -313,9 +316,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, keep:
     candidates = work.write(C.exchange(postings, n).mapInArrow(_lists(matches, percent / 100), "a bigint, b bigint"), "candidates")
 
     families = work.write(connected(candidates, work), "families")
-    in_families = families.count()
     sizes = work.write(families.groupBy("label").agg(F.count("*").alias("members")).withColumnRenamed("label", "family"), "sizes")
-    members = C.join_one(families, "label", sizes, "family", "members", in_families).select("family", "node", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
+    members = C.join_one(families, "label", sizes, "family", "members").select("family", "node", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
     members = work.write(members.join(nodes.select("node", "first"), "node"), "members")
     # always a merge join: how many texts are wanted grows with the corpus, so the plan is the same at every size
     wanted = docs.select("doc_id", "text").join(members.select("node", "first").hint("merge"), F.col("doc_id") == F.col("first")).select("node", "text")
@@ -329,33 +331,35 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, keep:
     dealt = members.select("family", "node", block.alias("i")).unionByName(chief).distinct()
     first_links = work.write(verify(dealt.join(sets, "node").select("family", "i", F.lit(0).alias("j"), both_sides, "node", F.col("node").alias("class"), "shingles")), "links")
 
+    labels = work.write(connected(first_links, work), "classes-of-blocks")
     large = members.where("blocks > 1")
-    links = first_links
     if not large.isEmpty():
-        classes = work.write(connected(first_links, work), "first-classes").withColumnRenamed("node", "of")
-        placed = large.join(classes, F.col("node") == F.col("of"), "left").select("family", "node", "blocks", F.coalesce("label", "node").alias("class"))
+        placed = large.join(labels.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select("family", "node", "blocks", F.coalesce("label", "node").alias("class"))
         placed = work.write(placed, "placed")
         counts = placed.groupBy("family", "class").agg(F.count("*").alias("n"))
         main = counts.groupBy("family").agg(F.max_by("class", F.struct("n", "class")).alias("main"), F.sum("n").alias("all"), (F.sum("n") - F.max("n")).alias("apart"))
         main = work.write(main.where("apart > 0").withColumnRenamed("family", "of_family"), "main")
-        todo = C.join_one(placed, "family", main, "of_family", "all", in_families)
-        todo = work.write(todo.withColumn("outside", F.col("class") != F.col("main")).withColumn("small", F.ceil(F.col("apart") / BLOCK).cast("int")), "apart")
-        # blocks of nodes outside the main class against all blocks of the family
-        a = todo.where("outside").select("family", "node", "class", F.pmod(F.xxhash64("node", F.lit(2)), F.col("small")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(1).alias("side"))
-        z = todo.select("family", "node", "class", F.explode(F.sequence(F.lit(0), F.col("small") - 1)).alias("i"), block.alias("j"), F.lit(2).alias("side"))
-        spread = a.unionByName(z).groupBy("family", "i", "j", "node", "class").agg(F.sum("side").alias("side"))
-        links = work.write(first_links.unionByName(verify(spread.join(sets, "node"))), "all-links")
+        if not main.isEmpty():
+            todo = C.join_one(placed, "family", main, "of_family", "all")
+            todo = work.write(todo.withColumn("outside", F.col("class") != F.col("main")).withColumn("small", F.ceil(F.col("apart") / BLOCK).cast("int")), "apart")
+            # blocks of nodes outside the main class against all blocks of the family
+            a = todo.where("outside").select("family", "node", "class", F.pmod(F.xxhash64("node", F.lit(2)), F.col("small")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(1).alias("side"))
+            z = todo.select("family", "node", "class", F.explode(F.sequence(F.lit(0), F.col("small") - 1)).alias("i"), block.alias("j"), F.lit(2).alias("side"))
+            spread = a.unionByName(z).groupBy("family", "i", "j", "node", "class").agg(F.sum("side").alias("side"))
+            # what is found joins the classes there are
+            more = work.write(verify(spread.join(sets, "node")), "more-links")
+            links = more.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
+            labels = work.write(connected(links, work), "labels")
     work.drop(sets)
 
-    labels = work.write(connected(links, work), "labels")
     first = work.write(labels.join(nodes.select("node", "first", "first_at"), "node"), "firsts")
     lowest = work.write(first.groupBy("label").agg(F.min(F.struct("first", "first_at")).alias("component"), F.count("*").alias("members")).withColumnRenamed("label", "of_label"), "lowest")
-    linked = C.join_one(first.select("node", "label"), "label", lowest, "of_label", "members", in_families).select("node", "component")
+    linked = C.join_one(first.select("node", "label"), "label", lowest, "of_label", "members").select("node", "component")
     classes = nodes.select("node", "copies", F.struct("first", "first_at").alias("own")).join(linked, "node", "left")
     classes = work.write(classes.select(F.col("node").alias("of"), "copies", F.coalesce("component", "own").alias("component")), "classes")
     rows = signed if not keep else signed.select("doc_id", "at", "n", "node").distinct()
     # a text that very many rows have is one heavy node
-    some = C.join_one(rows.where("node is not null"), "node", classes, "of", "copies", nodes.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0])
+    some = C.join_one(rows.where("node is not null"), "node", classes, "of", "copies")
     none = rows.where("node is null").withColumn("component", F.lit(None).cast(classes.schema["component"].dataType))
     found = some.select(*rows.columns, "component").unionByName(none).withColumn("component_id", F.coalesce("component.first", "doc_id"))
     kept_ = F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))
