@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adjudica.functions import keys
-from adjudica.functions.text import rounded_percent
+from adjudica.functions.text import let, rounded_percent
 
 DIGITS = 20
 #: up to this number of keys (20 characters each) are broadcast
@@ -15,9 +15,11 @@ BROADCAST_KEYS = 200_000
 
 def _runs(docs: DataFrame) -> DataFrame:
     """Every stretch of 20 digits in a document's bare digits: a contains join as an equi-join."""
-    bare = keys.digits(F.concat_ws(" ", "path", "name"))
-    starts = F.when(F.length(bare) >= DIGITS, F.sequence(F.lit(1), F.length(bare) - (DIGITS - 1))).otherwise(F.array().cast("array<int>"))
-    return docs.select("id", F.explode(F.array_distinct(F.transform(starts, lambda i: F.substring(bare, i, F.lit(DIGITS))))).alias("run"))
+    def stretches(bare: Column) -> Column:
+        starts = F.when(F.length(bare) >= DIGITS, F.sequence(F.lit(1), F.length(bare) - (DIGITS - 1))).otherwise(F.array().cast("array<int>"))
+        return F.array_distinct(F.transform(starts, lambda i: F.substring(bare, i, F.lit(DIGITS))))
+
+    return docs.select("id", F.explode(let(keys.digits(F.concat_ws(" ", "path", "name")), stretches)).alias("run"))
 
 
 def _known_runs(docs: DataFrame, keys_: DataFrame) -> DataFrame:
