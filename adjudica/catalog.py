@@ -384,7 +384,7 @@ def claim_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- cost -----------------------------------------------------------------------------------------------------------
-PRICE_SQL = "price(model, i, o, w, r) AS (VALUES ('standard', 5.0, 25.0, 6.25, 0.5), ('light', 4.0, 20.0, 5.0, 0.2), ('large', 10.0, 50.0, 12.5, 0.25))"
+PRICE_SQL = "price(model, i, o, w, r) AS (VALUES ('light', 0.75, 2.25, 0.9375, 0.03), ('standard', 3.5, 11.5, 4.375, 0.35), ('large', 16.0, 41.0, 20.0, 2.4))"
 USAGE_SQL = (
     f"{PRICE_SQL}, u AS (SELECT l_orderkey, l_linenumber, CASE l_linenumber % 4 WHEN 0 THEN 'large' WHEN 1 THEN 'standard' WHEN 2 THEN 'light' ELSE CASE WHEN l_orderkey % 3 = 0 THEN 'unknown' ELSE 'light' END END AS model, l_partkey AS input_tokens, l_suppkey * 3 AS output_tokens, cast(l_quantity AS bigint) * 10 AS cache_write_tokens, CASE WHEN l_returnflag <> 'N' THEN l_partkey * 2 END AS cache_read_tokens FROM lineitem), "
     "c AS (SELECT u.*, price.model AS priced_with, (input_tokens / 1e6 * i + output_tokens / 1e6 * o + cache_write_tokens / 1e6 * w + coalesce(cache_read_tokens, 0) / 1e6 * r) * 0.5 AS cost_usd FROM u LEFT JOIN price USING (model))"
@@ -392,8 +392,8 @@ USAGE_SQL = (
 
 
 def _prices(spark: SparkSession) -> DataFrame:
-    """Stands in for a price file."""
-    listed = [("standard", 5.0, 25.0, None, None), ("light", 4.0, 20.0, None, 0.2), ("large", 10.0, 50.0, None, 0.25)]
+    """Stands in for a price file; the figures are invented."""
+    listed = [("light", 0.75, 2.25, None, 0.03), ("standard", 3.5, 11.5, None, None), ("large", 16.0, 41.0, None, 2.4)]
     return cost.price_rows(spark.createDataFrame(listed, "model string, input double, output double, cache_write double, cache_read double"))
 
 

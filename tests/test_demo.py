@@ -31,9 +31,9 @@ def digits(k):
 FILES = {
     f"{CASES[0]} - sentenca.pdf": BODY, f"{CASES[1]}/SENTENCA (2).pdf": BODY, f"{CASES[1]}/ACORDAO.pdf": BODY,
     f"recebidos/{digits(CASES[2])}_peticao de acordo.pdf": BODY, f"recebidos/{digits(CASES[2])}_sentenca homologatoria.pdf": BODY, f"recebidos/{CASES[3]} homologacao.pdf": BODY,
-    f"{CASES[4]}/peticao inicial.pdf": BODY, f"{CASES[4]}/despacho.pdf": BODY + "x", f"{CASES[5]} - autos completos.pdf": "Vistos. " + BODY * 150 + "\nAnte o exposto, julgo procedente. " + BODY,
-    f"{CASES[6]} - sentenca.pdf": BODY, f"{CASES[7]} - sentenca.pdf": BODY, f"{CASES[8]}/digitalizacao.pdf": "1 2 3 4",
-    **{f"revisados/{k} - sentenca.pdf": BODY for k in GOLD}, f"revisados/{GOLD[3]} - acordao.pdf": BODY, "relatorio interno da equipe.pdf": BODY, "recebidos/controle de processos.xlsx": "decoy",
+    f"{CASES[4]}/peticao inicial.pdf": BODY, f"{CASES[4]}/despacho.pdf": BODY + "x", f"{CASES[5]} - volume unico.pdf": "Vistos. " + BODY * 150 + "\nAnte o exposto, julgo procedente. " + BODY,
+    f"{CASES[6]} - sentenca.pdf": BODY, f"{CASES[7]} - sentenca.pdf": BODY, f"{CASES[8]}/imagens do fax.pdf": "1 2 3 4",
+    **{f"revisados/{k} - sentenca.pdf": BODY for k in GOLD}, f"revisados/{GOLD[3]} - acordao.pdf": BODY, "horas de trabalho.pdf": BODY, "recebidos/agenda do mes.xlsx": "decoy",
 }
 
 
@@ -66,9 +66,9 @@ RECORDINGS = [
     recording(CASES[5], STYLE), recording(CASES[6], STYLE, "severe", 2.0, ["20% em vez de 10%"]), recording(CASES[7], STYLE),
     recording(GOLD[0], STYLE, parity=verdict("equivalent", True, 9.0)), recording(GOLD[1], STYLE, parity=verdict("ours_more_complete", True, 9.0)), recording(GOLD[2], STYLE, parity=verdict("ours_worse", True, 5.0)), recording(GOLD[3], STYLE, parity=verdict("conflict", False, 3.0)),
 ]
-PRICES = {"default": "m", "models": {"m": {"inputPerMTok": 5, "outputPerMTok": 25, "source": "a made-up list"}}}
+PRICES = {"default": "m", "models": {"m": {"inputPerMTok": 3, "outputPerMTok": 13, "source": "a made-up list"}}}
 #: 1000 in, 100 out, 10 from the cache at a tenth of the price of input
-ONE = (1000 * 5 + 100 * 25 + 10 * 0.5) / 1e6
+ONE = (1000 * 3 + 100 * 13 + 10 * 0.3) / 1e6
 
 
 @pytest.fixture(scope="module")
@@ -78,7 +78,7 @@ def env(spark, tmp_path_factory):
     for path, text in FILES.items():
         (d / "files" / path).parent.mkdir(parents=True, exist_ok=True)
         (d / "files" / path).write_text(text)
-    texts = [(p, t, 4 if "digitalizacao" in p else 1) for p, t in FILES.items() if p.endswith(".pdf")]
+    texts = [(p, t, 4 if "imagens do fax" in p else 1) for p, t in FILES.items() if p.endswith(".pdf")]
     spark.createDataFrame(texts, "id string, text string, pages int").write.parquet(str(d / "texts"))
     (d / "r.json").write_text(json.dumps({"model": "m", "recordings": RECORDINGS}))
     (d / "p.json").write_text(json.dumps(PRICES))
@@ -94,7 +94,7 @@ def test_caseload(spark, env, capsys):
     out = capsys.readouterr().out
     assert all(x in out for x in ("filename: 5 of 11, 45.5%", "path: 8 of 11, 72.7%", "digits: 9 of 11, 81.8%"))
     report = Path(env["ADJUDICA_STATE"], "reports", "coverage.md").read_text()
-    assert "| named_decisions | 6 |" in report and "| generic | 3 |" in report and "| none | 2 |" in report and "2 cases without any document" in report and "relatorio interno da equipe.pdf" in report
+    assert "| named_decisions | 6 |" in report and "| generic | 3 |" in report and "| none | 2 |" in report and "2 cases without any document" in report and "horas de trabalho.pdf" in report
     assert cli.main(["style"], env=env) == 0 and "71.4%" in Path(env["ADJUDICA_STATE"], "reports", "house-style.md").read_text()
 
     assert cli.main(["run"], env=env) == 0
@@ -109,7 +109,7 @@ def test_caseload(spark, env, capsys):
     assert records[CASES[6]].status == "needs_review" and "20%" in records[CASES[6]].audit_reason
     assert records[CASES[0]].claims[0].canonical_claim == "Rescisão contratual" and records[CASES[5]].row == 7
     skipped = {r.case_number: r.skipped for r in runner.plans().collect()}
-    assert [tuple(x) for x in skipped[CASES[8]]] == [("digitalizacao.pdf", "scanned")]
+    assert [tuple(x) for x in skipped[CASES[8]]] == [("imagens do fax.pdf", "scanned")]
     spent = {r.round: r.cost_usd for r in runner.spent().collect()}
     assert spent == {"map": pytest.approx(8 * ONE / 2), "structure": pytest.approx(8 * ONE / 2), "audit": pytest.approx(6 * ONE)}
     pack = Path(env["ADJUDICA_STATE"], "reports", "approval-pack.md").read_text()

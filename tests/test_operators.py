@@ -85,20 +85,20 @@ def test_catalogue(spark):
 
 def test_cost(spark):
     usage = spark.createDataFrame([(1, "standard", 1_000_000, 100_000, 0, 0), (2, "standard", 0, 0, 1_000_000, 1_000_000), (3, "light", None, None, None, 1_000_000), (4, "other", 5, 5, 0, 0)], "i int, model string, input_tokens long, output_tokens long, cache_write_tokens long, cache_read_tokens long")
-    prices = cost.price_rows(spark.createDataFrame([("standard", 5.0, 25.0, None, None), ("light", 4.0, 20.0, None, 0.2)], "model string, input double, output double, cache_write double, cache_read double"))
+    prices = cost.price_rows(spark.createDataFrame([("standard", 3.0, 13.0, None, None), ("light", 0.8, 2.4, None, 0.03)], "model string, input double, output double, cache_write double, cache_read double"))
     assert cost.unpriced_warning("standard", prices) is None and "light, standard" in cost.unpriced_warning("other", prices)
     got = {r.i: r.cost_usd for r in cost.priced(usage, prices).collect()}
-    assert got == {1: pytest.approx(7.5), 2: pytest.approx(6.75), 3: pytest.approx(0.2), 4: None}
-    assert cost.priced(usage, prices, 0.5).where("i = 1").first().cost_usd == pytest.approx(3.75)
+    assert got == {1: pytest.approx(4.3), 2: pytest.approx(4.05), 3: pytest.approx(0.03), 4: None}
+    assert cost.priced(usage, prices, 0.5).where("i = 1").first().cost_usd == pytest.approx(2.15)
     assert cost.priced(usage, prices).agg(cost.total_cost()).first()[0] is None
     assert cost.priced(usage.limit(0), prices).agg(cost.total_cost()).first()[0] == 0
 
 
 def test_price_file(spark, tmp_path):
-    good = {"inputPerMTok": 4, "outputPerMTok": 20, "cacheReadPerMTok": 0.2, "source": "a list"}
+    good = {"inputPerMTok": 0.8, "outputPerMTok": 2.4, "cacheReadPerMTok": 0.03, "source": "a list"}
     (tmp_path / "p.json").write_text(json.dumps({"default": "a", "models": {"a": good}}))
     prices, default = cost.load_prices(spark, str(tmp_path / "p.json"))
-    assert default == "a" and tuple(prices.first()) == ("a", 4.0, 20.0, 5.0, 0.2)
+    assert default == "a" and tuple(prices.first()) == ("a", 0.8, 2.4, 1.0, 0.03)
     (tmp_path / "q.json").write_text(json.dumps({"default": "a", "models": {"a": good | {"source": ""}}}))
     with pytest.raises(ValueError, match="source: a"):
         cost.load_prices(spark, str(tmp_path / "q.json"))
