@@ -103,6 +103,19 @@ def minhash_dedup(shingle: int = 3, percent: int = 85) -> str:
     )
 
 
+def decontamination(window: int = 10) -> str:
+    """Windows as word lists, at every place of every length they have."""
+    words = rf"regexp_extract_all({ASCII_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    return (
+        f"WITH item AS (SELECT cast(item_id AS varchar) AS item, {words} AS w FROM benchmark), d AS (SELECT doc_id, {words} AS w FROM documents), "
+        f"win AS (SELECT DISTINCT item, array_to_string(w[i:i + {window - 1}], ' ') AS gram, least(len(w), {window}) AS k FROM (SELECT item, w, unnest(range(1, greatest(len(w) - {window - 1}, 1) + 1)) AS i FROM item WHERE len(w) > 0)), "
+        "size AS (SELECT DISTINCT k FROM win), place AS (SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS gram FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, size WHERE len(w) >= k)), "
+        "hit AS (SELECT doc_id, i, k, item FROM place JOIN win USING (k, gram)), n AS (SELECT doc_id, count(DISTINCT i + j) AS n_hit FROM (SELECT doc_id, i, unnest(range(k)) AS j FROM hit) GROUP BY doc_id), "
+        "items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hit WHERE item IS NOT NULL) GROUP BY doc_id) "
+        "SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated FROM d LEFT JOIN n USING (doc_id) LEFT JOIN items USING (doc_id)"
+    )
+
+
 def pii() -> str:
     """The four strict kinds: matches by kind with their places, from the lengths of what stands between them."""
     part = "0*([0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"

@@ -1,4 +1,4 @@
-"""The ten operators as queries over whole tables, with their SQL where SQL can express them."""
+"""The operators as queries over whole tables, with their SQL where SQL can express them."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adjudica.llm import embedding_dedup, hmm_lm, html_extraction, license_scan, minhash_dedup, mixing, oracles, packing, pii, quality_rules, substring_dedup
+from adjudica.llm import decontamination, embedding_dedup, hmm_lm, html_extraction, license_scan, minhash_dedup, mixing, oracles, packing, pii, quality_rules, substring_dedup
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -71,6 +71,12 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extract(_read(spark, sf_dir, "pages"))
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), with_text=False)
+    n_hit, n_items = decontamination.n_hit(F.col("hits")), F.size("items").cast("long")
+    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), n_items.alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
 def base8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The columns of op8 that SQL can say."""
     return op8_pii(spark, sf_dir).drop("spans")
@@ -93,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_license_scan": op3_license_scan,
     "op1_substring_dedup": op1_substring_dedup,
     "op5_mixing": op5_mixing,
+    "op11_decontamination": op11_decontamination,
     "base8_pii": base8_pii,
     "base10_hmm_lm": base10_hmm_lm,
 }
@@ -104,6 +111,7 @@ ORACLE_SQL: dict[str, str] = {
     "op5_mixing": oracles.mixing(),
     "op6_embedding_dedup": oracles.embedding_dedup(),
     "op9_minhash_dedup": oracles.minhash_dedup(),
+    "op11_decontamination": oracles.decontamination(),
     "base8_pii": oracles.pii(),
     "base10_hmm_lm": oracles.hmm_lm(),
 }
