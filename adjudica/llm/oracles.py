@@ -11,6 +11,14 @@ ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcd
 REACH = "reach(id, pos) AS (SELECT DISTINCT a, a FROM both_ways UNION SELECT reach.id, both_ways.b FROM reach JOIN both_ways ON reach.pos = both_ways.a), component AS (SELECT id, min(pos) AS c FROM reach GROUP BY id)"
 
 
+def crc32(text: str) -> str:
+    """Unsigned checksum of a text's UTF-8 bytes, bit by bit."""
+    byte = "list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, (x & 1) * 3988292384))"
+    # an octet of the hexadecimal form at a time
+    octets = f"list_transform(range(1, length(hex(encode({text}))), 2), lambda i: ('0x' || hex(encode({text}))[i:i + 1])::bigint)"
+    return f"xor(list_reduce(list_concat([4294967295::bigint], {octets}), lambda a, b: {byte}), 4294967295)"
+
+
 def substring_dedup(window: int = 13) -> str:
     """All windows, as strings."""
     return (
@@ -116,6 +124,24 @@ def decontamination(window: int = 10) -> str:
     )
 
 
+def spelling_variants() -> str:
+    """Near words are the same without one letter at one place, or one is the other without a letter."""
+    runs = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')"
+    return (
+        f"WITH RECURSIVE r AS (SELECT doc_id, w, count(*) AS c FROM (SELECT doc_id, unnest({runs}) AS w FROM documents) WHERE length(w) >= 6 GROUP BY doc_id, w), "
+        f"h AS (SELECT w, c, {crc32("coalesce(cast(doc_id AS varchar), '') || ':' || w")} AS h FROM r), "
+        "k AS (SELECT CASE WHEN h % 199 = 0 THEN left(w, cast(h % length(w) AS bigint)) || substr(w, cast(h % length(w) AS bigint) + 2) ELSE w END AS word, c FROM h), "
+        "v AS (SELECT word, cast(sum(c) AS bigint) AS n FROM k WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5), "
+        "less AS (SELECT word, n, pos, CASE WHEN pos = 0 THEN word ELSE left(word, pos - 1) || substr(word, pos + 1) END AS part FROM (SELECT word, n, unnest(range(length(word) + 1)) AS pos FROM v)), "
+        "near AS (SELECT DISTINCT x.word, x.n, y.word AS other, y.n AS other_n FROM less x JOIN less y ON x.part = y.part AND x.word <> y.word AND (x.pos = y.pos OR x.pos = 0 OR y.pos = 0)), "
+        "best AS (SELECT word, any_value(n) AS n, count(*) AS n_near, arg_min(other, (-other_n, other)) AS form, arg_min(other_n, (-other_n, other)) AS form_n FROM near GROUP BY word), "
+        "form AS (SELECT word, n_near, CASE WHEN form_n >= 5 * n THEN form END AS form, CASE WHEN form_n >= 5 * n THEN form_n END AS form_n FROM best), "
+        "way(word, pos) AS (SELECT word, form FROM form WHERE form IS NOT NULL UNION ALL SELECT way.word, form.form FROM way JOIN form ON form.word = way.pos WHERE form.form IS NOT NULL), "
+        "root AS (SELECT word, pos AS root FROM way ANTI JOIN (SELECT word AS pos FROM form WHERE form IS NOT NULL) USING (pos)) "
+        "SELECT v.word, form, coalesce(root, v.word) AS root, n, coalesce(n_near, 0) AS n_near, form_n FROM v LEFT JOIN form ON form.word = v.word LEFT JOIN root ON root.word = v.word"
+    )
+
+
 def pii() -> str:
     """The four strict kinds: matches by kind with their places, from the lengths of what stands between them."""
     part = "0*([0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
