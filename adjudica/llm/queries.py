@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adjudica.llm import decontamination, embedding_dedup, hmm_lm, html_extraction, license_scan, minhash_dedup, mixing, oracles, packing, pii, quality_rules, spelling_variants, substring_dedup
+from adjudica.llm import decontamination, embedding_dedup, hard_negatives, hmm_lm, html_extraction, license_scan, minhash_dedup, mixing, oracles, packing, pii, quality_rules, spelling_variants, substring_dedup
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -77,6 +77,12 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", n_hit.alias("n_hit"), n_items.alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _read(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label").cast("long"))
+    return hard_negatives.mine(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants.variants(_read(spark, sf_dir, "documents"))
 
@@ -104,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op5_mixing": op5_mixing,
     "op11_decontamination": op11_decontamination,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_spelling_variants": op13_spelling_variants,
     "base8_pii": base8_pii,
     "base10_hmm_lm": base10_hmm_lm,
@@ -117,6 +124,7 @@ ORACLE_SQL: dict[str, str] = {
     "op6_embedding_dedup": oracles.embedding_dedup(),
     "op9_minhash_dedup": oracles.minhash_dedup(),
     "op11_decontamination": oracles.decontamination(),
+    "op12_hard_negatives": oracles.hard_negatives(),
     "op13_spelling_variants": oracles.spelling_variants(),
     "base8_pii": oracles.pii(),
     "base10_hmm_lm": oracles.hmm_lm(),
