@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adjudica.functions.text import bigrams, dice, normalise_key
+from adjudica.functions.scratch import written
+from adjudica.functions.text import normalise_key
+from adjudica.operators import similarity
 from adjudica.plans.policy import LEGAL
 
-#: catalogues up to this number of names are broadcast; larger ones go by shared bigrams
-BROADCAST_NAMES = 20_000
-
 
 def load(spark: SparkSession, path: str, field: str = "claims") -> DataFrame:
     """canonical, idx of a JSON file that lists the names under a field, in its order; the form match() takes."""
@@ -24,36 +21,16 @@ def match(names: DataFrame, catalogue: DataFrame, name: str = "name", threshold:
     """name, canonical, method (exact, fuzzy, none) and score for each distinct name. catalogue(canonical, idx).
 
     The best score wins, the first catalogue entry on ties; equal keys in the catalogue leave the last. Below the
-    threshold canonical is null and the score stays; for a catalogue above ``BROADCAST_NAMES`` names only pairs whose
-    lengths allow the threshold are scored, so there a score below it may be that of a worse name, or 0.
+    threshold canonical is null and the score stays. A null name, and one that shares no bigram with any entry, has
+    score 0. Catalogues of any size take the same way.
     """
-    entries = catalogue.withColumn("key", normalise_key(F.col("canonical")))
-    last = F.row_number().over(Window.partitionBy("key").orderBy(F.col("idx").desc()))
-    exact = entries.withColumn("rn", last).where("rn = 1").select("key", F.col("canonical").alias("exact"))
-    n_names = entries.count()
-
-    def small(df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if n_names <= BROADCAST_NAMES else df
-
+    entries = catalogue.select("canonical", "idx", normalise_key(F.col("canonical")).alias("key"))
+    exact = entries.groupBy("key").agg(F.max_by("canonical", "idx").alias("exact"))
     keyed = names.select(name).distinct().withColumn("key", normalise_key(F.col(name)))
-    looked = keyed.join(small(exact), "key", "left")
-    open_ = looked.where("exact is null").select(name, F.col("key").alias("k"))
-    if n_names <= BROADCAST_NAMES:
-        pairs = open_.crossJoin(F.broadcast(entries))
-    else:
-        # names of a pair above the threshold differ little in length, so the join is by bigram and length class too: a
-        # common bigram is as many keys as there are lengths.
-        reach = math.ceil(2 * math.log2((2 - threshold) / threshold)) + 1
-        wide = lambda c: F.floor(F.log2(F.greatest(F.length(c), F.lit(2)) - 1) * 2).cast("int")
-        gram = entries.select("canonical", "idx", "key", F.explode(F.array_distinct(bigrams(F.col("key")))).alias("g"), wide(F.col("key")).alias("w"))
-        near = open_.select(name, "k", F.explode(F.array(*[wide(F.col("k")) + i for i in range(-reach, reach + 1)])).alias("w"))
-        mine = near.select(name, "k", "w", F.explode(F.array_distinct(bigrams(F.col("k")))).alias("g"))
-        pairs = mine.join(gram, ["g", "w"])
-        n, m = F.length("k") - 1, F.length("key") - 1
-        pairs = pairs.where(2 * F.least(n, m) >= threshold * (n + m)).select(name, "k", "canonical", "idx", "key").distinct()
-    scored = pairs.withColumn("score", dice(F.col("k"), F.col("key"))).groupBy(name).agg(F.max_by(F.struct("canonical", "score"), F.struct("score", -F.col("idx"))).alias("best"))
-    fuzzy = scored.select(F.col(name).alias("_n"), F.col("best.canonical").alias("near"), F.col("best.score").alias("near_score"))
-    out = looked.join(fuzzy, looked[name] == fuzzy["_n"], "left")
+    looked = written(keyed.join(exact, "key", "left"), "looked")
+    best = similarity.best(looked.where("exact is null").select("key"), entries, threshold)
+    fuzzy = best.join(entries.select("idx", F.col("canonical").alias("near")), "idx").select(F.col("key").alias("_key"), "near", F.col("score").alias("near_score"))
+    out = looked.join(fuzzy, F.col("key") == F.col("_key"), "left")
     hit = F.col("near_score") >= threshold
     return out.select(
         name,

@@ -112,14 +112,6 @@ def test_catalogue_file(spark, tmp_path):
     assert catalogue.match(spark.createDataFrame([("usucapiao",)], "name string"), entries).first().canonical == "Usucapião"
 
 
-def test_large_catalogue_finds_the_same_names(spark, monkeypatch):
-    names = spark.createDataFrame([(n,) for n in ("Danos moraiss", "dano moral", "Rescisões contratuais", "Usucapiao", "nada parecido", "Multas contratuais", "")], "name string")
-    entries = spark.createDataFrame(list(enumerate(CLAIMS)), "idx int, canonical string")
-    small = {r.name: r.canonical for r in catalogue.match(names, entries).collect()}
-    monkeypatch.setattr(catalogue, "BROADCAST_NAMES", -1)
-    assert {r.name: r.canonical for r in catalogue.match(names, entries).collect()} == small
-
-
 def test_audit_demotes_only(spark):
     records = spark.createDataFrame([("a", "writeable", None), ("b", "writeable", None), ("c", "writeable", None), ("d", "needs_review", "off_house_style")], "case_number string, status string, gate_reason string")
     verdicts = spark.createDataFrame([("a", "minor", []), ("b", "severe", ["20% vs 10%"]), ("d", "ok", [])], "case_number string, severity string, unsupported array<string>")
