@@ -680,6 +680,33 @@ def json_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.select("event_id", structured.field(F.col("text"), "judge", "Não identificado")[0].alias("judge"), "valid", F.get(F.col("result.claims"), F.lit(0))["confidence"].alias("confidence"))
 
 
+REASONS_SQL = {
+    "$.outcome: missing": "event_id % 5 = 1", "$.outcome: not one of upheld, partly_upheld, dismissed, terminated, not_identified": "event_id % 5 = 0", "$.judge: null": "event_id % 4 = 1", "$.judge: not a text": "event_id % 4 = 2",
+    "$.claims: missing": "event_id % 9 = 0", "$.claims: no entries": "event_id % 9 = 1", "$.claims: not a list": "event_id % 9 = 2", "$.claims: null": "event_id % 9 = 3",
+    "$.claims[0].rawClaim: empty": "event_id % 9 > 3 AND event_id % 3 = 0", "$.claims[1].canonicalClaim: missing": "event_id % 9 > 3", "$.claims[1].confidence: not one of high, medium, low": "event_id % 9 > 3 AND event_id % 7 = 0",
+}
+
+
+@query(
+    "SELECT event_id, array_to_string(CASE WHEN event_id % 13 = 0 THEN ['$: not JSON'] WHEN event_id % 17 = 0 THEN ['$: not an object'] ELSE list_filter(["
+    + ", ".join(f"CASE WHEN {where} THEN '{reason}' END" for reason, where in REASONS_SQL.items())
+    + "], lambda r: r IS NOT NULL) END, '; ') AS reasons FROM events"
+)
+def json_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where and why answers break the contract: no JSON, no object, fields that are missing, null or of another type,
+    lists that are none, and claims in which several fields are wrong."""
+    e = F.col("event_id")
+    outcome = F.when(e % 5 == 0, '"outcome": "won", ').when(e % 5 == 1, "").otherwise('"outcome": "upheld", ')
+    judge = F.when(e % 4 == 1, '"judge": null, ').when(e % 4 == 2, '"judge": {"name": "J"}, ').otherwise("")
+    first = F.concat(F.lit('{"rawClaim": "'), F.when(e % 3 == 0, "").otherwise("r"), F.lit('", "canonicalClaim": "c", "outcome": "moot"}'))
+    second = F.concat(F.lit('{"rawClaim": "r", "outcome": "upheld"'), F.when(e % 7 == 0, ', "confidence": "sure"').otherwise(""), F.lit("}"))
+    m = e % 9
+    claims = F.when(m == 0, "").when(m == 1, '"claims": [], ').when(m == 2, '"claims": 7, ').when(m == 3, '"claims": null, ').otherwise(F.concat(F.lit('"claims": ['), first, F.lit(", "), second, F.lit("], ")))
+    text = F.when(e % 13 == 0, "{").when(e % 17 == 0, "[1]").otherwise(F.concat(F.lit("{"), outcome, judge, claims, F.lit('"other": 1}')))
+    v = structured.validated(read(spark, sf_dir, "events").select("event_id", text.alias("text")))
+    return v.select("event_id", F.array_join("reasons", "; ").alias("reasons"))
+
+
 @query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN event_type || chr(10) || user_id WHEN event_id % 3 = 1 THEN event_type ELSE '' END AS text FROM events")
 def text_of_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The text blocks of answers with two, one or none, among blocks of another type."""

@@ -10,6 +10,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _own_dir: list[str] = []
+#: tables this process wrote, by session
+_written: dict[int, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,8 +33,19 @@ def delete(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df written once and read again: every reader sees the same rows in the same partitions."""
+def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """df written once and read again: every reader sees the same rows in the same partitions. by: a folder for each value
+    of a column, so that a reader of one value reads no other."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.option("compression", "zstd").parquet(path)
+    out = df.write.option("compression", "zstd")
+    (out.partitionBy(by) if by else out).parquet(path)
+    _written.setdefault(id(df.sparkSession._jsparkSession), []).append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> int:
+    """Call once results are written: removes the tables written for this session; how many went."""
+    gone = _written.pop(id(spark._jsparkSession), [])
+    for path in gone:
+        delete(spark, path)
+    return len(gone)

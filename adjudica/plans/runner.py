@@ -2,8 +2,9 @@
 
 Stages are extract, a map round and a structuring round (each submitted in batches and collected), audit and delivery. A
 stage's table in the state folder is the cut between stages: a second run finds nothing left and pays nothing. Batch ids
-are stored as soon as a batch is made, and what is in an open batch is not submitted again. Every answer is priced and its
-usage stored before it is validated.
+are stored as soon as a batch is made, and what is in an open batch is not submitted again. Results come in through a
+keyed stream that knows what was asked and what is overdue; all that is new is priced, its usage stored, then validated
+and stored at once, however many batches it came in. What failed is stored with its reason.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from adjudica.functions.text import trim_all
 from adjudica.operators import catalogue, cost, evaluate, gate, grid, planning, sampling, segmentation, state, structured
 from adjudica.plans.policy import LEGAL, Policy
 from adjudica.sources import providers, xlsx
+from adjudica.streaming import requests as stream
 
 CLAIMS = "array<struct<raw_claim:string,canonical_claim:string,outcome:string,later_decision:string,notes:string,confidence:string>>"
 TOKENS = ("input_tokens", "output_tokens", "cache_write_tokens", "cache_read_tokens")
@@ -30,7 +32,10 @@ TABLES = {
     "plans": "case_number string, strategy string, documents array<string>, skipped array<struct<name:string,why:string>>",
     "texts": "case_number string, text string",
     "batches": "round string, batch string, case_number string, custom_id string",
+    "announced": "round string, batch string",
     "collected": "round string, batch string",
+    "epochs": "round string, epoch bigint",
+    "failures": "round string, batch string, case_number string, custom_id string, outcome string, reason string",
     "usage": f"round string, batch string, case_number string, model string, {', '.join(f'{t} bigint' for t in TOKENS)}, cost_usd double, priced_with string",
     "maps": "case_number string, text string",
     "cases": f"case_number string, version bigint, summary string, status string, gate_reason string, outcome string, claims {CLAIMS}",
@@ -52,6 +57,7 @@ class Runner:
     attempts: int = 20
     retry_max_s: float = 60
     poll_seconds: float = 120
+    wait_seconds: float = 26 * 3600  # a request without an answer for so long is asked again
     sleep: Callable[[float], None] = time.sleep
     log: Callable[[str], None] = lambda line: None
 
@@ -76,6 +82,11 @@ class Runner:
             self.spark.catalog.refreshByPath(f"{self.folder}/{name}")
         return n
 
+    def _add(self, df: DataFrame, name: str) -> None:
+        """Append rows that are cheap to work out: one job, no count."""
+        df.select(*self.table(name).columns).write.mode("append").parquet(f"{self.folder}/{name}")
+        self.spark.catalog.refreshByPath(f"{self.folder}/{name}")
+
     def save_cases(self, records: DataFrame) -> int:
         """Upsert: the latest version of a case is the case."""
         version = (self.table("cases").agg(F.max("version")).first()[0] or 0) + 1
@@ -125,8 +136,11 @@ class Runner:
         return providers.with_retry(call, label, self.attempts, most_s=self.retry_max_s, sleep=self.sleep)
 
     def open_batches(self, round_: str) -> DataFrame:
+        """What is asked and not yet collected, without what is overdue."""
         mine = self.table("batches").where(F.col("round") == round_)
-        return mine.join(self.table("collected").where(F.col("round") == round_).select("batch"), "batch", "left_anti")
+        mine = mine.join(self.table("collected").where(F.col("round") == round_).select("batch"), "batch", "left_anti")
+        overdue = self.table("failures").where((F.col("round") == round_) & (F.col("outcome") == stream.EXPIRED)).select("batch", "custom_id")
+        return mine.join(overdue, ["batch", "custom_id"], "left_anti")
 
     def _wanted(self, round_: str) -> DataFrame:
         """case_number, text of what the round has still to be asked: a map sees the reduced text, structuring the map."""
@@ -136,37 +150,41 @@ class Runner:
         return state.todo(self.table("maps").select("case_number", "text"), self.table("cases"), "case_number")
 
     def submit(self, round_: str) -> list[str]:
-        """Make batches of all that is neither done nor in an open batch; each id is stored before the next is made."""
+        """Make batches of all that is neither done nor in an open batch; each id is stored before the next is made.
+
+        Requests are written once, a folder for each chunk, so a batch reads its own rows only.
+        """
         todo = self._wanted(round_).join(self.open_batches(round_).select("case_number"), "case_number", "left_anti")
-        requests = written(sampling.chunked(todo, [F.col("case_number")], self.policy.chunk).withColumn("custom_id", keys.custom_id(F.col("case_number"))), "requests")
-        last = requests.agg(F.max("chunk")).first()[0]
+        numbered = sampling.chunked(todo, [F.col("case_number")], self.policy.chunk).withColumn("custom_id", keys.custom_id(F.col("case_number")))
+        requests = written(numbered, "requests", by="chunk")
+        chunks = sorted(r.chunk for r in requests.select("chunk").distinct().collect())
         made = []
-        for k in range(0 if last is None else last + 1):
-            part = requests.where(F.col("chunk") == k)
+        for k in chunks:
+            part = requests.where(F.col("chunk") == k).drop("chunk")
             batch = self._retried(lambda part=part: self.clients[round_].create(part), f"{round_}-submit")
-            self._append(part.select(F.lit(round_).alias("round"), F.lit(batch).alias("batch"), "case_number", "custom_id"), "batches")
+            self._add(part.select(F.lit(round_).alias("round"), F.lit(batch).alias("batch"), "case_number", "custom_id"), "batches")
             made.append(batch)
-            self.log(f"  batch {k + 1}: {batch}")
+            self.log(f"  batch {len(made)}: {batch}")
         return made
 
     def _priced(self, answers: DataFrame, discount: float) -> DataFrame:
         raw = {"input_tokens": "input_tokens", "output_tokens": "output_tokens", "cache_write_tokens": "cache_creation_input_tokens", "cache_read_tokens": "cache_read_input_tokens"}
         model = F.lit(self.model) if self.model else F.col("model")
-        u = answers.select("case_number", model.alias("model"), *[F.coalesce(F.col(f"usage.{v}"), F.lit(0)).alias(k) for k, v in raw.items()])
+        u = answers.select("case_number", *[c for c in ("batch",) if c in answers.columns], model.alias("model"), *[F.coalesce(F.col(f"usage.{v}"), F.lit(0)).alias(k) for k, v in raw.items()])
         return cost.priced(u, self.prices, discount)
 
-    def _bill(self, answers: DataFrame, round_: str, batch: str, discount: float) -> DataFrame:
-        """Store the usage of answers once, whatever becomes of them; the rows of this batch."""
-        priced = self._priced(answers, discount).withColumn("round", F.lit(round_)).withColumn("batch", F.lit(batch))
-        known = self.table("usage").where((F.col("round") == round_) & (F.col("batch") == batch)).select("case_number")
-        self._append(priced.join(known, "case_number", "left_anti"), "usage")
-        return self.table("usage").where((F.col("round") == round_) & (F.col("batch") == batch))
+    def _bill(self, answers: DataFrame, round_: str, discount: float) -> float | None:
+        """Store the usage of answers(…, batch) once, whatever becomes of them; what they cost together."""
+        usage = written(self._priced(answers, discount).withColumn("round", F.lit(round_)), "usage")
+        known = self.table("usage").where(F.col("round") == round_).select(F.col("batch").alias("_b"), F.col("case_number").alias("_c")).distinct()
+        self._append(usage.join(known, F.col("batch").eqNullSafe(F.col("_b")) & F.col("case_number").eqNullSafe(F.col("_c")), "left_anti"), "usage")
+        return usage.agg(cost.total_cost()).first()[0]
 
     def _store(self, round_: str, answers: DataFrame) -> dict[str, int]:
         """answers(case_number, answer) that are new, into the round's table."""
         if round_ == MAP:
             return {"collected": self._append(state.non_blank(answers.select("case_number", F.col("answer").alias("text"))), "maps")}
-        checked = structured.validated(answers, "answer")
+        checked = written(structured.validated(answers, "answer"), "checked")
         got = checked.where("valid")
         names = self.spark.createDataFrame(list(enumerate(self.policy.claims)), "idx int, canonical string")
         claims = got.select("case_number", F.posexplode("result.claims").alias("i", "c")).select("case_number", "i", "c.*")
@@ -178,35 +196,78 @@ class Runner:
         new = written(records.join(listed, "case_number"), "records")
         n = self.save_cases(new)
         ready = new.where("status = 'writeable'").count()
-        return {"collected": n, "writeable": ready, "needs_review": n - ready, "invalid": answers.count() - n}
+        invalid = checked.count() - n
+        if invalid and "batch" in answers.columns:
+            self._fail(round_, checked.where("not valid").select("batch", "case_number", "custom_id", F.lit("invalid").alias("outcome"), F.array_join("reasons", "; ").alias("reason")))
+        return {"collected": n, "writeable": ready, "needs_review": n - ready, "invalid": invalid}
+
+    def _requests(self, round_: str) -> stream.Requests:
+        return stream.Requests(self.spark, f"{self.folder}/stream/{round_}", self.wait_seconds)
+
+    def _announce(self, round_: str) -> None:
+        """Tell the stream what batches ask for; a case that is done already is not waited for."""
+        known = self.table("announced").where(F.col("round") == round_).select("batch")
+        new = written(self.table("batches").where(F.col("round") == round_).join(known, "batch", "left_anti"), "announced")
+        if new.isEmpty():
+            return
+        done = self.table(DONE[round_]).select(keys.custom_id(F.col("case_number")).alias("custom_id"), F.lit(True).alias("_done")).distinct()
+        kind = F.when(F.col("_done"), stream.DONE).otherwise(stream.ASKED)
+        self._requests(round_).put(new.join(done, "custom_id", "left").select("custom_id", kind.alias("kind"), "batch"))
+        self._add(new.select("round", "batch").distinct(), "announced")
+
+    def _results(self, round_: str, batches: list[str]) -> DataFrame:
+        """Results of ended batches together, tagged with their batch."""
+        client = self.clients[round_]
+        if hasattr(client, "results_of"):
+            return self._retried(lambda: client.results_of(batches), f"{round_}-results")
+        parts = [self._retried(lambda b=b: client.results(b), f"{round_}-results").withColumn("batch", F.lit(b)) for b in batches]
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionByName(part)
+        return out
 
     def collect(self, round_: str) -> dict:
-        """What the round's open batches that have ended hold: counts, cost, and the batches still pending."""
-        out: dict = {"collected": 0, "skipped": 0, "failed": 0, "invalid": 0, "writeable": 0, "needs_review": 0, "pending": [], "cost": 0.0}
-        own = self.targets().select("custom_id", "case_number")
+        """What the round's open batches that have ended hold: counts, cost, and the batches still pending.
+
+        Batches are marked as collected last, so a run that breaks goes through them again; the stream knows what it has
+        seen. Jobs are as many for one batch as for a thousand, but for the remote calls.
+        """
+        pending, ended = [], []
+        client = self.clients[round_]
         # a batch is a remote call each, so the ids are gone through here; what they hold stays a table
         for batch in [r.batch for r in self.open_batches(round_).select("batch").distinct().orderBy("batch").collect()]:
-            client = self.clients[round_]
-            if not self._retried(lambda c=client, b=batch: c.status(b), f"{round_}-status")["ended"]:
-                out["pending"].append(batch)
-                continue
-            results = written(self._retried(lambda c=client, b=batch: c.results(b), f"{round_}-results"), "results")
-            done = self.table(DONE[round_]).select(keys.custom_id(F.col("case_number")).alias("custom_id"))
-            tagged = written(state.collected(results, own, done).join(own, "custom_id", "left"), "outcomes")
-            counts = {r.outcome: r.n for r in state.outcome_counts(tagged).collect()}
-            failed = tagged.where("outcome = 'invalid' and not ok").count()
-            bill = self._bill(tagged.where(state.billed()), round_, batch, self.policy.batch_discount)
-            spent = bill.agg(cost.total_cost()).first()[0]
-            out["cost"] = None if spent is None or out["cost"] is None else out["cost"] + spent
-            stored = self._store(round_, tagged.where("outcome = 'new'").select("case_number", "answer"))
-            out["skipped"] += counts.get("known", 0)
-            out["failed"] += failed
-            out["invalid"] += counts.get("invalid", 0) - failed
-            for k, n in stored.items():
-                out[k] += n
-            self._append(self.spark.createDataFrame([(round_, batch)], TABLES["collected"]), "collected")
+            at_end = self._retried(lambda b=batch: client.status(b), f"{round_}-status")["ended"]
+            (ended if at_end else pending).append(batch)
+        requests = self._requests(round_)
+        self._announce(round_)
+        if ended:
+            requests.put(self._results(round_, ended).withColumn("kind", F.lit(stream.RESULT)))
+        requests.advance()
+        until = self.table("epochs").where(F.col("round") == round_).agg(F.coalesce(F.max("epoch"), F.lit(-1))).first()[0]
+        own = self.targets().select(F.col("custom_id").alias("_id"), "case_number")
+        fresh = written(requests.outcomes(until).join(own, F.col("custom_id") == F.col("_id"), "left").drop("_id"), "outcomes")
+        good, paid = F.col("outcome").isin(stream.NEW, stream.LATE), F.coalesce("ok", F.lit(False)) & (F.col("outcome") != stream.REPEAT)
+        n = fresh.agg(F.max("epoch").alias("epoch"), F.count_if(F.col("outcome") == stream.REPEAT).alias("skipped"), F.count_if(F.col("outcome") == stream.EXPIRED).alias("expired"), F.count_if(~F.col("ok") & ~F.col("outcome").isin(stream.REPEAT, stream.EXPIRED)).alias("failed"), F.count_if(paid & (~good | F.col("case_number").isNull())).alias("invalid"), F.count_if(paid).alias("paid")).first()
+        out = {"collected": 0, "skipped": n.skipped, "failed": n.failed, "invalid": n.invalid, "expired": n.expired, "writeable": 0, "needs_review": 0, "pending": pending, "cost": 0.0}
+        if n.paid:
+            out["cost"] = self._bill(fresh.where(paid), round_, self.policy.batch_discount)
+            for k, v in self._store(round_, fresh.where(paid & good & F.col("case_number").isNotNull()).select("case_number", "answer", "batch", "custom_id")).items():
+                out[k] += v
+        if n.failed + n.expired + n.invalid:
+            bad = ~F.coalesce("ok", F.lit(False)) & (F.col("outcome") != stream.REPEAT) | paid & (~good | F.col("case_number").isNull())
+            self._fail(round_, fresh.where(bad).select("batch", "case_number", "custom_id", "outcome", F.coalesce("reason", F.lit("not asked for")).alias("reason")))
+        if n.epoch is not None:
+            self._add(self.spark.createDataFrame([(round_, n.epoch)], TABLES["epochs"]), "epochs")
+        if ended:
+            self._add(self.spark.createDataFrame([(round_, b) for b in ended], TABLES["collected"]), "collected")
         return out
 
+    def _fail(self, round_: str, rows: DataFrame) -> None:
+        """Store failures(batch, case_number, custom_id, outcome, reason), each once."""
+        known = self.table("failures").where(F.col("round") == round_).select(*[F.col(c).alias(f"_{c}") for c in ("batch", "custom_id", "outcome")]).distinct()
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ("batch", "custom_id", "outcome")]
+        self._append(rows.withColumn("round", F.lit(round_)).join(known, same[0] & same[1] & same[2], "left_anti"), "failures")
+
     def wait_and_collect(self, round_: str) -> dict:
         """Collect on every poll until no batch is pending; the counts of all polls together."""
         total = self.collect(round_)
@@ -222,13 +283,15 @@ class Runner:
         """A round without batches, at full price."""
         asked = written(self._wanted(round_), "asked")
         answers = written(getattr(self.provider, round_)(asked).where("answer is not null"), "answers")
-        self._bill(answers, round_, "now", 1.0)
+        self._bill(answers.withColumn("batch", F.lit("now")), round_, 1.0)
         return self._store(round_, answers.select("case_number", "answer"))
 
     # --- audit, delivery ----------------------------------------------------------------------------------------------
-    def sources(self) -> DataFrame:
-        """case_number, source: the evidence a summary was made from, as the map round saw it, clipped for the auditor."""
-        cut = segmentation.segment(self.table("texts"), policy=self.policy.segmentation)
+    def sources(self, cases: DataFrame) -> DataFrame:
+        """case_number, source of the cases asked for: the evidence a summary was made from, as the map round saw it,
+        clipped for the auditor. Only their texts are segmented."""
+        texts = self.table("texts").join(cases.select("case_number").distinct(), "case_number", "left_semi")
+        cut = segmentation.segment(texts, policy=self.policy.segmentation)
         return cut.select("case_number", F.left("segmented", F.lit(self.policy.audit_clip)).alias("source"))
 
     def audit(self) -> dict:
@@ -236,17 +299,18 @@ class Runner:
         without a source are counted and stay as they are."""
         ready = self.cases().where((F.col("status") == "writeable") & (F.col("summary") != "")).select("case_number", "version", "summary")
         todo = ready.join(self.table("audits").select("case_number", "version"), ["case_number", "version"], "left_anti")
-        todo = written(todo.join(self.sources(), "case_number", "left"), "audited")
+        todo = written(todo, "unaudited")
+        todo = written(todo.join(self.sources(todo), "case_number", "left"), "audited")
         asked = todo.where(F.coalesce("source", F.lit("")) != "")
         got = written(self.provider.audit(asked.select("case_number", "source", "summary")), "verdicts")
         answered = got.where("answer is not null")
         version = todo.agg(F.max("version")).first()[0] or 0
-        bill = self._bill(answered, AUDIT, f"version-{version}", 1.0)
+        spent = self._bill(answered.withColumn("batch", F.lit(f"version-{version}")), AUDIT, 1.0)
         verdicts = answered.join(todo.select("case_number", "version"), "case_number").select("case_number", "version", F.col("answer.severity").alias("severity"), F.col("answer.unsupported").alias("unsupported"))
         n = self._append(verdicts, "audits")
         demoted = verdicts.where("severity = 'severe'").count()
         n_asked = asked.count()
-        return {"kept": n_asked - demoted, "demoted": demoted, "failed": n_asked - n, "no_source": todo.count() - n_asked, "cost": bill.agg(cost.total_cost()).first()[0] if n else 0.0}
+        return {"kept": n_asked - demoted, "demoted": demoted, "failed": n_asked - n, "no_source": todo.count() - n_asked, "cost": spent if n else 0.0}
 
     def records(self) -> DataFrame:
         """Cases as they stand: row, strategy, documents, summary, status and reasons."""
@@ -300,7 +364,7 @@ class Runner:
     def fidelity(self, size: int) -> tuple[DataFrame, DataFrame]:
         """(one row of figures, the sampled rows) of delivered summaries audited anew against what they were made from."""
         delivered = written(evaluate.delivered(self.records()).select("case_number", "summary"), "delivered")
-        sample = sampling.uniform_stride(delivered.join(self.sources(), "case_number").where("source <> ''"), [F.col("case_number")], size)
+        sample = sampling.uniform_stride(delivered.join(self.sources(delivered), "case_number").where("source <> ''"), [F.col("case_number")], size)
         sample = written(sample, "sample")
         got = written(self.provider.audit(sample), "verdicts")
         priced = self._priced(got.where("answer is not null"), 1.0)

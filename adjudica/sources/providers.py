@@ -31,6 +31,7 @@ class BatchClient(Protocol):
     def create(self, requests: DataFrame) -> str: ...  # case_number, custom_id, text; the batch's id
     def status(self, batch: str) -> dict: ...  # ended, and how many are processing, succeeded, errored, canceled, expired
     def results(self, batch: str) -> DataFrame: ...  # custom_id, ok, answer, reason, usage, model
+    # optional: results_of(batches), the same for several, with the column batch
 
 
 class Store(Protocol):
@@ -80,19 +81,21 @@ class ProviderBatches:
         requests.select("case_number", "custom_id", "text").write.parquet(f"{self.folder}/{batch}")
         return batch
 
-    def _requests(self, batch: str) -> DataFrame:
-        return self.spark.read.schema("case_number string, custom_id string, text string").parquet(f"{self.folder}/{batch}")
-
     def status(self, batch: str) -> dict:
         state = F.when(F.col("ok"), "succeeded").otherwise("errored")
         counts = batch_counts(self.results(batch).select(F.lit(batch).alias("batch"), state.alias("state"))).first()
         return {"id": batch, "ended": True} | (counts.asDict() if counts else {})
 
     def results(self, batch: str) -> DataFrame:
-        asked = self._requests(batch)
-        got = self.ask(asked.select("case_number", "text")).join(asked.select("case_number", "custom_id"), "case_number")
+        return self.results_of([batch]).drop("batch")
+
+    def results_of(self, batches: list[str]) -> DataFrame:
+        asked = self.spark.read.schema("case_number string, custom_id string, text string").parquet(*[f"{self.folder}/{b}" for b in batches])
+        asked = asked.withColumn("batch", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
+        # a case stands in one batch, or in a later one again: the answer is the same
+        got = self.ask(asked.select("case_number", "text").dropDuplicates(["case_number"])).join(asked.select("case_number", "custom_id", "batch"), "case_number")
         ok = F.col("answer").isNotNull()
-        return got.select("custom_id", ok.alias("ok"), "answer", F.when(~ok, "errored").alias("reason"), "usage", "model")
+        return got.select("custom_id", ok.alias("ok"), "answer", F.when(~ok, "errored").alias("reason"), "usage", "model", "batch")
 
 
 def find_recording(asked: DataFrame, recordings: DataFrame) -> DataFrame:
