@@ -62,8 +62,9 @@ class Runner:
     log: Callable[[str], None] = lambda line: None
 
     def __post_init__(self) -> None:
-        for name, ask in ((MAP, self.provider.map), (STRUCTURE, self.provider.structure)):
-            self.clients.setdefault(name, providers.ProviderBatches(self.spark, f"{self.folder}/requests/{name}", ask))
+        for name in (MAP, STRUCTURE):
+            if name not in self.clients:
+                self.clients[name] = providers.ProviderBatches(self.spark, f"{self.folder}/requests/{name}", getattr(self.provider, name))
         if self.prices is None:
             self.prices, _ = cost.load_prices(self.spark, None)
 
