@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 import os
 import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adjudica.operators import attribution, cost, planning, rows, survey
+from adjudica.functions import scratch
+from adjudica.operators import attribution, catalogue, cost, planning, rows, survey
 from adjudica.plans import config, reports
 from adjudica.plans.policy import LEGAL
-from adjudica.plans.runner import MAP, STRUCTURE, Runner
-from adjudica.sources import documents, xlsx
+from adjudica.plans.runner import MAP, STRUCTURE, Reader, Runner
+from adjudica.sources import stores, xlsx
 from adjudica.sources.providers import Provider, Recorded
 
 STAGES = ("extract", "map-submit", "map-collect", "structure-submit", "structure-collect", "audit", "write")
@@ -28,7 +30,7 @@ def positive(text: str) -> int:
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="adjudica")
-    for name, what in (("workbook", "xlsx file, never written to"), ("sources", "folder of case files"), ("texts", "table of (id, text, pages)"), ("recordings", "JSON file of recorded answers"), ("prices", "JSON file of model prices"), ("state", "folder of tables, reports and the delivered copy"), ("header", "header of the summary column")):
+    for name, what in (("workbook", "xlsx file, never written to"), ("sources", "folder of case files"), ("texts", "table of (id, text, pages)"), ("manifest", "JSON list of more documents"), ("decoder", "module:function from bytes to (text, pages)"), ("catalogue", "JSON file of the claims' names"), ("provider", "module:function that makes a provider"), ("recordings", "JSON file of recorded answers"), ("prices", "JSON file of model prices"), ("state", "folder of tables, reports and the delivered copy"), ("header", "header of the summary column")):
         p.add_argument(f"--{name}", help=what)
     sub = p.add_subparsers(dest="command", required=True)
     for name in ("inspect", "coverage", "style", "run", "stage", "eval"):
@@ -42,6 +44,12 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
+def named(path: str) -> Callable:
+    """The function of a module:function."""
+    module, _, name = path.partition(":")
+    return getattr(importlib.import_module(module), name)
+
+
 class App:
     """One command over the settings; answers come from a provider of the caller's, else from recordings."""
 
@@ -52,30 +60,39 @@ class App:
         self.book = rows.with_state(xlsx.workbook_rows(table, self.column, c.case_column))
         self.targets = rows.targets(self.book).select("row", "case_number", "existing")
         self.provider = provider
-        self.policy = LEGAL.__class__(chunk=c.chunk, max_document_mb=c.max_document_mb)
+        claims = {"claims": tuple(r.canonical for r in catalogue.load(spark, c.catalogue).orderBy("idx").collect())} if c.catalogue else {}
+        self.policy = LEGAL.__class__(chunk=c.chunk, max_document_mb=c.max_document_mb, **claims)
+        folder = stores.Folder(spark, c.sources, self.policy.kinds, c.concurrency)
+        self.store = stores.Composite({"folder": folder, "manifest": stores.Manifest(spark, c.manifest, c.sources, self.policy.kinds, c.concurrency)}) if c.manifest else folder
 
     def runner(self) -> Runner:
         prices, default = cost.load_prices(self.spark, self.c.prices, self.policy)
         model = self.c.model or default
         if warning := cost.unpriced_warning(model, prices):
             self.say(warning)
-        if self.provider is None and not (self.c.demo and self.c.recordings):
+        if self.provider is None and not self.c.provider and not (self.c.demo and self.c.recordings):
             raise SystemExit("no recordings and no provider: nothing can answer")
-        provider = self.provider or Recorded(self.spark, self.c.recordings)
+        provider = self.provider or (named(self.c.provider)(self.spark, self.c) if self.c.provider else Recorded(self.spark, self.c.recordings))
         return Runner(self.spark, self.c.state, provider, self.policy, prices, model, attempts=self.c.retry_attempts, retry_max_s=self.c.retry_max_s, poll_seconds=self.c.poll_seconds, log=self.say)
 
     def documents(self, cases: DataFrame) -> DataFrame:
         """The case files, each with the first known case (in the sheet's order) that it belongs to."""
-        return attribution.attribute(documents.folder(self.spark, self.c.sources).drop("case_number"), attribution.indexed(cases))
+        return attribution.attribute(self.store.list().drop("case_number"), attribution.indexed(cases))
 
-    def texts(self) -> DataFrame:
-        return self.spark.read.parquet(self.c.texts)
+    def texts(self) -> DataFrame | Reader:
+        """A table of texts, or the store read by a decoder: only what is planned."""
+        if self.c.texts:
+            return self.spark.read.parquet(self.c.texts)
+        if not self.c.decoder:
+            raise SystemExit("no texts and no decoder: documents cannot be read")
+        decode = named(self.c.decoder)
+        return lambda wanted: self.store.texts(wanted, decode)
 
     def save(self, name: str, content: str) -> None:
         self.say(f"wrote {reports.save(self.spark, self.c.state, name, content)}")
 
     def coverage(self) -> None:
-        files = documents.folder(self.spark, self.c.sources)
+        files = self.store.list()
         plan = planning.reading_plan(self.documents(self.targets).where("case_number is not null"), self.targets.select("case_number"))
         steps = attribution.progression(files, self.targets)
         for r in steps.orderBy("step").collect():
@@ -140,8 +157,15 @@ def main(argv: list[str], provider: Provider | None = None, env: dict[str, str]
         a = _parser().parse_args(argv)
     except SystemExit as e:
         return 1 if e.code else 0
-    given = {f"{config.PREFIX}{k.upper()}": v for k in ("workbook", "sources", "texts", "recordings", "prices", "state", "header") if (v := getattr(a, k))}
-    app = App(SparkSession.builder.appName("adjudica").getOrCreate(), config.load((os.environ if env is None else env) | given), provider)
+    given = {f"{config.PREFIX}{k.upper()}": v for k in ("workbook", "sources", "texts", "manifest", "decoder", "catalogue", "provider", "recordings", "prices", "state", "header") if (v := getattr(a, k))}
+    spark = SparkSession.builder.appName("adjudica").getOrCreate()
+    try:
+        return _done(a, App(spark, config.load((os.environ if env is None else env) | given), provider))
+    finally:
+        scratch.clear(spark)
+
+
+def _done(a: argparse.Namespace, app: App) -> int:
     if a.command == "inspect":
         app.say(reports.inspect(app.book))
     elif a.command == "coverage":

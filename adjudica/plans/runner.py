@@ -43,6 +43,8 @@ TABLES = {
 }
 MAP, STRUCTURE, AUDIT, COMPARE = "map", "structure", "audit", "compare"
 DONE = {MAP: "maps", STRUCTURE: "cases"}
+#: ids to (id, text, pages[, error]) of these
+Reader = Callable[[DataFrame], DataFrame]
 
 
 @dataclass
@@ -106,11 +108,12 @@ class Runner:
         return state.last_row_wins(self.table("targets").withColumn("custom_id", keys.custom_id(F.col("case_number"))))
 
     # --- extract ----------------------------------------------------------------------------------------------------
-    def extract(self, targets: DataFrame, docs: DataFrame, texts: DataFrame, limit: int | None = None) -> dict[str, int]:
+    def extract(self, targets: DataFrame, docs: DataFrame, texts: DataFrame | Reader, limit: int | None = None) -> dict[str, int]:
         """targets(row, case_number[, existing]), docs(id, path, name, bytes, kind, case_number), texts(id, text, pages).
 
-        Counts targets, extracted, already_done, no_source and failed (cases whose documents have no text at all in
-        texts). What each case was read from, and why a document was not, is stored with its plan.
+        texts may be a function that is given the ids to read, and reads no others: those of plans, unless they are too
+        large. Counts targets, extracted, already_done, no_source and failed (cases whose documents have no text at all).
+        What each case was read from, and why a document was not, is stored with its plan, an error of reading too.
         """
         previous = F.col("existing") if "existing" in targets.columns else F.lit(None).cast("string")
         rows = targets.select(F.col("row").cast("int").alias("row"), "case_number", previous.alias("previous_text"))
@@ -119,14 +122,20 @@ class Runner:
         wanted = state.last_row_wins(wanted.withColumn("custom_id", keys.custom_id(F.col("case_number")))).select("case_number")
         todo = written(state.todo(wanted, self.table("texts").select("case_number").union(self.table("cases").select("case_number")), "case_number"), "todo")
         plan = planning.reading_plan(docs.where("case_number is not null").join(todo, "case_number", "left_semi"), todo, self.policy.kinds)
-        have = texts.select("id", "text", "pages", F.lit(True).alias("_read"))
-        read = plan.join(docs.select(F.col("id").alias("_id"), "name"), F.col("id") == F.col("_id"), "left").drop("_id").join(have, "id", "left")
-        why = F.when(F.col("id").isNotNull(), F.when(F.col("bytes") > self.policy.max_document_mb * 1024 * 1024, "too_large").when(F.col("_read").isNull(), "unread").otherwise(planning.skip_reason(F.col("bytes"), planning.is_scan(F.coalesce("text", F.lit("")), F.col("pages")), self.policy.max_document_mb)))
+        plan = written(plan.join(docs.select(F.col("id").alias("_id"), "name"), F.col("id") == F.col("_id"), "left").drop("_id"), "plan")
+        large = F.col("bytes") > self.policy.max_document_mb * 1024 * 1024
+        if callable(texts):
+            texts = written(texts(plan.where(F.col("id").isNotNull() & ~F.coalesce(large, F.lit(False))).select("id")), "texts")
+        error = F.col("error") if "error" in texts.columns else F.lit(None).cast("string")
+        have = texts.select("id", "text", "pages", error.alias("_error"), F.lit(True).alias("_read"))
+        read = plan.join(have, "id", "left")
+        unread = F.when(F.col("_error").isNotNull(), F.concat(F.lit("unread: "), F.left("_error", F.lit(200)))).when(F.col("_read").isNull(), "unread")
+        why = F.when(F.col("id").isNotNull(), F.when(large, "too_large").otherwise(F.coalesce(unread, planning.skip_reason(F.col("bytes"), planning.is_scan(F.coalesce("text", F.lit("")), F.col("pages")), self.policy.max_document_mb))))
         read = written(read.withColumn("why", why), "read")
         used = F.col("id").isNotNull() & F.col("why").isNull()
         joined = planning.case_text(read.where(used).select("case_number", "pos", "kind", "name", "text")).select("case_number", "text")
         n_texts = self._append(state.non_blank(joined), "texts")
-        counts = read.groupBy("case_number").agg(F.min("strategy").alias("strategy"), F.count_if(used).alias("n_used"), F.count_if(F.col("why") == "unread").alias("n_unread"))
+        counts = read.groupBy("case_number").agg(F.min("strategy").alias("strategy"), F.count_if(used).alias("n_used"), F.count_if(F.startswith("why", F.lit("unread"))).alias("n_unread"))
         self._append(planning.used_and_skipped(read.select("case_number", "pos", "name", "why")).join(counts, "case_number"), "plans")
         failed = counts.where("n_used = 0 and n_unread > 0").count()
         n_todo, n_wanted = todo.count(), wanted.count()
@@ -336,7 +345,7 @@ class Runner:
         verdict = grid.verification(diff, column, last_row).first().asDict()
         return counts | verdict | {"summary_column": column, "samples": [tuple(r) for r in grid.samples(diff, column).collect()]}
 
-    def run(self, targets: DataFrame, docs: DataFrame, texts: DataFrame, limit: int | None = None) -> dict[str, dict]:
+    def run(self, targets: DataFrame, docs: DataFrame, texts: DataFrame | Reader, limit: int | None = None) -> dict[str, dict]:
         """All stages but delivery."""
         out = {"extract": self.extract(targets, docs, texts, limit)}
         for round_ in (MAP, STRUCTURE):
@@ -345,7 +354,7 @@ class Runner:
         return out | {"audit": self.audit()}
 
     # --- measuring --------------------------------------------------------------------------------------------------
-    def generate(self, gold: DataFrame, docs: DataFrame, texts: DataFrame) -> DataFrame:
+    def generate(self, gold: DataFrame, docs: DataFrame, texts: DataFrame | Reader) -> DataFrame:
         """Summaries of approved cases for comparison, in a state folder of their own: case_number, summary, error.
 
         gold(row, case_number). Nothing here is ever delivered; a case without text or answer keeps a row with an error.
@@ -374,7 +383,7 @@ class Runner:
         figures = evaluate.fidelity_report(outcome).withColumn("population", F.lit(delivered.count()))
         return figures.crossJoin(F.broadcast(_spent(priced))), outcome
 
-    def parity(self, gold: DataFrame, docs: DataFrame, texts: DataFrame, size: int) -> tuple[DataFrame, DataFrame] | None:
+    def parity(self, gold: DataFrame, docs: DataFrame, texts: DataFrame | Reader, size: int) -> tuple[DataFrame, DataFrame] | None:
         """(one row of figures, the judged rows) of generated against approved summaries; None where none can be judged.
 
         gold(row, case_number, existing): those with a document are sampled, so that the sample is not short.

@@ -40,7 +40,7 @@ def _files(spark: SparkSession, root: str) -> tuple[DataFrame, Column]:
     """The files below a folder, and their paths relative to it."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     marker = root.rstrip("/").split("://")[-1].lstrip("/")
-    return files, F.regexp_replace(F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))), f"^.*?{_quoted(marker)}/", "")
+    return files, F.regexp_replace("path", f"^.*?{_quoted(marker)}/", "")
 
 
 def folder_contents(spark: SparkSession, root: str, wanted: DataFrame) -> DataFrame:
