@@ -614,6 +614,12 @@ def cell_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _diff(spark, sf_dir)
 
 
+@query(f"WITH {DIFF_SQL} SELECT * FROM diff")
+def range_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same differences, by hashes of ranges."""
+    return grid.differences_by_range(_cells(spark, sf_dir, False), _cells(spark, sf_dir, True))
+
+
 @query(f"WITH {DIFF_SQL} SELECT c, chr(64 + c) AS letter, count(*) AS n FROM diff GROUP BY c")
 def diff_by_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid.by_column(_diff(spark, sf_dir))

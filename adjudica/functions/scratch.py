@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _own_dir: list[str] = []
 #: tables this process wrote, by session
@@ -43,6 +43,13 @@ def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def counted(df: DataFrame, name: str, **figures: Column) -> tuple[DataFrame, dict]:
+    """written(), and figures of its rows (aggregates by name) that are taken in the pass that writes."""
+    seen = Observation()
+    back = written(df.observe(seen, *[c.alias(k) for k, c in figures.items()]), name)
+    return back, seen.get
+
+
 def clear(spark: SparkSession) -> int:
     """Call once results are written: removes the tables written for this session; how many went."""
     gone = _written.pop(id(spark._jsparkSession), [])

@@ -13,12 +13,12 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from adjudica.functions import keys
-from adjudica.functions.scratch import written
+from adjudica.functions.scratch import counted, written
 from adjudica.functions.text import trim_all
 from adjudica.operators import catalogue, cost, evaluate, gate, grid, planning, sampling, segmentation, state, structured
 from adjudica.plans.policy import LEGAL, Policy
@@ -78,12 +78,11 @@ class Runner:
             return self.spark.createDataFrame([], TABLES[name])
 
     def _append(self, df: DataFrame, name: str, mode: str = "append") -> int:
-        """Write the new rows of a stage; how many there were."""
-        new = written(df.select(*self.table(name).columns), name)
-        if n := new.count():
-            new.write.mode(mode).parquet(f"{self.folder}/{name}")
-            self.spark.catalog.refreshByPath(f"{self.folder}/{name}")
-        return n
+        """Write the new rows of a stage; how many there were, counted as they are written."""
+        seen = Observation()
+        df.select(*self.table(name).columns).observe(seen, F.count("*").alias("n")).write.mode(mode).parquet(f"{self.folder}/{name}")
+        self.spark.catalog.refreshByPath(f"{self.folder}/{name}")
+        return seen.get["n"]
 
     def _add(self, df: DataFrame, name: str) -> None:
         """Append rows that are cheap to work out: one job, no count."""
@@ -120,7 +119,9 @@ class Runner:
         n_targets = self._append(rows, "targets", "overwrite")
         wanted = state.first_n(rows, [F.col("row")], limit) if limit else rows
         wanted = state.last_row_wins(wanted.withColumn("custom_id", keys.custom_id(F.col("case_number")))).select("case_number")
-        todo = written(state.todo(wanted, self.table("texts").select("case_number").union(self.table("cases").select("case_number")), "case_number"), "todo")
+        done = self.table("texts").select("case_number").union(self.table("cases").select("case_number")).distinct().withColumn("_done", F.lit(True))
+        asked, n = counted(wanted.join(done, "case_number", "left"), "asked", wanted=F.count("*"), todo=F.count_if(F.col("_done").isNull()))
+        todo = asked.where("_done is null").select("case_number")
         plan = planning.reading_plan(docs.where("case_number is not null").join(todo, "case_number", "left_semi"), todo, self.policy.kinds)
         plan = written(plan.join(docs.select(F.col("id").alias("_id"), "name"), F.col("id") == F.col("_id"), "left").drop("_id"), "plan")
         large = F.col("bytes") > self.policy.max_document_mb * 1024 * 1024
@@ -136,10 +137,10 @@ class Runner:
         joined = planning.case_text(read.where(used).select("case_number", "pos", "kind", "name", "text")).select("case_number", "text")
         n_texts = self._append(state.non_blank(joined), "texts")
         counts = read.groupBy("case_number").agg(F.min("strategy").alias("strategy"), F.count_if(used).alias("n_used"), F.count_if(F.startswith("why", F.lit("unread"))).alias("n_unread"))
+        counts, read_of = counted(counts, "counts", failed=F.count_if((F.col("n_used") == 0) & (F.col("n_unread") > 0)))
         self._append(planning.used_and_skipped(read.select("case_number", "pos", "name", "why")).join(counts, "case_number"), "plans")
-        failed = counts.where("n_used = 0 and n_unread > 0").count()
-        n_todo, n_wanted = todo.count(), wanted.count()
-        return {"targets": n_targets, "extracted": n_texts, "already_done": n_wanted - n_todo, "no_source": n_todo - n_texts - failed, "failed": failed}
+        failed = read_of["failed"]
+        return {"targets": n_targets, "extracted": n_texts, "already_done": n["wanted"] - n["todo"], "no_source": n["todo"] - n_texts - failed, "failed": failed}
 
     # --- batch rounds -----------------------------------------------------------------------------------------------
     def _retried(self, call: Callable, label: str):
@@ -185,16 +186,16 @@ class Runner:
 
     def _bill(self, answers: DataFrame, round_: str, discount: float) -> float | None:
         """Store the usage of answers(…, batch) once, whatever becomes of them; what they cost together."""
-        usage = written(self._priced(answers, discount).withColumn("round", F.lit(round_)), "usage")
+        usage, n = counted(self._priced(answers, discount).withColumn("round", F.lit(round_)), "usage", cost=cost.total_cost())
         known = self.table("usage").where(F.col("round") == round_).select(F.col("batch").alias("_b"), F.col("case_number").alias("_c")).distinct()
         self._append(usage.join(known, F.col("batch").eqNullSafe(F.col("_b")) & F.col("case_number").eqNullSafe(F.col("_c")), "left_anti"), "usage")
-        return usage.agg(cost.total_cost()).first()[0]
+        return n["cost"]
 
     def _store(self, round_: str, answers: DataFrame) -> dict[str, int]:
         """answers(case_number, answer) that are new, into the round's table."""
         if round_ == MAP:
             return {"collected": self._append(state.non_blank(answers.select("case_number", F.col("answer").alias("text"))), "maps")}
-        checked = written(structured.validated(answers, "answer"), "checked")
+        checked, told = counted(structured.validated(answers, "answer"), "checked", n=F.count("*"))
         got = checked.where("valid")
         names = self.spark.createDataFrame(list(enumerate(self.policy.claims)), "idx int, canonical string")
         claims = got.select("case_number", F.posexplode("result.claims").alias("i", "c")).select("case_number", "i", "c.*")
@@ -203,10 +204,11 @@ class Runner:
         listed = fixed.groupBy("case_number").agg(F.array_sort(F.collect_list(F.struct("i", *fields))).alias("l"))
         listed = listed.select("case_number", F.transform("l", lambda x: F.struct(*[x[f].alias(f) for f in fields])).alias("claims"))
         records = gate.gated(got.select("case_number", trim_all(F.col("result.summary")).alias("summary"), F.col("result.outcome").alias("outcome")), gate=self.policy.gate)
-        new = written(records.join(listed, "case_number"), "records")
-        n = self.save_cases(new)
-        ready = new.where("status = 'writeable'").count()
-        invalid = checked.count() - n
+        new, of = counted(records.join(listed, "case_number"), "records", n=F.count("*"), ready=F.count_if(F.col("status") == "writeable"))
+        n, ready = of["n"], of["ready"]
+        if n:
+            self.save_cases(new)
+        invalid = told["n"] - n
         if invalid and "batch" in answers.columns:
             self._fail(round_, checked.where("not valid").select("batch", "case_number", "custom_id", F.lit("invalid").alias("outcome"), F.array_join("reasons", "; ").alias("reason")))
         return {"collected": n, "writeable": ready, "needs_review": n - ready, "invalid": invalid}
@@ -255,19 +257,22 @@ class Runner:
         requests.advance()
         until = self.table("epochs").where(F.col("round") == round_).agg(F.coalesce(F.max("epoch"), F.lit(-1))).first()[0]
         own = self.targets().select(F.col("custom_id").alias("_id"), "case_number")
-        fresh = written(requests.outcomes(until).join(own, F.col("custom_id") == F.col("_id"), "left").drop("_id"), "outcomes")
         good, paid = F.col("outcome").isin(stream.NEW, stream.LATE), F.coalesce("ok", F.lit(False)) & (F.col("outcome") != stream.REPEAT)
-        n = fresh.agg(F.max("epoch").alias("epoch"), F.count_if(F.col("outcome") == stream.REPEAT).alias("skipped"), F.count_if(F.col("outcome") == stream.EXPIRED).alias("expired"), F.count_if(~F.col("ok") & ~F.col("outcome").isin(stream.REPEAT, stream.EXPIRED)).alias("failed"), F.count_if(paid & (~good | F.col("case_number").isNull())).alias("invalid"), F.count_if(paid).alias("paid")).first()
-        out = {"collected": 0, "skipped": n.skipped, "failed": n.failed, "invalid": n.invalid, "expired": n.expired, "writeable": 0, "needs_review": 0, "pending": pending, "cost": 0.0}
-        if n.paid:
+        figures = {
+            "epoch": F.max("epoch"), "skipped": F.count_if(F.col("outcome") == stream.REPEAT), "expired": F.count_if(F.col("outcome") == stream.EXPIRED), "paid": F.count_if(paid),
+            "failed": F.count_if(~F.col("ok") & ~F.col("outcome").isin(stream.REPEAT, stream.EXPIRED)), "invalid": F.count_if(paid & (~good | F.col("case_number").isNull())),
+        }
+        fresh, n = counted(requests.outcomes(until).join(own, F.col("custom_id") == F.col("_id"), "left").drop("_id"), "outcomes", **figures)
+        out = {"collected": 0, "skipped": n["skipped"], "failed": n["failed"], "invalid": n["invalid"], "expired": n["expired"], "writeable": 0, "needs_review": 0, "pending": pending, "cost": 0.0}
+        if n["paid"]:
             out["cost"] = self._bill(fresh.where(paid), round_, self.policy.batch_discount)
             for k, v in self._store(round_, fresh.where(paid & good & F.col("case_number").isNotNull()).select("case_number", "answer", "batch", "custom_id")).items():
                 out[k] += v
-        if n.failed + n.expired + n.invalid:
+        if n["failed"] + n["expired"] + n["invalid"]:
             bad = ~F.coalesce("ok", F.lit(False)) & (F.col("outcome") != stream.REPEAT) | paid & (~good | F.col("case_number").isNull())
             self._fail(round_, fresh.where(bad).select("batch", "case_number", "custom_id", "outcome", F.coalesce("reason", F.lit("not asked for")).alias("reason")))
-        if n.epoch is not None:
-            self._add(self.spark.createDataFrame([(round_, n.epoch)], TABLES["epochs"]), "epochs")
+        if n["epoch"] is not None:
+            self._add(self.spark.createDataFrame([(round_, n["epoch"])], TABLES["epochs"]), "epochs")
         if ended:
             self._add(self.spark.createDataFrame([(round_, b) for b in ended], TABLES["collected"]), "collected")
         return out
@@ -310,17 +315,17 @@ class Runner:
         ready = self.cases().where((F.col("status") == "writeable") & (F.col("summary") != "")).select("case_number", "version", "summary")
         todo = ready.join(self.table("audits").select("case_number", "version"), ["case_number", "version"], "left_anti")
         todo = written(todo, "unaudited")
-        todo = written(todo.join(self.sources(todo), "case_number", "left"), "audited")
-        asked = todo.where(F.coalesce("source", F.lit("")) != "")
-        got = written(self.provider.audit(asked.select("case_number", "source", "summary")), "verdicts")
+        has_source = F.coalesce("source", F.lit("")) != ""
+        todo, n = counted(todo.join(self.sources(todo), "case_number", "left"), "audited", all=F.count("*"), asked=F.count_if(has_source), version=F.max("version"))
+        asked = todo.where(has_source)
+        severe = F.col("answer.severity") == "severe"
+        got, told = counted(self.provider.audit(asked.select("case_number", "source", "summary")), "verdicts", severe=F.count_if(severe))
         answered = got.where("answer is not null")
-        version = todo.agg(F.max("version")).first()[0] or 0
+        version = n["version"] or 0
         spent = self._bill(answered.withColumn("batch", F.lit(f"version-{version}")), AUDIT, 1.0)
         verdicts = answered.join(todo.select("case_number", "version"), "case_number").select("case_number", "version", F.col("answer.severity").alias("severity"), F.col("answer.unsupported").alias("unsupported"))
-        n = self._append(verdicts, "audits")
-        demoted = verdicts.where("severity = 'severe'").count()
-        n_asked = asked.count()
-        return {"kept": n_asked - demoted, "demoted": demoted, "failed": n_asked - n, "no_source": todo.count() - n_asked, "cost": spent if n else 0.0}
+        stored, demoted = self._append(verdicts, "audits"), told["severe"]
+        return {"kept": n["asked"] - demoted, "demoted": demoted, "failed": n["asked"] - stored, "no_source": n["all"] - n["asked"], "cost": spent if stored else 0.0}
 
     def records(self) -> DataFrame:
         """Cases as they stand: row, strategy, documents, summary, status and reasons."""
