@@ -21,6 +21,7 @@ from __future__ import annotations
 import html as entities
 import json
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
@@ -44,8 +45,10 @@ SALTS = 16
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 RAW = {n: re.compile(f"</{n}(?=[\\s/>])", re.I | re.A) for n in "script style textarea title noscript template iframe xmp".split()}
-DROPPED = frozenset("head script style noscript template iframe nav footer aside form button select textarea menu dialog svg canvas object audio video".split())
+DROPPED = frozenset("head script style noscript template iframe nav footer aside button select textarea menu dialog svg canvas object audio video".split())
 MAIN = frozenset("article main".split())
+#: elements that hold words: only a class of theirs that is such a word itself says that they are no article
+WORDED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote figcaption figure pre caption td th dt dd address summary".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 #: elements that an open one of the other names ends, as far as the list, table or select they stand in
 ENDED_BY = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
@@ -84,9 +87,13 @@ def tokens(page: str) -> Iterator[tuple[str, str, dict | str]]:
             yield "text", "", m[0]
 
 
-def _says_outside(value: str) -> int:
+def _says_outside(value: str, whole: bool = False) -> int:
+    """What the tokens of a class or id say; whole: none of their parts."""
     worst = INSIDE
     for token in value.lower().split():
+        if whole:
+            worst = max(worst, OUT if token in OUTSIDE and token not in LAYOUT else INSIDE)
+            continue
         parts = re.split(r"[-_]+", token)
         for word in {token, parts[0], parts[-1]} & OUTSIDE if parts[0] not in ABOUT else {token} & OUTSIDE:
             worst = max(worst, MAYBE if word in LAYOUT else OUT)
@@ -96,19 +103,28 @@ def _says_outside(value: str) -> int:
 def _outside(name: str, marks: dict, in_main: bool) -> int:
     if name in DROPPED or (name == "header" and not in_main):
         return OUT
+    least = MAYBE if name == "form" else INSIDE
     if not marks:
-        return INSIDE
+        return least
     if "hidden" in marks or marks.get("aria-hidden") == "true" or marks.get("role", "").lower() in OUTSIDE_ROLE:
         return OUT
-    # a header that is an article's own holds its headline
-    return INSIDE if name in WHOLE or name == "header" else max((_says_outside(marks[k]) for k in ("class", "id") if k in marks), default=INSIDE)
+    # a header that is an article's own holds its headline; what holds words has its id from them, and inside a block
+    # a class says how words look
+    if name in WHOLE or name == "header" or name in INLINE:
+        return INSIDE
+    if name in WORDED:
+        return _says_outside(marks.get("class", ""), whole=True)
+    return max((_says_outside(marks[k]) for k in ("class", "id") if k in marks), default=least)
 
 
 # A wrapper is {"root": node, "shared": {path: [hashes of what pages hold there, hashes of the texts all of them hold]}}.
 # A node is [label, outside, flags, kids]; a leaf is ["#", 0, flags, words, up to two hashes of what pages hold] in a
 # wrapper and ["#", 0, flags, block numbers] in a page. Flags: 1 optional, 2 repeated, 4 a group
-# whose elements come in any order. A group of neighbours has the label "()".
-LEAF, GROUP, OPTIONAL, REPEAT, WIDE = "#", "()", 1, 2, 4
+# whose elements come in any order, 8 a node for all classes of its name. A group of neighbours has the label "()".
+LEAF, GROUP, OPTIONAL, REPEAT, WIDE, ANY = "#", "()", 1, 2, 4, 8
+#: more labels of one element's name in a group than this are one node of that name, so that names made for each page
+#: do not make a wrapper grow with the pages; and so many paths keep the texts of a single page
+LABELS, PATHS = 16, 1000
 #: elements nested deeper share the node they stand in, so that pages of unclosed elements stay shallow trees
 DEEPEST = 100
 #: more neighbours than this, folded, are one repeated group of optional elements
@@ -225,6 +241,19 @@ def _widened(kids: list[list], one_page: bool) -> list[list]:
             todo += reversed(n[3])
         else:
             by_label[n[0]] = _merge(by_label[n[0]], n, one_page) if n[0] in by_label else n
+    by_name: dict[tuple[str, int], list[str]] = {}
+    for label, n in by_label.items():
+        if label != LEAF and n[1] != MAYBE:
+            by_name.setdefault((label.split(".")[0], n[1]), []).append(label)
+    for (name, outside), labels in by_name.items():
+        if len(labels) > LABELS:
+            # what is outside and what is not stay apart
+            label = name if outside == INSIDE else f"{name}.(outside)"
+            one = None
+            for k in labels:
+                n = [label, *by_label.pop(k)[1:]]
+                one = n if one is None else _merge(one, n, one_page)
+            by_label[label] = [*one[:2], one[2] | ANY | REPEAT, *one[3:]]
     return [[GROUP, INSIDE, REPEAT | WIDE, _optional(list(by_label.values()))]]
 
 
@@ -318,6 +347,9 @@ def both(a: dict, b: dict) -> dict:
             own, known = shared[path]
             held, texts = sorted({*own, *held})[:DISTINCT], sorted(set(known) & set(texts))
         shared[path] = [held, texts]
+    if len(shared) > PATHS:
+        several = {p: x for p, x in shared.items() if len(x[0]) > 1}
+        shared = several | dict(sorted((p, x) for p, x in shared.items() if p not in several)[: max(0, PATHS - len(several))])
     return {"root": _merge(a["root"], b["root"], False), "shared": shared}
 
 
@@ -363,7 +395,7 @@ def decided(wrapper: dict) -> list:
         if node[0] != LEAF:
             path = path if node[0] in ("", GROUP) else f"{path}/{node[0]}"
             return [*node[:3], [told(k, within, gone, path) for k in node[3]], within and not gone]
-        held, texts = wrapper["shared"][path]
+        held, texts = wrapper["shared"].get(path, ((), ()))
         return [LEAF, within and not gone, texts if len(held) >= DISTINCT else []]
 
     return told(wrapper["root"], False, False, "")
@@ -400,6 +432,14 @@ def _named(kids: list[list], label: str) -> list | None:
     return None
 
 
+def _like(kids: list[list], label: str) -> list | None:
+    """The node of a label, else the one that stands for all classes of its name."""
+    found = _named(kids, label)
+    if found is None and (found := _named(kids, label.split(".")[0])) and not found[2] & ANY:
+        return None
+    return found
+
+
 def _match(node: list, wrapper: list | None, kept: set[int], template: dict[int, list], within: bool = False) -> None:
     """Which blocks of a page the wrapper's article leaves take, and what template they may hold.
 
@@ -422,7 +462,7 @@ def _match(node: list, wrapper: list | None, kept: set[int], template: dict[int,
             continue
         if w is None:
             hi = next((at[id(p)] for p in pairs[i + 1 :] if p is not None), len(kids))
-            w = _named(kids[lo:hi], k[0]) or _named(kids, k[0])
+            w = _like(kids[lo:hi], k[0]) or _like(kids, k[0])
         else:
             lo = at[id(w)]
         if k[0] != LEAF:
@@ -453,6 +493,8 @@ def read(page: str, wrapper: list) -> str:
 
 
 PARTIAL = "host string, wrapper string"
+#: every page carries its host's wrapper, so it is packed
+PACKED = "host string, wrapper binary"
 PARTIAL_ARROW = pa.schema([("host", pa.string()), ("wrapper", pa.string())])
 
 
@@ -479,7 +521,9 @@ def _joined(last: bool):
         host, made = None, None
 
         def row() -> pa.RecordBatch:
-            return pa.record_batch([pa.array([host]), pa.array([json.dumps(decided(made) if last else made, separators=(",", ":"))])], schema=PARTIAL_ARROW)
+            text = json.dumps(decided(made) if last else made, separators=(",", ":"))
+            packed = pa.array([zlib.compress(text.encode())], pa.binary()) if last else pa.array([text])
+            return pa.record_batch([pa.array([host]), packed], names=["host", "wrapper"])
 
         for part in batches:
             for h, w in zip(part.column("host").to_pylist(), part.column("wrapper").to_pylist(), strict=True):
@@ -495,13 +539,13 @@ def _joined(last: bool):
 
 
 def wrappers(pages: DataFrame, work: C.Scratch) -> DataFrame:
-    """host, wrapper (decided, as JSON) of each host, from all its pages."""
+    """host, wrapper (decided, as packed JSON) of each host, from all its pages."""
     own = pages.select(_host(F.col("url")).alias("host"), F.col("html").cast("string").alias("html"))
     partial = work.write(own.mapInArrow(_partials, PARTIAL), "partial")
     n = C.buckets_of(pages.sparkSession)
     salted = partial.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(SALTS))).repartition(n, "host", "salt").sortWithinPartitions("host", "salt", "wrapper")
     once = salted.select("host", "wrapper").mapInArrow(_joined(False), PARTIAL)
-    return once.repartition(n, "host").sortWithinPartitions("host", "wrapper").mapInArrow(_joined(True), PARTIAL)
+    return once.repartition(n, "host").sortWithinPartitions("host", "wrapper").mapInArrow(_joined(True), PACKED)
 
 
 def _host(url: Column) -> Column:
@@ -516,7 +560,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if w not in known:
                 if len(known) >= HELD_HOSTS:
                     known.clear()
-                known[w] = json.loads(w) if w else ["", INSIDE, 0, [], False]
+                known[w] = json.loads(zlib.decompress(w)) if w else ["", INSIDE, 0, [], False]
             out.append(read(page or "", known[w]))
         texts = pa.array(out, pa.string())
         yield pa.record_batch([batch.column("page_id"), batch.column("url"), texts, pc.utf8_length(texts).cast(pa.int64())], names=["page_id", "url", "text", "n_chars"])
@@ -531,7 +575,7 @@ def extract(pages: DataFrame) -> DataFrame:
     """
     work = C.Scratch(pages.sparkSession, "html")
     made = work.write(wrappers(pages, work).withColumnRenamed("host", "of"), "wrappers")
-    size = made.agg(F.coalesce(F.sum(F.length("of") + F.length("wrapper") + 32), F.lit(0))).first()[0]
+    size = made.agg(F.coalesce(F.sum(F.octet_length("of") + F.octet_length("wrapper") + 32), F.lit(0))).first()[0]
     own = pages.select(F.col("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")).withColumn("host", _host(F.col("url")))
     joined = own.join(F.broadcast(made) if size <= BROADCAST_BYTES else made, F.col("host") == F.col("of"), "left")
     kind = dict(pages.dtypes)["page_id"]
