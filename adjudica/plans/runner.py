@@ -342,11 +342,12 @@ class Runner:
         last_row = before.agg(F.coalesce(F.max("r"), F.lit(0))).first()[0]
         own = before.where(F.col("c") == column).select(F.col("r").alias("row"), "approved")
         actions = grid.write_actions(self.records().select("row", "status", "summary"), own, last_row)
-        # at most as many as the workbook has rows
-        changes = [(r.row, r.action, r.summary or "") for r in actions.collect()]
-        xlsx.write_copy(workbook, output, changes, column)
+        seen = Observation()
+        kinds = ("written", "flagged", "skippedApproved", "missingRow")
+        actions = actions.observe(seen, *[F.count_if(F.col("action") == k).alias(k) for k in kinds])
+        xlsx.save_copy(actions.select("row", "action", F.col("summary").alias("text")), workbook, output, column)
+        counts = {k: seen.get[k] for k in kinds}
         diff = grid.differences(before, xlsx.cells(self.spark, output))
-        counts = {a: sum(x == a for _, x, _ in changes) for a in ("written", "flagged", "skippedApproved", "missingRow")}
         verdict = grid.verification(diff, column, last_row).first().asDict()
         return counts | verdict | {"summary_column": column, "samples": [tuple(r) for r in grid.samples(diff, column).collect()]}
 

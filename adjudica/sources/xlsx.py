@@ -1,19 +1,25 @@
 """Spreadsheet edge: cells of an .xlsx file as rows, and guarded copies with changed cells. Standard library only.
 
 The container's XML is read on one executor task per file (a spreadsheet is no splittable format); everything after it
-works on the cell table. ``xlsxcells`` is registered as a Python data source.
+works on the cell table. ``xlsxcells`` is registered as a Python data source, ``xlsxcopy`` as a sink.
 """
 
 from __future__ import annotations
 
+import json
+import os
 import re
+import shutil
+import uuid
 import zipfile
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from xml.etree import ElementTree as ET
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
 from adjudica.operators import grid
 
@@ -116,6 +122,72 @@ class _Reader(DataSourceReader):
         yield from read_cells(self.path)
 
 
+@dataclass
+class Patches(WriterCommitMessage):
+    """Where a task has put its changes, and how many of each action."""
+
+    path: str
+    counts: dict[str, int]
+
+
+class XlsxCopy(DataSource):
+    """changes(row, action, text).write.format("xlsxcopy").options(source=…, column=…).mode("append").save(target)
+
+    Tasks put their changes in a folder beside the target, which all executors share; the copy is made once all have, and
+    takes its place whole. A write that fails leaves neither a copy nor the folder.
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "xlsxcopy"
+
+    def schema(self) -> str:
+        return "row int, action string, text string"
+
+    def writer(self, schema, overwrite: bool) -> DataSourceWriter:
+        return _Copy(self.options["source"], self.options["path"], int(self.options["column"]))
+
+
+class _Copy(DataSourceWriter):
+    def __init__(self, source: str, target: str, column: int) -> None:
+        if source == target:
+            raise ValueError("the source is never overwritten")
+        self.source, self.target, self.column = source, target, column
+        self.folder = f"{target}.{uuid.uuid4().hex[:8]}"
+
+    def write(self, rows: Iterator[Row]) -> WriterCommitMessage:
+        os.makedirs(self.folder, exist_ok=True)
+        # an attempt of its own: one that is lost leaves a file that nobody names
+        path, counts = f"{self.folder}/{uuid.uuid4().hex}", Counter()
+        with open(path, "w", encoding="utf-8") as f:
+            for r in rows:
+                counts[r.action] += 1
+                f.write(json.dumps([r.row, r.action, r.text or ""]) + "\n")
+        return Patches(path, dict(counts))
+
+    def commit(self, messages: list[WriterCommitMessage | None]) -> None:
+        changes = []
+        for m in messages:
+            if m is not None:
+                with open(m.path, encoding="utf-8") as f:
+                    changes += [tuple(json.loads(line)) for line in f]
+        whole = f"{self.folder}/copy"
+        os.makedirs(self.folder, exist_ok=True)
+        write_copy(self.source, whole, sorted((c for c in changes if c[0] is not None), key=lambda c: c[0]), self.column)
+        os.replace(whole, self.target)
+        shutil.rmtree(self.folder, ignore_errors=True)
+
+    def abort(self, messages: list[WriterCommitMessage | None]) -> None:
+        shutil.rmtree(self.folder, ignore_errors=True)
+
+
+def save_copy(changes: DataFrame, source: str, target: str, column: int) -> None:
+    """Write a copy of a workbook with changes(row, action, text), by tasks and a commit."""
+    changes.sparkSession.dataSource.register(XlsxCopy)
+    own = changes.select(F.col("row").cast("int").alias("row"), "action", F.col("text").cast("string").alias("text"))
+    own.write.format("xlsxcopy").option("source", source).option("column", str(column)).mode("append").save(target)
+
+
 def cells(spark: SparkSession, path: str) -> DataFrame:
     """The cell table of a file, with approved."""
     spark.dataSource.register(XlsxCells)
