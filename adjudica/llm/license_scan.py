@@ -26,16 +26,18 @@ TEMPLATES = {
     "mit": [
         "released under the mit license",
         "*license identifier mit",
-        "permission is hereby granted free of charge to any person obtaining a copy of this software",
-        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions",
+        "permission is hereby granted free of charge to any person obtaining a copy of *this software",
+        "permission is hereby granted free of charge to any person obtaining a copy of *this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions",
         "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",
-        "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software",
+        "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the *authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software",
     ],
     "apache-2": [
         "licensed under the apache license version 2 0",
         "*license identifier apache 2 0",
         "licensed under the *apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at",
         "you may not use this file except in compliance with the license",
+        "subject to the terms and conditions of this license each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable *copyright license to reproduce prepare derivative works of publicly display publicly perform sublicense and distribute the work and such derivative works in source or object form",
+        "you must cause any modified files to carry prominent notices stating that you changed the files and you must retain in the source form of any *derivative works that you distribute all copyright patent trademark and attribution notices from the source form of the work",
         "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license",
     ],
     "bsd": [
@@ -58,10 +60,13 @@ TEMPLATES = {
     "gpl-2": [
         "this program is free software you can redistribute it and or modify it under the terms of the *gnu general public license as published by the free software foundation either *version 2 of the license or at your option any later version",
         "licensed under the gnu general public *license version 2",
+        "the licenses for *most software are designed to take away your freedom to share and change it by contrast the gnu general public *license is intended to guarantee your freedom to share and change free software",
         "*license identifier gpl *2 0",
     ],
     "gpl-3": [
         "this work is licensed under the gnu general public *license version 3",
+        "the *gnu general public license is a free copyleft license for software and other kinds of works",
+        "*gnu general public license version 3 29 june 2007",
         "this program is free software you can redistribute it and or modify it under the terms of the *gnu general public license as published by the free software foundation either *version 3 of the license or at your option any later version",
         "*license identifier gpl *3 0",
     ],
@@ -73,6 +78,7 @@ TEMPLATES = {
     "agpl-3": [
         "this program is free software you can redistribute it and or modify it under the terms of the gnu *affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
         "*license identifier agpl *3 0",
+        "the gnu *affero general public license is a free copyleft license for software and other kinds of works",
     ],
     "mpl-2": [
         "this source code form is subject to the terms of the *mozilla public license v 2 0 if a copy of the mpl was not distributed with this file you can obtain one at",
@@ -80,7 +86,15 @@ TEMPLATES = {
     ],
     "epl-2": ["this program and the accompanying materials are made available under the terms of the *eclipse public license 2 0"],
     "zlib": ["this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software"],
-    "boost-1": ["*boost software license version 1 0"],
+    "boost-1": [
+        "*boost software license version 1 0",
+        "permission is hereby granted free of charge to any person or *organization obtaining a copy of the software and accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software",
+        "in no event shall the copyright holders or *anyone distributing the software be liable for any damages or other liability whether in contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software",
+    ],
+    "ofl-1": [
+        "this font software is licensed under the sil *open font license version 1 1",
+        "permission is hereby granted free of charge to any person obtaining a copy of the *font software to use study copy merge embed modify redistribute and sell modified and unmodified copies of the font software subject to the following conditions",
+    ],
     "unlicense": ["this is free and unencumbered software released into the public domain", "anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means"],
     "cc0": ["to the extent possible under law the author has waived all copyright and related or neighboring rights to this work", "this work is licensed under *cc0 1 0 universal"],
     "cc-by": ["this work is licensed under a creative commons *attribution 4 0 international license", "this work is licensed under *cc by 4 0"],
