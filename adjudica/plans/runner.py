@@ -24,6 +24,7 @@ from adjudica.operators import catalogue, cost, evaluate, gate, grid, planning,
 from adjudica.plans.policy import LEGAL, Policy
 from adjudica.sources import providers, xlsx
 from adjudica.streaming import requests as stream
+from adjudica.streaming.stages import NewRows
 
 CLAIMS = "array<struct<raw_claim:string,canonical_claim:string,outcome:string,later_decision:string,notes:string,confidence:string>>"
 TOKENS = ("input_tokens", "output_tokens", "cache_write_tokens", "cache_read_tokens")
@@ -35,6 +36,7 @@ TABLES = {
     "announced": "round string, batch string",
     "collected": "round string, batch string",
     "epochs": "round string, epoch bigint",
+    "entered": "round string, epoch bigint",
     "failures": "round string, batch string, case_number string, custom_id string, outcome string, reason string",
     "usage": f"round string, batch string, case_number string, model string, {', '.join(f'{t} bigint' for t in TOKENS)}, cost_usd double, priced_with string",
     "maps": "case_number string, text string",
@@ -43,6 +45,8 @@ TABLES = {
 }
 MAP, STRUCTURE, AUDIT, COMPARE = "map", "structure", "audit", "compare"
 DONE = {MAP: "maps", STRUCTURE: "cases"}
+#: the table whose new rows enter a round
+ENTERS = {MAP: "texts", STRUCTURE: "maps"}
 #: ids to (id, text, pages[, error]) of these
 Reader = Callable[[DataFrame], DataFrame]
 
@@ -160,12 +164,30 @@ class Runner:
             return segmentation.segment(todo, policy=self.policy.segmentation).select("case_number", F.col("segmented").alias("text"))
         return state.todo(self.table("maps").select("case_number", "text"), self.table("cases"), "case_number")
 
+    def _entering(self, round_: str) -> tuple[DataFrame, int | None]:
+        """case_number, text of what is to be asked, and the epoch it is asked up to: cases that are new in the table
+        before, and those that failed; neither done nor in an open batch. Old texts are not gone through."""
+        name = ENTERS[round_]
+        new = NewRows(self.spark, f"{self.folder}/{name}", TABLES[name], ["case_number"], f"{self.folder}/stream/{round_}-entered")
+        if not self.table(name).isEmpty():
+            new.advance()
+        until = self.table("entered").where(F.col("round") == round_).agg(F.coalesce(F.max("epoch"), F.lit(-1))).first()[0]
+        failed = self.table("failures").where((F.col("round") == round_) & F.col("case_number").isNotNull()).select("case_number")
+        entered, n = counted(new.found(until), "entered", epoch=F.max("epoch"))
+        cases = entered.select("case_number").unionByName(failed).distinct()
+        todo = state.todo(cases, self.table(DONE[round_]), "case_number", self.open_batches(round_))
+        todo, some = counted(todo, "todo", n=F.count("*"))
+        texts = self.table(name).join(todo, "case_number", "left_semi").select("case_number", "text")
+        if round_ == MAP:
+            texts = segmentation.segment(texts, policy=self.policy.segmentation).select("case_number", F.col("segmented").alias("text"))
+        return (texts if some["n"] else texts.limit(0)), n["epoch"]
+
     def submit(self, round_: str) -> list[str]:
         """Make batches of all that is neither done nor in an open batch; each id is stored before the next is made.
 
         Requests are written once, a folder for each chunk, so a batch reads its own rows only.
         """
-        todo = self._wanted(round_).join(self.open_batches(round_).select("case_number"), "case_number", "left_anti")
+        todo, epoch = self._entering(round_)
         numbered = sampling.chunked(todo, [F.col("case_number")], self.policy.chunk).withColumn("custom_id", keys.custom_id(F.col("case_number")))
         requests = written(numbered, "requests", by="chunk")
         chunks = sorted(r.chunk for r in requests.select("chunk").distinct().collect())
@@ -176,6 +198,8 @@ class Runner:
             self._add(part.select(F.lit(round_).alias("round"), F.lit(batch).alias("batch"), "case_number", "custom_id"), "batches")
             made.append(batch)
             self.log(f"  batch {len(made)}: {batch}")
+        if epoch is not None:
+            self._add(self.spark.createDataFrame([(round_, epoch)], TABLES["entered"]), "entered")
         return made
 
     def _priced(self, answers: DataFrame, discount: float) -> DataFrame:
@@ -194,7 +218,11 @@ class Runner:
     def _store(self, round_: str, answers: DataFrame) -> dict[str, int]:
         """answers(case_number, answer) that are new, into the round's table."""
         if round_ == MAP:
-            return {"collected": self._append(state.non_blank(answers.select("case_number", F.col("answer").alias("text"))), "maps")}
+            n = self._append(state.non_blank(answers.select("case_number", F.col("answer").alias("text"))), "maps")
+            if "batch" in answers.columns:
+                empty = answers.where(trim_all(F.coalesce("answer", F.lit(""))) == "")
+                self._fail(round_, empty.select("batch", "case_number", "custom_id", F.lit("invalid").alias("outcome"), F.lit("empty answer").alias("reason")))
+            return {"collected": n}
         checked, told = counted(structured.validated(answers, "answer"), "checked", n=F.count("*"))
         got = checked.where("valid")
         names = self.spark.createDataFrame(list(enumerate(self.policy.claims)), "idx int, canonical string")

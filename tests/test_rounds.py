@@ -116,6 +116,38 @@ def test_overdue_requests_are_asked_again(spark, runner):
     assert (again["collected"], again["skipped"], again["cost"]) == (0, 2, 0.0) and r.table("maps").count() == 2
 
 
+def test_new_rows_enter_once(spark, runner, monkeypatch):
+    """A second run sees the new case alone, and what a broken submission left over."""
+    r = runner(CASES[:3], chunk=2)
+    queue = r.clients[MAP]
+    make, made = queue.create, []
+
+    def once(requests):
+        if made:
+            raise OSError("down")
+        made.append(1)
+        return make(requests)
+
+    r.attempts, r.sleep = 1, lambda s: None
+    with monkeypatch.context() as m:
+        m.setattr(queue, "create", once)
+        with pytest.raises(RuntimeError, match="down"):
+            r.submit(MAP)
+    assert r.submit(MAP) == ["b2"] and [k for k, _, _ in queue.asked["b2"]] == CASES[2:3]
+    new = spark.createDataFrame([(CASES[3], "text of the fourth")], "case_number string, text string")
+    r._append(new, "texts")
+    r._append(spark.createDataFrame([(9, CASES[3], None)], "row int, case_number string, previous_text string"), "targets")
+    seen = []
+    entering = Runner._entering
+    monkeypatch.setattr(Runner, "_entering", lambda self, round_: seen.append(entering(self, round_)) or seen[-1])
+    assert r.submit(MAP) == ["b3"] and [x.case_number for x in seen[-1][0].collect()] == CASES[3:4]
+    queue.answer = lambda k: " " if k == CASES[3] else f"map of {k}"
+    queue.ended = {"b1", "b2", "b3"}
+    assert r.collect(MAP)["collected"] == 3
+    assert r.submit(MAP) == ["b4"], "a blank answer is asked again"
+    assert [x.reason for x in r.table("failures").collect()] == ["empty answer"]
+
+
 def test_failures_keep_their_reasons(spark, runner):
     r = runner(CASES[:3], chunk=5, answer=lambda k: None if k == CASES[0] else f"map of {k}")
     r.submit(MAP)
