@@ -12,10 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adjudica.functions.scratch import written
+from adjudica.functions.scratch import counted
 
 #: levels below the threshold, as shares of it; at the last any common bigram counts
-LEVELS = (1.0, 0.6, 0.3, 0.0)
+LEVELS = (1.0, 0.5, 0.0)
 #: what is taken off before rounding up, so that sums of doubles do not lose a pair
 TINY = 1e-9
 
@@ -48,23 +48,22 @@ def best(names: DataFrame, catalogue: DataFrame, threshold: float) -> DataFrame:
     rarity = entry.groupBy("token").agg(F.count("*").alias("f"))
     order = F.struct("f", "token")
     sets = entry.join(rarity, "token").groupBy("idx").agg(F.array_sort(F.collect_list(order)).alias("tokens"))
-    sets = written(sets.select("idx", F.transform("tokens", lambda t: t["token"]).alias("tokens"), F.size("tokens").alias("m")), "sets")
-    widest = sets.agg(F.coalesce(F.max("m"), F.lit(1))).first()[0]
+    sets, seen = counted(sets.select("idx", F.transform("tokens", lambda t: t["token"]).alias("tokens"), F.size("tokens").alias("m")), "sets", widest=F.max("m"))
     known = _grams(names.select("key").distinct(), "key", "key").join(rarity, "token", "left").groupBy("key")
     known = known.agg(F.array_sort(F.collect_list(F.when(F.col("f").isNotNull(), order))).alias("tokens"), F.count("*").cast("int").alias("n"))
-    open_ = written(known.select("key", F.transform("tokens", lambda t: t["token"]).alias("tokens"), "n", F.lit(0.0).alias("bound")).where(F.size("tokens") > 0), "open")
+    known = known.select("key", F.transform("tokens", lambda t: t["token"]).alias("tokens"), "n", F.lit(0.0).alias("bound"))
+    open_, n = counted(known.where(F.size("tokens") > 0), "open", open=F.count("*"))
     found = []
     for share in LEVELS:
-        level = threshold * share
-        if share < 1 and open_.isEmpty():
+        if found and not n["open"]:
             break
-        last = share == LEVELS[-1]
-        got = written(_level(open_, sets, level, widest), "level")
-        found.append(got if last else got.where(F.col("score") >= level))
-        if not last:
-            lower = got.where(F.col("score") < level).select(F.col("key").alias("_key"), "score")
-            rest = open_.join(got.where(F.col("score") >= level).select("key"), "key", "left_anti").join(lower, F.col("key") == F.col("_key"), "left")
-            open_ = written(rest.select("key", "tokens", "n", F.greatest("bound", F.coalesce("score", F.lit(0.0))).alias("bound")), "open")
+        level = threshold * share
+        # at the last level whatever is found is certain
+        done = F.coalesce(F.col("score") >= level, F.lit(False))
+        got = _level(open_, sets, level, seen["widest"] or 1).withColumnRenamed("key", "_key")
+        step, n = counted(open_.join(got, F.col("key") == F.col("_key"), "left").drop("_key"), "level", open=F.count_if(~done))
+        found.append(step.where(done).select("key", "idx", "score"))
+        open_ = step.where(~done).select("key", "tokens", "n", F.greatest("bound", F.coalesce("score", F.lit(0.0))).alias("bound"))
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
