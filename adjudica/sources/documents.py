@@ -49,7 +49,9 @@ def folder_contents(spark: SparkSession, root: str, wanted: DataFrame) -> DataFr
     ids = wanted.select(F.col("id").alias("_id")).distinct()
     listed = files.select(path.alias("_id"), "path").join(ids, "_id")
     paths = [r.path for r in listed.limit(MOST_PATHS + 1).collect()]
-    if 0 < len(paths) <= MOST_PATHS:
+    if not paths:
+        return spark.createDataFrame([], "id string, content binary")
+    if len(paths) <= MOST_PATHS:
         files = spark.read.format("binaryFile").load([p.replace("{", "\\{").replace("[", "\\[").replace("*", "\\*").replace("?", "\\?") for p in paths])
     return files.select(path.alias("id"), "content").join(ids, F.col("id") == F.col("_id"), "left_semi")
 
