@@ -5,7 +5,8 @@ common, the one that comes first in an order by frequency is therefore among the
 rarest where these do not overlap. The edit is on one side of it: the other side is the same in both words, and so is one
 half of the side with the edit, at its place. Words meet by an equi-join on a rare bigram with these letters, so lists stay
 short however many words there are, and what meets is verified. The words of a corpus are counted in the tasks that read
-the texts; texts are never shuffled.
+the texts; texts are never shuffled. All joins are by shuffles: Spark takes a written table for as large as its compressed
+files, and would send one of 10 MB through the driver, with eight keys to a row.
 """
 
 from __future__ import annotations
@@ -203,7 +204,7 @@ def near_words(words: DataFrame, work: C.Scratch) -> DataFrame:
     def rows(keys: list[Column], word: str, n: str) -> DataFrame:
         return posted.select(F.col("word").alias(word), F.col("n").alias(n), F.explode(F.array_compact(F.array(*keys))).alias("key"))
 
-    met = rows([*same, *shorter], "a", "n_a").join(rows([*same, *longer], "b", "n_b"), "key")
+    met = rows([*same, *shorter], "a", "n_a").join(rows([*same, *longer], "b", "n_b").hint("merge"), "key")
     met = met.where(((F.length("a") < F.length("b")) | (F.col("a") < F.col("b"))) & (F.levenshtein("a", "b", 1) == 1))
     swap = F.col("a") > F.col("b")
     pair = [F.least("a", "b").alias("a"), F.when(swap, F.col("n_b")).otherwise(F.col("n_a")).alias("n_a"), F.greatest("a", "b").alias("b"), F.when(swap, F.col("n_a")).otherwise(F.col("n_b")).alias("n_b")]
@@ -215,7 +216,7 @@ def _roots(forms: DataFrame, work: C.Scratch) -> DataFrame:
     ways = work.write(forms.select("word", F.col("form").alias("root")), "ways")
     while True:
         further = ways.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        step = work.write(ways.join(further, "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "ways")
+        step = work.write(ways.join(further.hint("merge"), "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "ways")
         work.drop(ways)
         ways = step.drop("moved")
         ways._adjudica_path = step._adjudica_path
@@ -240,5 +241,5 @@ def variants(docs: DataFrame) -> DataFrame:
     much = F.col("best.near_n") >= TIMES * F.col("best.own")
     best = work.write(best.select("word", "n_near", F.when(much, F.col("best.near")).alias("form"), F.when(much, F.col("best.near_n")).alias("form_n")), "best")
     root = _roots(best.where("form is not null"), work)
-    out = words.join(best, "word", "left").join(root, "word", "left")
+    out = words.join(best.hint("merge"), "word", "left").join(root.hint("merge"), "word", "left")
     return out.select("word", "form", F.coalesce("root", "word").alias("root"), "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), "form_n")

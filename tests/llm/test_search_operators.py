@@ -223,3 +223,18 @@ def test_spelling_counts_are_sent_in_parts(spark, prose, monkeypatch):
         for w, n in zip(b.column("word").to_pylist(), b.column("n").to_pylist(), strict=True):
             parts[w] += n
     assert parts == whole and rows > len(whole)
+
+
+def test_spelling_words_do_not_pass_the_driver(spark, prose, monkeypatch):
+    """Tables of words grow with the corpus: no step broadcasts one, however small its compressed files are."""
+    plans, write = [], _common.Scratch.write
+
+    def noted(self, df, tag, by=None):
+        plans.append((tag, df._jdf.queryExecution().executedPlan().toString()))
+        return write(self, df, tag, by)
+
+    monkeypatch.setattr(_common.Scratch, "write", noted)
+    out = spelling_variants.variants(spark.createDataFrame(prose, "doc_id long, text string"))
+    plans.append(("out", out._jdf.queryExecution().executedPlan().toString()))
+    assert {"pairs", "ways", "out"} <= {tag for tag, plan in plans if "SortMergeJoin" in plan}
+    assert not [tag for tag, plan in plans if "Broadcast" in plan]
