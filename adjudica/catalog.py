@@ -407,7 +407,7 @@ def similarity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     m, dash = F.col("p_partkey") % 5, F.lit("--")
     name = F.when(m == 0, F.concat(F.upper("p_name"), dash, "p_brand", dash, size)).when(m == 1, F.concat(F.left("p_name", F.lit(2)), F.expr("substring(p_name, 4)"), d, "p_brand", size)).when(m == 2, F.concat(size, "p_brand", "p_name"))
     name = name.when(m == 3, F.concat(F.left("p_name", F.lit(4)), F.lit(" zzyyxx "), size)).otherwise(F.concat(F.lit("qq "), "p_type"))
-    names = p.select(T.normalise_key(name).alias("key")).distinct().join(entries.select("key"), "key", "left_anti")
+    names = p.select(T.normalise_key(name).alias("key")).distinct().join(entries.select("key").distinct().hint("merge"), "key", "left_anti")
     return similarity.best(names, entries, 0.82).withColumn("score", F.round("score", 9))
 
 

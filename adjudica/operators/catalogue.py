@@ -27,10 +27,10 @@ def match(names: DataFrame, catalogue: DataFrame, name: str = "name", threshold:
     entries = catalogue.select("canonical", "idx", normalise_key(F.col("canonical")).alias("key"))
     exact = entries.groupBy("key").agg(F.max_by("canonical", "idx").alias("exact"))
     keyed = names.select(name).distinct().withColumn("key", normalise_key(F.col(name)))
-    looked = written(keyed.join(exact, "key", "left"), "looked")
+    looked = written(keyed.join(exact.hint("merge"), "key", "left"), "looked")
     best = similarity.best(looked.where("exact is null").select("key"), entries, threshold)
-    fuzzy = best.join(entries.select("idx", F.col("canonical").alias("near")), "idx").select(F.col("key").alias("_key"), "near", F.col("score").alias("near_score"))
-    out = looked.join(fuzzy, F.col("key") == F.col("_key"), "left")
+    fuzzy = best.join(entries.select("idx", F.col("canonical").alias("near")).hint("merge"), "idx").select(F.col("key").alias("_key"), "near", F.col("score").alias("near_score"))
+    out = looked.join(fuzzy.hint("merge"), F.col("key") == F.col("_key"), "left")
     hit = F.col("near_score") >= threshold
     return out.select(
         name,

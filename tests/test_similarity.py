@@ -91,3 +91,30 @@ def test_no_product_in_the_plan(spark):
     )
     text = plan._jdf.queryExecution().toString()
     assert "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_entries_and_names_do_not_pass_the_driver(spark, monkeypatch):
+    """Only the rarity of bigrams is broadcast, and copies of a key are one entry, however many there are."""
+    plans, sizes, counted, written = [], [], similarity.counted, catalogue.written
+
+    def noted(df, name, **figures):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        out = counted(df, name, **figures)
+        sizes.append((name, out[0].count()))
+        return out
+
+    def noted_too(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return written(df, name)
+
+    monkeypatch.setattr(similarity, "counted", noted)
+    monkeypatch.setattr(catalogue, "written", noted_too)
+    entries = [(i, k) for i, k in enumerate(["red bolt", "blue bolt", "a" * 40, "a" * 39 + "b"] * 30)]
+    names = ["red bolts", "bleu bolt", "a" * 41, "a" * 12, "bo"]
+    same(run(spark, names, entries), best_of(names, entries))
+    assert [n for name, n in sizes if name == "sets"] == [4]
+    left = spark.createDataFrame([(k,) for k in names], "name string")
+    out = catalogue.match(left, spark.createDataFrame([(k, i) for i, k in entries], "canonical string, idx int"))
+    plans.append(("out", out._jdf.queryExecution().executedPlan().toString()))
+    assert {name for name, plan in plans if "Broadcast" in plan} <= {"sets", "open"}
+    assert {"level", "looked", "out"} <= {name for name, plan in plans if "SortMergeJoin" in plan}
