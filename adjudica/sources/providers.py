@@ -98,23 +98,49 @@ class ProviderBatches:
         return got.select("custom_id", ok.alias("ok"), "answer", F.when(~ok, "errored").alias("reason"), "usage", "model", "batch")
 
 
+#: a key or text that more than this share of the rows have is met by broadcast: there are 256 at most
+OFTEN = 1 / 256
+
+
+def _often(df: DataFrame, *columns: str) -> list[list[str]]:
+    """Of each column the values that more than OFTEN of the rows have, and maybe others, 256 at most: one pass in which a
+    task keeps so many counts."""
+    found = df.stat.freqItems(columns, OFTEN).first()
+    return [[v for v in found[f"{c}_freqItems"] or [] if v is not None] for c in columns]
+
+
+def _looked_up(many: DataFrame, key: str, often: list[str], one: DataFrame, of: str) -> DataFrame:
+    """many left joined with one, which has a row for each value of ``of``. Rows without a key are not shuffled, those of a
+    frequent one meet it by broadcast; no task gets more than the share of a rarer key. What is shuffled is not broadcast,
+    however small its compressed files are."""
+    named, on = [c for c in one.columns if c != of], F.col(key) == F.col(of)
+    frequent = F.col(key).isin(often)
+    none = many.where(F.col(key).isNull()).select("*", *[F.lit(None).cast(one.schema[c].dataType).alias(c) for c in named])
+    rest = many.where(F.col(key).isNotNull() & ~frequent).join(one.hint("merge"), on, "left").drop(of)
+    if not often:
+        return rest.unionByName(none)
+    few = many.where(frequent).join(F.broadcast(one.where(F.col(of).isin(often))), on, "left").drop(of)
+    return rest.unionByName(none).unionByName(few)
+
+
 def find_recording(asked: DataFrame, recordings: DataFrame) -> DataFrame:
     """asked(id, text) with the case_number of its recording: by a key in the text, else by the very text of a map, else
     by that of a summary; null where none fits. recordings(case_number, map, summary).
 
-    Texts are compared by hash first, so three equi-joins on short keys do; of several recordings the smallest key wins.
+    Texts are compared by hash first, so two equi-joins on short keys do; of several recordings the smallest key wins.
+    Texts and keys that very many rows ask for are looked for first, in a pass over asked.
     """
     from adjudica.functions import keys
 
-    def by(column: str, name: str) -> DataFrame:
-        r = recordings.where(F.col(column).isNotNull())
-        return r.groupBy(F.sha2(column, 256).alias(f"_{name}")).agg(F.min("case_number").alias(name))
-
-    known = recordings.select(F.col("case_number").alias("by_key")).distinct()
+    known = recordings.where(F.col("case_number").isNotNull()).select(F.col("case_number").alias("_of_key"), F.col("case_number").alias("by_key")).distinct()
+    texts = [F.struct(F.sha2(c, 256).alias("_of_text"), *[(F.col("case_number") if c == d else F.lit(None)).cast("string").alias(f"by_{d}") for d in ("map", "summary")]) for c in ("map", "summary")]
+    texts = recordings.select(F.explode(F.array(*texts)).alias("t")).select("t.*").where("_of_text is not null")
+    texts = texts.groupBy("_of_text").agg(F.coalesce(F.min("by_map"), F.min("by_summary")).alias("by_text"))
     own = asked.withColumn("_key", keys.first_key(F.col("text"))).withColumn("_text", F.sha2("text", 256))
-    out = own.join(known, F.col("_key") == F.col("by_key"), "left").join(by("map", "by_map"), F.col("_text") == F.col("_by_map"), "left")
-    out = out.join(by("summary", "by_summary"), F.col("_text") == F.col("_by_summary"), "left")
-    return out.select(*asked.columns, F.coalesce("by_key", "by_map", "by_summary").alias("case_number"))
+    often_keys, often_texts = _often(own, "_key", "_text")
+    out = _looked_up(own, "_key", often_keys, known, "_of_key")
+    out = _looked_up(out, "_text", often_texts, texts, "_of_text")
+    return out.select(*asked.columns, F.coalesce("by_key", "by_text").alias("case_number"))
 
 
 def batch_counts(requests: DataFrame) -> DataFrame:
